@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ledgerflow.catalog.model import feature_table, fitted
+from ledgerflow.catalog.model import fitted, stored
 from ledgerflow.catalog.registry import query
 from ledgerflow.explain import report, tree
 from ledgerflow.ml import features as mf
@@ -35,7 +35,7 @@ PARTS["long"] = (
 
 
 def linear(star, keep=()):
-    return report.linear_contributions(feature_table(star), COEFFICIENTS, INTERCEPT, keep=keep)
+    return report.linear_contributions(stored(star), COEFFICIENTS, INTERCEPT, keep=keep)
 
 
 PHI_COLUMNS = [f"phi_{c}" for c in mf.FEATURES]
@@ -111,8 +111,7 @@ def _(star):
     ),
 )
 def _(star):
-    _, test = mf.stratified_split(feature_table(star))
-    return mf.explain_sample(test, 3, 2).select("transaction_id", "is_fraud")
+    return mf.explain_sample(stored(star, "-test"), 3, 2).select("transaction_id", "is_fraud")
 
 
 @query("dependence_rows", oracle("phi", "SELECT x0 AS value, round(p0, 6) AS phi, is_fraud FROM phi"))

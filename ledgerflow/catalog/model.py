@@ -49,6 +49,23 @@ def feature_table(star: Star) -> DataFrame:
     return mf.feature_table(star.full, rows=star.rows)
 
 
+@lru_cache(maxsize=4)
+def _stored(app: str, folder: str) -> str:
+    """The feature table and its two sides, written once per session and folder: many queries read them many times."""
+    spark = SparkSession.getActiveSession()
+    path = scratch_dir(spark, "features")
+    feature_table(Star(spark, folder)).write.parquet(path)
+    a, b = mf.stratified_split(spark.read.parquet(path))
+    a.write.parquet(f"{path}-train")
+    b.write.parquet(f"{path}-test")
+    return path
+
+
+def stored(star: Star, part: str = "") -> DataFrame:
+    """The stored feature table; ``-train`` and ``-test`` name its sides."""
+    return star.spark.read.parquet(_stored(star.spark.sparkContext.applicationId, star.folder) + part)
+
+
 @query("feature_table", oracle("feature_table", f"SELECT transaction_id, {COLUMNS}, is_fraud FROM feature_table"))
 def _(star):
     return feature_table(star)
@@ -92,8 +109,7 @@ SCALED_SQL = ", ".join(
 
 @query("standardize", oracle("train_set test_set", f"SELECT t.transaction_id, {SCALED_SQL} FROM test_set t"))
 def _(star):
-    a, b = mf.stratified_split(feature_table(star))
-    _, scaled = mf.standardize(a, b, cols=SCALED)
+    _, scaled = mf.standardize(stored(star, "-train"), stored(star, "-test"), cols=SCALED)
     return scaled.select("transaction_id", *[F.round(c, 6).alias(c) for c in SCALED])
 
 
@@ -253,28 +269,10 @@ def _(star):
 # ---- trained models -----------------------------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=4)
-def _stored(app: str, folder: str) -> tuple[str, str]:
-    """The feature table's two sides, written once: training reads them many times."""
-    spark = SparkSession.getActiveSession()
-    star = Star(spark, folder)
-    path = scratch_dir(spark, "features")
-    feature_table(star).write.parquet(path)
-    a, b = mf.stratified_split(spark.read.parquet(path))
-    a.write.parquet(f"{path}-train")
-    b.write.parquet(f"{path}-test")
-    return f"{path}-train", f"{path}-test"
-
-
-def sides(star: Star) -> tuple[DataFrame, DataFrame]:
-    a, b = _stored(star.spark.sparkContext.applicationId, star.folder)
-    return star.spark.read.parquet(a), star.spark.read.parquet(b)
-
-
 @lru_cache(maxsize=16)
 def _model(app: str, folder: str, kind: str):
     star = Star(SparkSession.getActiveSession(), folder)
-    a, b = sides(star)
+    a, b = stored(star, "-train"), stored(star, "-test")
     if kind == "logistic_regression":
         a, b = mf.standardize(a, b, cols=mf.FEATURES)
     return getattr(train, kind)(a), b

@@ -24,12 +24,12 @@ def linear_contributions(
     ``means`` is one row with the mean of each column, of ``df`` itself by default. Columns only, no Python per row.
     """
     means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]) if means is None else means
-    at = means.select(F.struct(*cols)).scalar()
+    known = df.withColumn("_mean", means.select(F.struct(*cols)).scalar())
     base: Column = F.lit(float(intercept))
     for c, w in zip(cols, coefficients):
-        base = base + F.lit(float(w)) * at.getField(c)
-    phi = [F.lit(float(w)) * (F.col(c).cast("double") - at.getField(c)) for c, w in zip(cols, coefficients)]
-    out = df.select(
+        base = base + F.lit(float(w)) * F.col(f"_mean.{c}")
+    phi = [F.lit(float(w)) * (F.col(c).cast("double") - F.col(f"_mean.{c}")) for c, w in zip(cols, coefficients)]
+    out = known.select(
         id_col,
         *keep,
         F.array(*[F.col(c).cast("double") for c in cols]).alias("x"),

@@ -33,7 +33,7 @@ def cents(money: Column) -> Column:
 
 def average_money(total: Column, count: Column) -> Column:
     """Average in money rounded to whole cents, as a double."""
-    return rounded_ratio(cents(total), count, 2)
+    return rounded_ratio(cents(total), count, 0) / F.lit(100.0)
 
 
 def percent(part: Column, whole: Column) -> Column:

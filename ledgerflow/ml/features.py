@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions import features as f
-from ledgerflow.operators.clean import fill_from, impute_constant
+from ledgerflow.operators.clean import impute_constant
 from ledgerflow.plans.quantiles import quantiles
 from ledgerflow.plans.splits import cumulate, find_splits
 from ledgerflow.settings import RULES, Rules
@@ -45,28 +45,23 @@ FEATURE_LABELS = (
 CATEGORIES = ("tx_type", "account_type", "city")
 
 
-def category_codes(df: DataFrame, cols: Sequence[str], rows: int | None = None) -> DataFrame:
-    """(column, value, code): the sorted distinct values of each column numbered from 0; null counts as `unknown`.
+def category_codes(df: DataFrame, col: str, rows: int | None = None) -> DataFrame:
+    """(value, code): the sorted distinct values of the column numbered from 0; null counts as `unknown`.
 
-    All columns are collected in one pass. The numbering is a running count over the distinct values, so a column with
-    very many of them is numbered in parallel.
+    The numbering is a running count over the distinct values, so a column with very many of them is numbered in
+    parallel. Grouping by one column lets the optimizer drop joins that the column does not come from.
     """
-    pairs = [
-        F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit("unknown")).alias("value"))
-        for c in cols
-    ]
-    values = df.select(F.inline(F.array(*pairs))).distinct()
-    splits = find_splits(values, ["column"], ["value"], rows=rows)
+    values = df.select(F.coalesce(F.col(col).cast("string"), F.lit("unknown")).alias("value")).distinct()
+    splits = find_splits(values, [], ["value"], rows=rows)
     numbered = cumulate(values, splits, {"code": F.lit(1).cast("long")})
     return numbered.withColumn("code", (F.col("code") - 1).cast("int"))
 
 
 def label_encode(df: DataFrame, cols: Sequence[str], rows: int | None = None) -> DataFrame:
     """Adds ``<col>_enc`` for each column: the position of the value among the sorted distinct values."""
-    codes = category_codes(df, cols, rows)
     out = df
     for c in cols:
-        lookup = codes.filter(F.col("column") == c).select(F.col("value").alias("_value"), F.col("code").alias(f"{c}_enc"))
+        lookup = category_codes(df, c, rows).select(F.col("value").alias("_value"), F.col("code").alias(f"{c}_enc"))
         on = F.coalesce(out[c].cast("string"), F.lit("unknown")) == lookup["_value"]
         out = out.join(lookup, on, "left").drop("_value")
     return out
@@ -79,9 +74,10 @@ def feature_table(full: DataFrame, rows: int | None = None, rules: Rules = RULES
     ``rows`` is an upper bound on the size of ``full`` where one is known.
     """
     limits = quantiles(full, {"amount": rules.label_quantile, "age": 0.5, "balance": 0.5}, rows=rows)
-    labelled = f.fraud_label(full, limits.select("amount").scalar(), rules)
-    filled = fill_from(labelled, limits.select("age", "balance"), ["age", "balance"])
-    named = impute_constant(filled, "city", rules.unknown_city)
+    known = full.withColumn("_limits", limits.select(F.struct("*")).scalar())
+    labelled = f.fraud_label(known, F.col("_limits.amount"), rules)
+    filled = labelled.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_limits.{c}")) for c in ("age", "balance")})
+    named = impute_constant(filled.drop("_limits"), "city", rules.unknown_city)
     timed = f.is_night(f.is_weekend(f.calendar_parts_monday0(named)), rules=rules)
     encoded = label_encode(f.amount_to_balance(timed), CATEGORIES, rows)
     return encoded.select("transaction_id", *[F.col(c).cast("double").alias(c) for c in FEATURES], "is_fraud")
@@ -136,12 +132,13 @@ def scaling(train: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def standardize(train: DataFrame, *others: DataFrame, cols: Sequence[str]) -> list[DataFrame]:
     """Zero mean and unit variance, fitted on ``train`` and applied to all frames."""
-    fitted = scaling(train, cols).select(F.struct(*cols)).scalar()
+    fitted = scaling(train, cols).select(F.struct(*cols))
 
     def scaled(df: DataFrame) -> DataFrame:
-        return df.withColumns(
-            {c: (F.col(c) - fitted.getField(c).getField("mean")) / fitted.getField(c).getField("deviation") for c in cols}
-        )
+        known = df.withColumn("_fit", fitted.scalar())
+        return known.withColumns(
+            {c: (F.col(c) - F.col(f"_fit.{c}.mean")) / F.col(f"_fit.{c}.deviation") for c in cols}
+        ).drop("_fit")
 
     return [scaled(df) for df in (train, *others)]
 
@@ -150,9 +147,9 @@ def class_weights(df: DataFrame, label: str = "is_fraud") -> DataFrame:
     """Adds ``weight``: rows / (classes * rows of the class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     totals = counts.agg(F.struct(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
-    weights = counts.select(
+    weights = counts.withColumn("_all", totals).select(
         F.col(label).alias("_label"),
-        (totals.getField("n").cast("double") / (totals.getField("k") * F.col("_n")).cast("double")).alias("weight"),
+        (F.col("_all.n").cast("double") / (F.col("_all.k") * F.col("_n")).cast("double")).alias("weight"),
     )
     return df.join(weights, df[label].eqNullSafe(weights["_label"]), "left").drop("_label")
 

@@ -136,10 +136,10 @@ def roc_curve(
         F.count_if(F.col(LABEL) == 1).alias("pos"), F.count_if(F.col(LABEL) == 0).alias("neg")
     )
     totals = counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
-    points = groups.select(
+    points = groups.withColumn("_all", totals).select(
         (F.lit(0.0) - F.col("key")).alias("threshold"),
-        _ratio(F.col("neg_below") + F.col("neg"), totals.getField("n"), None).alias("fpr"),
-        _ratio(F.col("pos_below") + F.col("pos"), totals.getField("p"), None).alias("tpr"),
+        _ratio(F.col("neg_below") + F.col("neg"), F.col("_all.n"), None).alias("fpr"),
+        _ratio(F.col("pos_below") + F.col("pos"), F.col("_all.p"), None).alias("tpr"),
     )
     start = scored.sparkSession.range(1).select(
         F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")

@@ -66,11 +66,16 @@ def total_by(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.sum("amount").alias("total"))
 
 
+def _with_percent(counts: DataFrame) -> DataFrame:
+    """Adds ``pct``: the share of ``n`` in its total, which is a scalar subquery over the same counts."""
+    whole = counts.withColumn("_all", counts.agg(F.sum("n")).scalar())
+    return whole.withColumn("pct", percent(F.col("n"), F.col("_all"))).drop("_all")
+
+
 def value_share(df: DataFrame, key: str) -> DataFrame:
     """(key, n, pct): how often each value occurs and its share of the rows that have a value."""
     counts = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(row_count().alias("n"))
-    whole = counts.agg(F.sum("n")).scalar()
-    return counts.withColumn("pct", percent(F.col("n"), whole))
+    return _with_percent(counts)
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50, density: bool = False) -> DataFrame:
@@ -87,10 +92,10 @@ def histogram(df: DataFrame, col: str, bins: int = 50, density: bool = False) ->
         F.when(flat, F.col("b") + 0.5).otherwise(F.col("b")).alias("hi"),
         F.col("n"),
     )
-    one = span.select(F.struct("lo", "hi")).scalar()
-    low, width = one.getField("lo"), one.getField("hi") - one.getField("lo")
+    ranged = values.withColumn("_span", span.select(F.struct("lo", "hi")).scalar())
+    low, width = F.col("_span.lo"), F.col("_span.hi") - F.col("_span.lo")
     slot = F.least(F.floor((F.col("x") - low) * bins / width), F.lit(bins - 1)).cast("int")
-    counts = values.groupBy(slot.alias("bin")).agg(row_count().alias("n"))
+    counts = ranged.groupBy(slot.alias("bin")).agg(row_count().alias("n"))
     edges = span.filter("n > 0").select(
         F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
         (F.col("lo")).alias("_lo"),
@@ -175,7 +180,7 @@ def volume_by_type(events: DataFrame, ordered: bool = True) -> DataFrame:
 def class_balance(df: DataFrame) -> DataFrame:
     """(is_fraud, n, pct) of the training label."""
     counts = df.groupBy("is_fraud").agg(row_count().alias("n"))
-    return counts.withColumn("pct", percent(F.col("n"), counts.agg(F.sum("n")).scalar()))
+    return _with_percent(counts)
 
 
 def kpi_cards(df: DataFrame) -> DataFrame:

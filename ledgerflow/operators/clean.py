@@ -93,8 +93,8 @@ def impute_median(
 
 def fill_from(df: DataFrame, one_row: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replaces nulls in ``cols`` by the values of a one-row frame with the same column names."""
-    values: Column = one_row.select(F.struct(*cols)).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), values.getField(c)) for c in cols})
+    known = df.withColumn("_fill", one_row.select(F.struct(*cols)).scalar())
+    return known.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_fill.{c}")) for c in cols}).drop("_fill")
 
 
 def impute_constant(df: DataFrame, col: str, value: object) -> DataFrame:

@@ -7,7 +7,7 @@ or a city that holds a large part of the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions import features
@@ -92,6 +92,11 @@ def running_count(df: DataFrame, splits: Splits | None = None) -> DataFrame:
     return cumulate(df, splits or account_splits(df), {"tx_count_so_far": one})
 
 
+def _percentile(below: Column, others: Column) -> Column:
+    """Percent rank with one decimal from the number of smaller rows and of all other rows."""
+    return F.when(others > 0, rounded_ratio(below * 100, others, 1)).otherwise(F.lit(0.0))
+
+
 def percent_rank_global(
     df: DataFrame, col: str = "amount", splits: Splits | None = None, rows: int | None = None, min_buckets: int = 8
 ) -> DataFrame:
@@ -105,9 +110,8 @@ def percent_rank_global(
     table = ranked_values(df, [], col, splits=splits)
     # Summed over the distinct values, so that the shuffle below `table` serves this as well.
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    others = counts.agg(F.sum("n") - 1).scalar()
-    share = F.when(others > 0, rounded_ratio(F.col("below") * 100, others, 1)).otherwise(F.lit(0.0))
-    table = table.select(F.col(col).alias("_value"), share.alias("amount_percentile"))
+    table = table.withColumn("_others", counts.agg(F.sum("n") - 1).scalar())
+    table = table.select(F.col(col).alias("_value"), _percentile(F.col("below"), F.col("_others")).alias("amount_percentile"))
     return df.join(table, df[col].eqNullSafe(table["_value"]), "left").drop("_value")
 
 
@@ -117,13 +121,15 @@ def percentile_top(df: DataFrame, n: int = 5) -> DataFrame:
     Only the ``n`` rows need a rank, so the rows below each of them are counted in one pass without sorting the rest.
     """
     top = df.select("transaction_id", "name", "amount").orderBy(F.desc("amount"), "transaction_id").limit(n)
-    marks = top.agg(F.collect_list("amount")).scalar()
-    smaller = [F.count_if(F.coalesce(F.col("amount") < F.get(marks, F.lit(i)), F.lit(True))) for i in range(n)]
-    counted = df.agg(F.struct(F.array(*smaller).alias("below"), (F.count(F.lit(1)) - 1).alias("others"))).scalar()
-    below = F.get(counted.getField("below"), (F.array_position(marks, F.col("amount")) - 1).cast("int"))
-    others = counted.getField("others")
-    share = F.when(others > 0, rounded_ratio(below * 100, others, 1)).otherwise(F.lit(0.0))
-    return top.withColumn("amount_percentile", share)
+    marked = df.select("amount").withColumn("_marks", top.agg(F.collect_list("amount")).scalar())
+    smaller = [F.count_if(F.coalesce(F.col("amount") < F.get("_marks", F.lit(i)), F.lit(True))) for i in range(n)]
+    counted = marked.agg(
+        F.array(*smaller).alias("below"), (F.count(F.lit(1)) - 1).alias("others"), F.first("_marks").alias("marks")
+    )
+    rows = top.withColumn("_c", counted.select(F.struct("*")).scalar())
+    at = (F.array_position("_c.marks", F.col("amount")) - 1).cast("int")
+    rows = rows.withColumn("_below", F.get("_c.below", at))
+    return rows.withColumn("amount_percentile", _percentile(F.col("_below"), F.col("_c.others"))).drop("_c", "_below")
 
 
 def running_and_rank_sql(spark: SparkSession, limit: int = 15) -> DataFrame:

@@ -14,7 +14,8 @@ def _ranked_quantile(df: DataFrame, col: str, p: float, rows: int, rows_per_task
     """One row, one column: the interpolated quantile, read off the ranks of the distinct values."""
     known = df.select(F.col(col).cast("double").alias("v")).filter("v is not null")
     ranked = ranked_values(known, [], "v", rows=rows, rows_per_task=rows_per_task)
-    at = (known.agg(F.count(F.lit(1))).scalar() - 1) * F.lit(float(p))
+    ranked = ranked.withColumn("at", (known.agg(F.count(F.lit(1))).scalar() - 1) * F.lit(float(p)))
+    at = F.col("at")
     low, high = F.floor(at), F.ceil(at)
 
     def holds(position):
