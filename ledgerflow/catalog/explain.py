@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ledgerflow.catalog.model import fitted, stored
+from ledgerflow.catalog.model import fitted, sides, stored
 from ledgerflow.catalog.registry import query
 from ledgerflow.explain import report, tree
 from ledgerflow.ml import features as mf
@@ -111,7 +111,7 @@ def _(star):
     ),
 )
 def _(star):
-    return mf.explain_sample(stored(star, "-test"), 3, 2).select("transaction_id", "is_fraud")
+    return mf.explain_sample(sides(star)[1], 3, 2).select("transaction_id", "is_fraud")
 
 
 @query("dependence_rows", oracle("phi", "SELECT x0 AS value, round(p0, 6) AS phi, is_fraud FROM phi"))

@@ -224,7 +224,7 @@ J1_SQL = (
 @query("tx_accounts", oracle("tx accounts", J1_SQL))
 def _(star):
     cols = ("transaction_id", "account_id", "amount", "status", "customer_id", "account_type", "balance")
-    return enrich.tx_accounts(star.tx, star.accounts).select(*cols)
+    return enrich.tx_accounts(star.tx_plan, star.accounts).select(*cols)
 
 
 @query(
@@ -249,7 +249,7 @@ def _(star):
     ),
 )
 def _(star):
-    return star.full
+    return star.full_plan
 
 
 @query(

@@ -4,9 +4,7 @@ Metrics are checked on a score that SQL can compute as well, so that no fitting
 session and data folder, since several queries read the same one.
 """
 
-from functools import lru_cache
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.catalog.features import codes_sql
@@ -18,7 +16,6 @@ from ledgerflow.ml import features as mf
 from ledgerflow.ml import metrics, train
 from ledgerflow.plans.adapter import Star
 from ledgerflow.plans.adapter_sql import PARTS, oracle
-from ledgerflow.settings import scratch_dir
 
 PARTS["prepared"] = (
     f"""SELECT l.*, coalesce(CAST(age AS DOUBLE), {median_sql('age', 'joined')}) AS age_f,
@@ -49,21 +46,15 @@ def feature_table(star: Star) -> DataFrame:
     return mf.feature_table(star.full, rows=star.rows)
 
 
-@lru_cache(maxsize=4)
-def _stored(app: str, folder: str) -> str:
-    """The feature table and its two sides, written once per session and folder: many queries read them many times."""
-    spark = SparkSession.getActiveSession()
-    path = scratch_dir(spark, "features")
-    feature_table(Star(spark, folder)).write.parquet(path)
-    a, b = mf.stratified_split(spark.read.parquet(path))
-    a.write.parquet(f"{path}-train")
-    b.write.parquet(f"{path}-test")
-    return path
+def stored(star: Star) -> DataFrame:
+    """The feature table, written once per session and folder."""
+    return star.stored("features", lambda: feature_table(star))
 
 
-def stored(star: Star, part: str = "") -> DataFrame:
-    """The stored feature table; ``-train`` and ``-test`` name its sides."""
-    return star.spark.read.parquet(_stored(star.spark.sparkContext.applicationId, star.folder) + part)
+def sides(star: Star) -> tuple[DataFrame, DataFrame]:
+    """The stored train and test rows."""
+    train_rows, test_rows = mf.stratified_split(stored(star))
+    return star.stored("train", lambda: train_rows), star.stored("test", lambda: test_rows)
 
 
 @query("feature_table", oracle("feature_table", f"SELECT transaction_id, {COLUMNS}, is_fraud FROM feature_table"))
@@ -109,7 +100,7 @@ SCALED_SQL = ", ".join(
 
 @query("standardize", oracle("train_set test_set", f"SELECT t.transaction_id, {SCALED_SQL} FROM test_set t"))
 def _(star):
-    _, scaled = mf.standardize(stored(star, "-train"), stored(star, "-test"), cols=SCALED)
+    _, scaled = mf.standardize(*sides(star), cols=SCALED)
     return scaled.select("transaction_id", *[F.round(c, 6).alias(c) for c in SCALED])
 
 
@@ -269,18 +260,14 @@ def _(star):
 # ---- trained models -----------------------------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=16)
-def _model(app: str, folder: str, kind: str):
-    star = Star(SparkSession.getActiveSession(), folder)
-    a, b = stored(star, "-train"), stored(star, "-test")
+def fitted(star: Star, kind: str):
+    """(model, test set as the model wants it); fitted once per session and folder."""
+    a, b = sides(star)
     if kind == "logistic_regression":
         a, b = mf.standardize(a, b, cols=mf.FEATURES)
-    return getattr(train, kind)(a), b
-
-
-def fitted(star: Star, kind: str):
-    """(model, test set as the model wants it)."""
-    return _model(star.spark.sparkContext.applicationId, star.folder, kind)
+        scaled = a
+        a = star.stored("train-scaled", lambda: scaled)
+    return star.once(kind, lambda: getattr(train, kind)(a)), b
 
 
 def scored_by_model(star: Star, kind: str) -> DataFrame:

@@ -102,7 +102,7 @@ def _(star):
 )
 def _(star):
     path = scratch_dir(star.spark, "full")
-    io.save(star.full, path, ["account_type"])
+    io.save(star.full_plan, path, ["account_type"])
     back = star.spark.read.parquet(path).filter(F.col("account_type") == "2-HIGH")
     return back.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"))
 
@@ -110,7 +110,7 @@ def _(star):
 @query("readback_verify", oracle("joined", "SELECT account_type AS key, count(*) AS n FROM joined GROUP BY 1"))
 def _(star):
     path = scratch_dir(star.spark, "full")
-    io.save(star.full, path, ["account_type"])
+    io.save(star.full_plan, path, ["account_type"])
     return io.verify(star.spark, path, "account_type")
 
 
@@ -221,7 +221,7 @@ def _(star):
 
 @query("clean_transactions", oracle("tx", f"SELECT {TX_OUT} FROM tx"))
 def _(star):
-    return star.tx
+    return star.tx_plan
 
 
 @query(
@@ -236,7 +236,7 @@ def _(star):
 )
 def _(star):
     raw = {"customers": star.customers_raw, "accounts": star.accounts_raw, "transactions": star.tx_raw}
-    return clean.cleaning_report(raw, {"customers": star.customers, "accounts": star.accounts, "transactions": star.tx})
+    return clean.cleaning_report(raw, {"customers": star.customers, "accounts": star.accounts, "transactions": star.tx_plan})
 
 
 def median_sql(col: str, source: str) -> str:

@@ -4,7 +4,6 @@ from ledgerflow.catalog.registry import query
 from ledgerflow.operators import aggregates as a
 from ledgerflow.operators import windows as w
 from ledgerflow.plans.adapter_sql import oracle
-from ledgerflow.plans.splits import find_splits
 from ledgerflow.sources import io
 
 RANKS = """rank() OVER (PARTITION BY city ORDER BY total_spend DESC) AS rank_in_city,
@@ -38,7 +37,7 @@ def _(star):
 
 @query("lag_amount", oracle("joined", f"SELECT transaction_id, account_id, CAST({LAG} AS DOUBLE) AS prev_amount FROM joined"))
 def _(star):
-    return w.lag_amount(star.tx, star.splits).select("transaction_id", "account_id", "prev_amount")
+    return w.lag_amount(star.full, star.splits).select("transaction_id", "account_id", "prev_amount")
 
 
 @query(
@@ -46,17 +45,17 @@ def _(star):
     oracle("joined", "SELECT transaction_id, CAST(prev_amount AS DOUBLE) AS prev_amount, CAST(amount_change AS DOUBLE) AS amount_change FROM c", c=CHANGES),
 )
 def _(star):
-    return w.spikes(star.tx, star.splits).select("transaction_id", "prev_amount", "amount_change")
+    return w.spikes(star.full, star.splits).select("transaction_id", "prev_amount", "amount_change")
 
 
 @query("spike_ratio", oracle("joined", "SELECT transaction_id, spike_ratio FROM c", c=CHANGES))
 def _(star):
-    return w.spikes(star.tx, star.splits).select("transaction_id", "spike_ratio")
+    return w.spikes(star.full, star.splits).select("transaction_id", "spike_ratio")
 
 
 @query("is_spike", oracle("joined", "SELECT transaction_id, CAST(spike_ratio > 5 AS INTEGER) AS is_spike FROM c", c=CHANGES))
 def _(star):
-    return w.spikes(star.tx, star.splits).select("transaction_id", "is_spike")
+    return w.spikes(star.full, star.splits).select("transaction_id", "is_spike")
 
 
 @query(
@@ -64,7 +63,7 @@ def _(star):
     oracle("joined", f"SELECT transaction_id, account_id, CAST(sum(amount) {SO_FAR} AS DOUBLE) AS running_total FROM joined"),
 )
 def _(star):
-    return w.running_total(star.tx, star.splits).select("transaction_id", "account_id", "running_total")
+    return w.running_total(star.full, star.splits).select("transaction_id", "account_id", "running_total")
 
 
 @query(
@@ -72,7 +71,7 @@ def _(star):
     oracle("joined", f"SELECT transaction_id, account_id, count(transaction_id) {SO_FAR} AS tx_count_so_far FROM joined"),
 )
 def _(star):
-    return w.running_count(star.tx, star.splits).select("transaction_id", "account_id", "tx_count_so_far")
+    return w.running_count(star.full, star.splits).select("transaction_id", "account_id", "tx_count_so_far")
 
 
 PERCENT = """CAST((2000 * CAST(rank() OVER (ORDER BY amount) - 1 AS HUGEINT) + count(*) OVER () - 1)
@@ -84,9 +83,7 @@ PERCENT = """CAST((2000 * CAST(rank() OVER (ORDER BY amount) - 1 AS HUGEINT) + c
     oracle("tx", f"SELECT transaction_id, CAST(amount AS DOUBLE) AS amount, {PERCENT} AS amount_percentile FROM tx"),
 )
 def _(star):
-    # Cut points from the raw amounts: a scan of one column instead of a run of the cleaning.
-    cuts = find_splits(star.tx_raw, [], ["amount"], rows=star.rows, min_buckets=8)
-    ranked = w.percent_rank_global(star.tx.select("transaction_id", "amount"), splits=cuts)
+    ranked = w.percent_rank_global(star.full.select("transaction_id", "amount"), rows=star.rows)
     return ranked.select("transaction_id", "amount", "amount_percentile")
 
 

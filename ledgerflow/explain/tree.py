@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.ml.features import FEATURES
@@ -47,11 +47,8 @@ class Tree:
         return float(mass / (self.cover[a] + self.cover[b]))
 
 
-def node_table(model: PipelineModel, path: str | None = None) -> DataFrame:
+def node_table(spark: SparkSession, model: PipelineModel, path: str | None = None) -> DataFrame:
     """The nodes of a fitted forest, as Spark stores them with the model."""
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
     path = path or scratch_dir(spark, "forest")
     model.stages[-1].write().overwrite().save(path)
     return spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
@@ -136,7 +133,7 @@ def tree_contributions(
     path: str | None = None,
 ) -> DataFrame:
     """(id, base, probability, phi[n], x[n], kept columns) for each row; base + sum(phi) = probability."""
-    trees = read_trees(node_table(model, path))
+    trees = read_trees(node_table(df.sparkSession, model, path))
     base = float(np.mean([t.expected() for t in trees]))
     shared = df.sparkSession.sparkContext.broadcast(trees)
     inputs = df.select(id_col, *keep, F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))

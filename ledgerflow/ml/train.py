@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.ml.features import FEATURES, class_weights
@@ -84,10 +84,8 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 def feature_importance(model: PipelineModel, names: Sequence[str] = FEATURES) -> DataFrame:
     """(feature, importance, above_median), largest first."""
-    from pyspark.sql import SparkSession
-
     values = model.stages[-1].featureImportances.toArray()
     rows = [(n, float(v)) for n, v in zip(names, values)]
-    table = SparkSession.getActiveSession().createDataFrame(rows, "feature string, importance double")
+    table = SparkSession.active().createDataFrame(rows, "feature string, importance double")
     middle = table.agg(F.median("importance")).scalar()
     return table.withColumn("above_median", F.col("importance") > middle).orderBy(F.desc("importance"), "feature")

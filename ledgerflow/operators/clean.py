@@ -15,7 +15,8 @@ from ledgerflow.settings import RULES, Rules
 
 def drop_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Drops a row when any of ``cols`` is null."""
-    return df.dropna(how="any", subset=list(cols))
+    # One test per column instead of `dropna`: these reach the scan as pushed filters.
+    return df.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
 
 
 def fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:

@@ -6,8 +6,11 @@ compared with another engine.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import cached_property
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +19,8 @@ from pyspark.sql import types as T
 from ledgerflow.functions import features
 from ledgerflow.operators import clean, enrich
 from ledgerflow.operators.windows import account_splits
-from ledgerflow.settings import MONEY
+from ledgerflow.settings import MONEY, scratch_dir
+from ledgerflow.sources import io
 
 TX_COLUMNS = ("transaction_id", "account_id", "amount", "tx_type", "timestamp", "status", "merchant", "category")
 # Orders the copies of a transaction id; `part_id` exists for this purpose only.
@@ -37,8 +41,9 @@ EVENT_SOURCE = T.StructType(
 
 
 def half_price(price: Column) -> Column:
-    """Half of a price in whole cents, rounded down."""
-    return (F.floor(F.round(price * 100) / 2) / F.lit(100.0)).cast(MONEY)
+    """Half of a price in whole cents, rounded down. Whole-number arithmetic; a double is slow to turn into money."""
+    whole = F.floor(price * 100 + 0.5)
+    return (F.shiftright(whole, 1).cast(T.DecimalType(18, 0)) * F.lit(Decimal("0.01"))).cast(MONEY)
 
 
 def unless(condition: Column, value: Column) -> Column:
@@ -114,9 +119,16 @@ def live_records(events: DataFrame, customer: DataFrame, nation: DataFrame) -> D
     )
 
 
+_DONE: dict[tuple[str, str, str], Any] = {}
+
+
 @dataclass
 class Star:
-    """Raw and clean tables of one data folder, all lazy."""
+    """Raw, clean and joined tables of one data folder.
+
+    ``tx_plan`` and ``full_plan`` are lazy plans over the raw tables. ``full`` is the joined table as the batch run leaves
+    it: written once per session, then read by everything that builds on it.
+    """
 
     spark: SparkSession
     folder: str
@@ -136,6 +148,23 @@ class Star:
     def tx_raw(self) -> DataFrame:
         return transactions_raw(self.table("lineitem"), self.table("part"))
 
+    def once(self, name: str, make: Callable[[], Any]) -> Any:
+        """The value of ``make()``, computed once per session and data folder."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _DONE:
+            _DONE[key] = make()
+        return _DONE[key]
+
+    def stored(self, name: str, plan: Callable[[], DataFrame]) -> DataFrame:
+        """The frame of ``plan()``, written once to the shared folder and read from there."""
+
+        def write() -> str:
+            path = scratch_dir(self.spark, name)
+            io.save(plan(), path)
+            return path
+
+        return self.spark.read.parquet(self.once(name, write))
+
     @cached_property
     def rows(self) -> int:
         """Raw transactions: an upper bound for every cleaned or joined form, and a cheap count."""
@@ -150,17 +179,26 @@ class Star:
         return clean.clean_accounts(self.accounts_raw)
 
     @cached_property
-    def tx(self) -> DataFrame:
+    def tx_plan(self) -> DataFrame:
         return clean.clean_transactions(self.tx_raw, COPY_ORDER).select(*TX_COLUMNS)
 
+    @cached_property
+    def full_plan(self) -> DataFrame:
+        return enrich.enrich(features.tx_direction(self.tx_plan), self.accounts, self.customers)
+
     @cached_property
     def full(self) -> DataFrame:
-        return enrich.enrich(features.tx_direction(self.tx), self.accounts, self.customers)
+        return self.stored("full", lambda: self.full_plan)
+
+    @cached_property
+    def tx(self) -> DataFrame:
+        """The clean transactions, out of the stored joined table."""
+        return self.full.select(*TX_COLUMNS)
 
     @cached_property
     def splits(self):
-        """Cut points of the per-account windows, from the raw transactions."""
-        return account_splits(self.tx_raw, rows=self.rows)
+        """Cut points of the per-account windows."""
+        return account_splits(self.full, rows=self.rows)
 
     @cached_property
     def live(self) -> DataFrame:
