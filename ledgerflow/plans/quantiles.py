@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from ledgerflow.plans.splits import ROWS_PER_TASK, ranked_values
 
 
-def _ranked_quantile(df: DataFrame, col: str, p: float, rows: int, rows_per_task: int) -> DataFrame:
+def _ranked_quantile(df: DataFrame, col: str, p: float, rows_per_task: int) -> DataFrame:
     """One row, one column: the interpolated quantile, read off the ranks of the distinct values."""
     known = df.select(F.col(col).cast("double").alias("v")).filter("v is not null")
-    ranked = ranked_values(known, [], "v", rows=rows, rows_per_task=rows_per_task)
+    ranked = ranked_values(known, [], "v", rows_per_task=rows_per_task)
     ranked = ranked.withColumn("at", (known.agg(F.count(F.lit(1))).scalar() - 1) * F.lit(float(p)))
     at = F.col("at")
     low, high = F.floor(at), F.ceil(at)
@@ -48,10 +48,10 @@ def quantiles(
             *[F.percentile_approx(F.col(c).cast("double"), p, accuracy).alias(c) for c, p in wanted.items()]
         )
     limit = rows_per_task or ROWS_PER_TASK
-    total = df.count() if rows is None else rows
+    total = rows if rows is not None and rows <= limit else df.count()
     if total <= limit:
         return df.agg(*[F.percentile(F.col(c).cast("double"), F.lit(float(p))).alias(c) for c, p in wanted.items()])
     one = df.sparkSession.range(1)
     return one.select(
-        *[_ranked_quantile(df, c, p, total, limit).scalar().alias(c) for c, p in wanted.items()]
+        *[_ranked_quantile(df, c, p, limit).scalar().alias(c) for c, p in wanted.items()]
     )

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_TASK = 4_000_000
-MAX_BUCKETS = 4096
+MAX_BUCKETS = 16384
 SAMPLE_PER_BUCKET = 20
 
 BUCKET = "_bucket"
@@ -52,14 +52,15 @@ def find_splits(
 ) -> Splits:
     """Cut points so that a split group has about ``rows_per_task`` rows per bucket.
 
-    Order is ascending with nulls first. ``rows`` is an upper bound on the size of ``df`` if the caller knows one;
-    otherwise the rows are counted. The cut points can be taken from any frame with the same key columns, such as
-    the raw table: that scan reads the key columns only and needs no join or de-duplication.
+    Order is ascending with nulls first. ``rows`` is an upper bound on the size of ``df`` if the caller knows one: a small
+    bound settles the matter without a job, beyond it the rows are counted. The cut points can be taken from any frame
+    with the same key columns, such as the raw table: that scan needs no join or de-duplication.
     """
+    limit = rows_per_task or ROWS_PER_TASK
     keys = df.select(*group, *order)
     found = Splits(tuple(group), tuple(order), keys.schema)
-    total = df.count() if rows is None else rows
-    wanted = min(MAX_BUCKETS, max(min_buckets, math.ceil(total / (rows_per_task or ROWS_PER_TASK))))
+    total = rows if rows is not None and rows <= limit else df.count()
+    wanted = min(MAX_BUCKETS, max(min_buckets, math.ceil(total / limit)))
     if wanted <= 1 or total == 0:
         return found
     fraction = min(1.0, wanted * SAMPLE_PER_BUCKET / total)
