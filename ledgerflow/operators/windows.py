@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions import features
 from ledgerflow.functions.exact import rounded_ratio
-from ledgerflow.plans.splits import Splits, cumulate, find_splits, previous, ranked_values, same_key
+from ledgerflow.plans.splits import Splits, cumulate, find_splits, previous, ranked_values, rows_below, same_key
 from ledgerflow.settings import RULES, Rules
 
 TIME_ORDER = ("timestamp", "transaction_id")
@@ -102,11 +102,17 @@ def percent_rank_global(
 ) -> DataFrame:
     """Adds ``amount_percentile``: the percent rank over all rows, one decimal.
 
-    A window without partitions would move every row into one task. The ranks come from the distinct values instead,
-    and each row looks its value up. Nulls rank below all values.
+    A window without partitions would move every row into one task. Here the rows are ranked within value ranges. Where
+    a single value fills a range by itself, the distinct values are ranked instead and each row looks its value up.
+    Nulls rank below all values.
     """
     if splits is None:
         splits = find_splits(df, [], [col], rows=rows, min_buckets=min_buckets)
+    if not splits.whole and not splits.repeated:
+        others = df.agg(F.count(F.lit(1)) - 1).scalar()
+        ranked = rows_below(df, splits, "_below").withColumn("_others", others)
+        share = _percentile(F.col("_below"), F.col("_others"))
+        return ranked.withColumn("amount_percentile", share).drop("_below", "_others")
     table = ranked_values(df, [], col, splits=splits)
     # Summed over the distinct values, so that the shuffle below `table` serves this as well.
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))

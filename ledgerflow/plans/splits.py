@@ -12,6 +12,7 @@ What is broadcast is bounded too: at most ``MAX_BUCKETS`` cut tuples and two row
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 ROWS_PER_TASK = 4_000_000
 MAX_BUCKETS = 16384
 SAMPLE_PER_BUCKET = 20
+FEW_CUTS = 127
 
 BUCKET = "_bucket"
 _CUTS = "_cuts"
@@ -36,11 +38,17 @@ class Splits:
     order: tuple[str, ...]
     schema: T.StructType
     cuts: tuple[Row, ...] = ()
+    repeated: bool = False  # whether one (group, order) key alone fills about a bucket
 
     @property
     def whole(self) -> bool:
         return not self.cuts
 
+    @property
+    def most(self) -> int:
+        """The largest number of cuts in one group."""
+        return max(Counter(tuple(c[: len(self.group)]) for c in self.cuts).values(), default=0)
+
 
 def find_splits(
     df: DataFrame,
@@ -67,11 +75,12 @@ def find_splits(
     sample = keys.sample(fraction=fraction, seed=11).sort(*group, *order).collect()
     stride = max(1, len(sample) // wanted)
     cuts: dict[tuple, list[Row]] = {}
-    for row in dict.fromkeys(sample[stride - 1 :: stride]):
+    picked = sample[stride - 1 :: stride]
+    for row in dict.fromkeys(picked):
         cuts.setdefault(tuple(row[: len(group)]), []).append(row)
     # A group with a single cut holds less than two buckets of rows: not worth splitting.
     kept = [row for part in cuts.values() if not group or len(part) > 1 for row in part]
-    return Splits(found.group, found.order, found.schema, tuple(kept))
+    return Splits(found.group, found.order, found.schema, tuple(kept), repeated=len(set(picked)) < len(picked))
 
 
 def same_key(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -80,33 +89,46 @@ def same_key(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]
     return reduce(lambda x, y: x & y, tests)
 
 
-def _cuts_below(cuts: Column, key: Column) -> Column:
-    """How many of the sorted ``cuts`` lie below ``key``, by binary search; 0 when there are none."""
-    steps = [1 << bit for bit in reversed(range(MAX_BUCKETS.bit_length()))]
-    return F.aggregate(
+def _cuts_below(cuts: Column, key: Column, most: int) -> Column:
+    """How many of the sorted ``cuts`` (``most`` or fewer) lie below ``key``, by binary search; 0 when there are none."""
+    steps = [1 << bit for bit in reversed(range(most.bit_length()))]
+    found = F.aggregate(
         F.array(*[F.lit(step) for step in steps]),
         F.lit(0),
         lambda at, step: F.when(F.get(cuts, at + step - 1) < key, at + step).otherwise(at),
     )
+    return F.when(cuts.isNotNull(), found).otherwise(F.lit(0))
+
+
+def _decision(key: Column, cuts: Sequence[object], first: int = 0) -> Column:
+    """The same for a few known cuts as nested comparisons, which Spark compiles; a null key lies below all cuts."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    above = _decision(key, cuts[middle + 1 :], first + middle + 1)
+    return F.when(key > F.lit(cuts[middle]), above).otherwise(_decision(key, cuts[:middle], first))
 
 
 def with_bucket(df: DataFrame, splits: Splits) -> DataFrame:
     """Adds the bucket number of each row within its group, and whether the group is split."""
     spark = df.sparkSession
+    if not splits.group and len(splits.order) == 1 and len(splits.cuts) <= FEW_CUTS:
+        known = [c[0] for c in splits.cuts if c[0] is not None]
+        return df.withColumns({BUCKET: _decision(df[splits.order[0]], known), "_split": F.lit(True)})
     table = spark.createDataFrame(list(splits.cuts), splits.schema)
     entry = F.struct(*splits.order)
     key = F.struct(*[df[c] for c in splits.order])
     if not splits.group:
         cuts = table.agg(F.array_sort(F.collect_list(entry))).scalar()
         placed = df.withColumn(_CUTS, cuts)
-        return placed.withColumns({BUCKET: _cuts_below(F.col(_CUTS), key), "_split": F.lit(True)}).drop(_CUTS)
+        return placed.withColumns({BUCKET: _cuts_below(F.col(_CUTS), key, splits.most), "_split": F.lit(True)}).drop(_CUTS)
     lookup = table.groupBy(*splits.group).agg(F.array_sort(F.collect_list(entry)).alias(_CUTS))
     lookup = lookup.withColumnsRenamed({g: f"_at_{g}" for g in splits.group})
     on = same_key(df, lookup, [(g, f"_at_{g}") for g in splits.group])
     joined = df.join(F.broadcast(lookup), on, "left")
     return joined.select(
         *[df[c] for c in df.columns],
-        _cuts_below(F.col(_CUTS), key).alias(BUCKET),
+        _cuts_below(F.col(_CUTS), key, splits.most).alias(BUCKET),
         F.col(_CUTS).isNotNull().alias("_split"),
     )
 
@@ -145,7 +167,7 @@ def cumulate(df: DataFrame, splits: Splits, measures: Mapping[str, Column], shar
     sums = {f"_t_{n}": F.sum(f"_m_{n}") for n in measures}
     if share:
         # Touching every column keeps the plan equal to that of the rows, so the shuffle is reused.
-        sums["_seen"] = F.max(F.struct(*placed.columns))
+        sums["_seen"] = F.max(F.xxhash64(*placed.columns))
     totals = _bucket_totals(placed, splits, sums)
     if share:
         totals = totals.filter("_seen is not null")
@@ -156,6 +178,21 @@ def cumulate(df: DataFrame, splits: Splits, measures: Mapping[str, Column], shar
     return out.withColumns(shifted).drop(*helpers)
 
 
+def rows_below(df: DataFrame, splits: Splits, out: str) -> DataFrame:
+    """Adds ``out``: the number of rows with a smaller value of the one order column, over all rows.
+
+    One shuffle of the rows by value range; the bucket sizes come from a separate count. Equal values share a bucket, so
+    this is for ``splits`` that found no value filling a bucket by itself; ``ranked_values`` handles the others.
+    """
+    col = splits.order[0]
+    inside = Window.partitionBy(BUCKET).orderBy(F.asc_nulls_first(col))
+    rows = _spread(df, splits).withColumn(out, F.rank().over(inside) - 1)
+    sizes = with_bucket(df.select(col), splits).groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy().orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(BUCKET, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    return _attach(rows, offsets, splits).withColumn(out, F.col(out) + F.col("_before")).drop(BUCKET, "_split", "_before")
+
+
 def previous(df: DataFrame, splits: Splits, col: str, out: str) -> DataFrame:
     """Adds ``out``: the value of ``col`` in the row before, within the group and in the order of ``splits``."""
     group, order = list(splits.group), [F.asc_nulls_first(c) for c in splits.order]

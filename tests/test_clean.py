@@ -82,7 +82,7 @@ def test_report(spark):
 @pytest.mark.parametrize("rows_per_task", [None, 2])
 def test_median_both_ways(spark, rows_per_task, monkeypatch):
     if rows_per_task:
-        monkeypatch.setattr("ledgerflow.plans.quantiles.ROWS_PER_TASK", rows_per_task)
+        monkeypatch.setattr("ledgerflow.plans.quantiles.BUILT_IN_ROWS", rows_per_task)
     df = spark.createDataFrame([(1, 10.0), (2, None), (3, 20.0), (4, 40.0), (5, 50.0)], "id int, x double")
     out = {r.id: r.x for r in clean.impute_median(df, ["x"]).collect()}
     assert out == {1: 10.0, 2: 30.0, 3: 20.0, 4: 40.0, 5: 50.0}

@@ -86,7 +86,7 @@ def test_running_and_rank(skewed):
     assert rows(got, "running_total", "rank_in_city") == rows(expected, "running_total", "rank_in_city")
 
 
-@pytest.mark.parametrize("buckets", [1, 8, 64])
+@pytest.mark.parametrize("buckets", [1, 8, 64, 180])
 def test_percent_rank(skewed, buckets):
     expected = skewed.withColumn("p", F.percent_rank().over(Window.orderBy("amount")))
     got = w.percent_rank_global(skewed, min_buckets=buckets).select("transaction_id", "amount_percentile")
@@ -95,6 +95,17 @@ def test_percent_rank(skewed, buckets):
     assert got.count() == 3000
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_percent_rank_with_and_without_a_hot_value(spark, hot):
+    value = F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.xxhash64("id")) if hot else F.xxhash64("id")
+    df = spark.range(4000).select(F.col("id").alias("transaction_id"), F.when(F.col("id") != 7, value).alias("amount"))
+    splits = find_splits(df, [], ["amount"], min_buckets=16)
+    assert splits.repeated == hot and not splits.whole
+    expected = df.withColumn("p", F.percent_rank().over(Window.orderBy("amount"))).select("transaction_id", "p")
+    both = w.percent_rank_global(df, splits=splits).join(expected, "transaction_id")
+    assert both.filter(F.abs(F.col("amount_percentile") - F.col("p") * 100) > 0.0500001).count() == 0 and both.count() == 4000
+
+
 def test_percent_rank_moves_no_rows_to_one_task(skewed):
     plan = w.percent_rank_global(skewed)._jdf.queryExecution().executedPlan().toString()
     for line in plan.split("\n"):
