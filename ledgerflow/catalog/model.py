@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ledgerflow.catalog.features import codes_sql
 from ledgerflow.catalog.registry import query
 from ledgerflow.catalog.sources import median_sql
-from ledgerflow.functions import features as f
 from ledgerflow.functions.exact import cents, rounded_ratio
 from ledgerflow.ml import features as mf
 from ledgerflow.ml import metrics, train
@@ -71,7 +70,7 @@ def _(star):
     ),
 )
 def _(star):
-    labelled = f.fraud_label(star.tx, rows=star.rows).select("transaction_id", "is_fraud")
+    labelled = star.labelled.select("transaction_id", "is_fraud")
     a, b = mf.stratified_split(labelled)
     return a.withColumn("side", F.lit("train")).unionByName(b.withColumn("side", F.lit("test")))
 
@@ -86,9 +85,8 @@ def _(star):
     ),
 )
 def _(star):
-    labelled = f.fraud_label(star.tx, rows=star.rows).select("transaction_id", "is_fraud")
-    # Fewer rows per task than the default, so that both classes are really split over several tasks.
-    a, b = mf.stratified_split(labelled, exact=True, rows=star.rows, rows_per_task=max(1, star.rows // 8))
+    labelled = star.labelled.select("transaction_id", "is_fraud")
+    a, b = mf.stratified_split(labelled, exact=True)
     return a.withColumn("side", F.lit("train")).unionByName(b.withColumn("side", F.lit("test")))
 
 
@@ -114,7 +112,7 @@ def _(star):
     ),
 )
 def _(star):
-    labelled = f.fraud_label(star.tx, rows=star.rows).select("transaction_id", "is_fraud")
+    labelled = star.labelled.select("transaction_id", "is_fraud")
     return mf.class_weights(labelled)
 
 
@@ -125,7 +123,7 @@ CUT = 0.6
 
 
 def scored_by_amount(star: Star) -> DataFrame:
-    labelled = f.fraud_label(star.tx, rows=star.rows)
+    labelled = star.labelled
     paid = cents(F.col("amount"))
     score = rounded_ratio(paid, paid + HALF_POINT, 4)
     out = labelled.select("transaction_id", "is_fraud", score.alias("probability"))
@@ -133,7 +131,7 @@ def scored_by_amount(star: Star) -> DataFrame:
 
 
 def scored_by_hour(star: Star) -> DataFrame:
-    labelled = f.fraud_label(star.tx, rows=star.rows)
+    labelled = star.labelled
     score = rounded_ratio(24 - F.hour("timestamp"), F.lit(24), 4)
     out = labelled.select("transaction_id", "is_fraud", score.alias("probability"))
     return out.withColumn("prediction", (F.col("probability") >= CUT).cast("int"))

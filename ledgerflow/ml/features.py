@@ -95,26 +95,43 @@ def stratified_split(
     frac: float = 0.8,
     seed: int = 42,
     exact: bool = False,
-    rows: int | None = None,
-    rows_per_task: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test). A row's side depends on the hash of its id, so the split is repeatable and needs no shuffle.
 
     The hash is independent of the label, so every class is split in the same proportion up to chance. ``exact`` fixes
-    the sizes per class: the rows of a class are numbered in hash order and the last ``ceil((1 - frac) * n)`` are test.
+    the sizes per class: in hash order, the last ``ceil((1 - frac) * n)`` rows of a class are test.
     """
     place = _place(id_col, seed)
     if not exact:
         edge = format(int(frac * 16**8), "08x")
         return df.filter(place < edge), df.filter(place >= edge)
-    ordered = df.withColumn("_place", place)
-    splits = find_splits(ordered, [label], ["_place", id_col], rows=rows, rows_per_task=rows_per_task)
-    numbered = cumulate(ordered, splits, {"_nth": F.lit(1).cast("long")})
-    sizes = df.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_size"))
-    sized = numbered.join(sizes, numbered[label].eqNullSafe(sizes["_label"]), "left")
-    kept = F.col("_size") - F.ceil(F.round((1 - F.lit(frac)) * F.col("_size"), 6))
-    helpers = ["_place", "_nth", "_label", "_size"]
-    return sized.filter(F.col("_nth") <= kept).drop(*helpers), sized.filter(F.col("_nth") > kept).drop(*helpers)
+    last = _last_train_rows(df.select(F.col(label).alias("_label"), place.alias("_at"), F.col(id_col).alias("_id")), frac)
+    known = df.join(F.broadcast(last), df[label].eqNullSafe(last["_label"]), "left")
+    inside = F.coalesce(F.struct(place, F.col(id_col)) <= F.col("_last"), F.lit(False))
+    return known.filter(inside).select(*df.columns), known.filter(~inside).select(*df.columns)
+
+
+def _last_train_rows(keys: DataFrame, frac: float) -> DataFrame:
+    """(_label, _last): place and id of the last train row of each class, one row per class.
+
+    Hashes spread evenly, so their first four digits cut each class into 65,536 small ranges whatever its size. Counting
+    them finds the range with the border, and only that range is put in order. The rows themselves are not shuffled.
+    """
+    ranged = keys.withColumn("_range", F.substring("_at", 1, 4))
+    counts = ranged.groupBy("_label", "_range").agg(F.count(F.lit(1)).alias("n"))
+    so_far = Window.partitionBy("_label").orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    size = F.sum("n").over(Window.partitionBy("_label"))
+    kept = size - F.ceil(F.round((1 - F.lit(frac)) * size, 6))
+    border = counts.select("_label", "_range", "n", F.sum("n").over(so_far).alias("upto"), kept.alias("kept"))
+    border = border.filter((F.col("upto") - F.col("n") < F.col("kept")) & (F.col("kept") <= F.col("upto")))
+    wanted = border.select(
+        F.col("_label").alias("_b"), F.col("_range").alias("_r"), (F.col("kept") - F.col("upto") + F.col("n")).alias("_quota")
+    )
+    # One row per class on the small side.
+    near = ranged.join(F.broadcast(wanted), ranged["_label"].eqNullSafe(wanted["_b"]) & (ranged["_range"] == wanted["_r"]))
+    nth = F.row_number().over(Window.partitionBy("_label").orderBy("_at", "_id"))
+    ordered = near.withColumn("_nth", nth).filter(F.col("_nth") == F.col("_quota"))
+    return ordered.select("_label", F.struct(F.col("_at"), F.col("_id")).alias("_last"))
 
 
 def scaling(train: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -22,83 +22,73 @@ def _ratio(part: Column, whole: Column, missing: float | None = 0.0) -> Column:
     return value if missing is None else F.coalesce(value, F.lit(missing))
 
 
+def _cells(scored: DataFrame) -> DataFrame:
+    """One row with the four counts ``n00`` .. ``n11`` (label, prediction); the whole base of the class metrics."""
+    return scored.agg(
+        *[F.count_if((F.col(LABEL) == a) & (F.col(PREDICTION) == b)).alias(f"n{a}{b}") for a in (0, 1) for b in (0, 1)]
+    )
+
+
+def _right() -> Column:
+    return F.col("n00") + F.col("n11")
+
+
+def _total() -> Column:
+    return F.col("n00") + F.col("n01") + F.col("n10") + F.col("n11")
+
+
+def _support(c: int) -> Column:
+    return F.col(f"n{c}0") + F.col(f"n{c}1")
+
+
+def _rates(c: int) -> dict[str, Column]:
+    """Precision, recall and F1 of a class; 0 where there is nothing to divide by."""
+    hit = F.col(f"n{c}{c}")
+    precision = _ratio(hit, F.col(f"n0{c}") + F.col(f"n1{c}"))
+    recall = _ratio(hit, _support(c))
+    f1 = F.when(precision + recall > 0, 2 * precision * recall / (precision + recall)).otherwise(F.lit(0.0))
+    return {"precision": precision, "recall": recall, "f1": f1}
+
+
 def accuracy(scored: DataFrame) -> DataFrame:
     """One row: share of correct predictions."""
-    hit = F.count_if(F.col(LABEL) == F.col(PREDICTION))
-    return scored.agg(_ratio(hit, F.count(F.lit(1)), None).alias("accuracy"))
+    return _cells(scored).select(_ratio(_right(), _total(), None).alias("accuracy"))
 
 
 def confusion_matrix(scored: DataFrame) -> DataFrame:
     """(label, prediction, n): all four cells, empty ones with 0."""
-    cells = [(a, b) for a in (0, 1) for b in (0, 1)]
-    counts = scored.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(a).alias("label"),
-                    F.lit(b).alias("prediction"),
-                    F.count_if((F.col(LABEL) == a) & (F.col(PREDICTION) == b)).alias("n"),
-                )
-                for a, b in cells
-            ]
-        ).alias("cells")
-    )
-    return counts.select(F.inline("cells"))
-
-
-def _class_rows(scored: DataFrame) -> DataFrame:
-    """Precision, recall, F1 and support of both classes, from one pass."""
-
-    def entry(c: int) -> Column:
-        actual, said = F.col(LABEL) == c, F.col(PREDICTION) == c
-        return F.struct(
-            F.lit(c).alias("c"),
-            F.count_if(actual & said).alias("hit"),
-            F.count_if(said).alias("said"),
-            F.count_if(actual).alias("support"),
-            F.count_if(F.col(LABEL) == F.col(PREDICTION)).alias("right"),
-            F.count(F.lit(1)).alias("total"),
-        )
-
-    rows = scored.agg(F.array(entry(0), entry(1)).alias("rows")).select(F.inline("rows"))
-    rates = rows.withColumns(
-        {"precision": _ratio(F.col("hit"), F.col("said")), "recall": _ratio(F.col("hit"), F.col("support"))}
-    )
-    both = F.col("precision") + F.col("recall")
-    f1 = F.when(both > 0, 2 * F.col("precision") * F.col("recall") / both).otherwise(F.lit(0.0))
-    return rates.withColumn("f1", f1)
+    cells = [
+        F.struct(F.lit(a).alias("label"), F.lit(b).alias("prediction"), F.col(f"n{a}{b}").alias("n"))
+        for a in (0, 1)
+        for b in (0, 1)
+    ]
+    return _cells(scored).select(F.inline(F.array(*cells)))
 
 
 def classification_report(scored: DataFrame) -> DataFrame:
-    """(class, precision, recall, f1, support) for both classes, accuracy, macro and weighted averages."""
-    classes = _class_rows(scored)
-    names = F.when(F.col("c") == 1, "Fraud").otherwise("Legitimate")
-    per_class = classes.select(names.alias("class"), "precision", "recall", "f1", "support")
-    rates = ("precision", "recall", "f1")
-
-    def only(c: int, name: str) -> Column:
-        return F.max(F.when(F.col("c") == c, F.col(name)))
-
-    def macro(name: str) -> Column:
-        return ((only(0, name) + only(1, name)) / 2).alias(name)
-
-    def weighted(name: str) -> Column:
-        mass = only(0, name) * only(0, "support") + only(1, name) * only(1, "support")
-        return F.coalesce(F.try_divide(mass, F.sum("support")), F.lit(0.0)).alias(name)
-
-    share = _ratio(F.max("right"), F.max("total"))
-    total = F.sum("support").alias("support")
-    summary = [
-        classes.agg(F.lit("accuracy").alias("class"), *[share.alias(n) for n in rates], total),
-        classes.agg(F.lit("macro avg").alias("class"), *[macro(n) for n in rates], total),
-        classes.agg(F.lit("weighted avg").alias("class"), *[weighted(n) for n in rates], total),
+    """(class, precision, recall, f1, support) for both classes, accuracy, macro and weighted averages. One pass."""
+    rates = {c: _rates(c) for c in (0, 1)}
+    names = ("precision", "recall", "f1")
+
+    def line(name: str, values: dict[str, Column], support: Column) -> Column:
+        return F.struct(F.lit(name).alias("class"), *[values[n].alias(n) for n in names], support.alias("support"))
+
+    macro = {n: (rates[0][n] + rates[1][n]) / 2 for n in names}
+    weighted = {n: _ratio(rates[0][n] * _support(0) + rates[1][n] * _support(1), _total()) for n in names}
+    share = _ratio(_right(), _total())
+    lines = [
+        line("Legitimate", rates[0], _support(0)),
+        line("Fraud", rates[1], _support(1)),
+        line("accuracy", {n: share for n in names}, _total()),
+        line("macro avg", macro, _total()),
+        line("weighted avg", weighted, _total()),
     ]
-    return reduce(DataFrame.unionByName, summary, per_class)
+    return _cells(scored).select(F.inline(F.array(*lines)))
 
 
 def fraud_prf(scored: DataFrame) -> DataFrame:
     """(precision, recall, f1) of the fraud class."""
-    return _class_rows(scored).filter("c = 1").select("precision", "recall", "f1")
+    return _cells(scored).select(*[c.alias(n) for n, c in _rates(1).items()])
 
 
 def _by_score(scored: DataFrame, splits: Splits | None, rows: int | None, rows_per_task: int | None) -> DataFrame:
@@ -151,16 +141,11 @@ def model_comparison(scored: Mapping[str, DataFrame], rows: int | None = None) -
     """(model, accuracy, auc, precision, recall, f1) of each scored frame."""
     parts = []
     for name, frame in scored.items():
-        parts.append(
-            fraud_prf(frame).select(
-                F.lit(name).alias("model"),
-                accuracy(frame).scalar().alias("accuracy"),
-                roc_auc(frame, rows=rows).scalar().alias("auc"),
-                "precision",
-                "recall",
-                "f1",
-            )
-        )
+        cells = _cells(frame)
+        rates = [c.alias(n) for n, c in _rates(1).items()]
+        share = _ratio(_right(), _total(), None).alias("accuracy")
+        auc = roc_auc(frame, rows=rows).scalar().alias("auc")
+        parts.append(cells.select(F.lit(name).alias("model"), share, auc, *rates))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -195,6 +195,11 @@ class Star:
         """The clean transactions, out of the stored joined table."""
         return self.full.select(*TX_COLUMNS)
 
+    @cached_property
+    def labelled(self) -> DataFrame:
+        """The clean transactions with the training label, stored as the joined table is."""
+        return self.stored("labelled", lambda: features.fraud_label(self.tx, rows=self.rows))
+
     @cached_property
     def splits(self):
         """Cut points of the per-account windows."""

@@ -47,7 +47,8 @@ def run(
     io.save(tables.full, f"{out}/banking_full", ["account_type"])
     full = spark.read.parquet(f"{out}/banking_full")
     io.save(predicates.fraud_pattern(full, ordered=False), f"{out}/suspicious_transactions")
-    io.save(windows.rank_in_city(aggregates.spend_per_customer(full, ordered=False)), f"{out}/customer_rankings")
+    spend = aggregates.spend_per_customer(full, ordered=False)
+    io.save(windows.rank_in_city(spend, rows=full.count()), f"{out}/customer_rankings")
     stored = Tables(tables.customers, tables.accounts, tables.transactions, full)
     io.register(spark, full, tables.transactions, tables.accounts, tables.customers)
     return stored

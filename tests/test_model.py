@@ -77,9 +77,15 @@ def labelled(spark):
     )
 
 
-@pytest.mark.parametrize("rows_per_task", [None, 100])
-def test_exact_split(labelled, rows_per_task):
-    a, b = mf.stratified_split(labelled, exact=True, rows_per_task=rows_per_task)
+@pytest.mark.parametrize("frac, fraud, legit", [(0.0, 200, 1800), (1.0, 0, 0), (0.999, 1, 2)])
+def test_exact_split_at_the_ends(labelled, frac, fraud, legit):
+    a, b = mf.stratified_split(labelled, frac=frac, exact=True)
+    assert b.filter("is_fraud = 1").count() == fraud and b.filter("is_fraud = 0").count() == legit
+    assert a.count() == 2000 - fraud - legit
+
+
+def test_exact_split(labelled):
+    a, b = mf.stratified_split(labelled, exact=True)
     counts = {r.is_fraud: r["count"] for r in b.groupBy("is_fraud").count().collect()}
     assert counts == {0: 360, 1: 40}
     assert a.unionByName(b).distinct().count() == 2000

@@ -117,3 +117,37 @@ def test_enrich_equals_one_join_after_the_other(spark, order):
     one = enrich.tx_customers(enrich.tx_accounts(tx, acc), cust)
     both = enrich.enrich(tx, acc, cust).select(one.columns)
     assert sorted(map(str, both.collect())) == sorted(map(str, one.collect())) and both.count() == 5
+
+
+def test_hot_account_is_split_in_the_join(spark):
+    """Two thirds of the rows on one account: adaptive execution must split that shuffle partition."""
+    settings_now = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+    }
+    for key, value in settings_now.items():
+        spark.conf.set(key, value)
+    try:
+        i = F.col("id")
+        tx = spark.range(0, 100000, 1, 8).select(
+            i.alias("transaction_id"), F.when(i % 3 != 0, F.lit(5)).otherwise(i % 1000).alias("account_id"), (i % 100).alias("amount")
+        )
+        acc = spark.range(1000).select(
+            i.alias("account_id"), (i % 100).alias("customer_id"), F.lit("s").alias("account_type"), F.lit(1.0).alias("balance")
+        )
+        cust = spark.range(100).select(i.alias("customer_id"), F.lit("n").alias("name"), F.lit("c").alias("city"), F.lit(3).alias("age"))
+        full = enrich.enrich(tx, acc, cust)
+        assert len(full.collect()) == 100000
+        assert "SortMergeJoin(skew=true)" in full._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings_now:
+            spark.conf.unset(key)
+
+
+def test_partitioned_writes_are_rebalanced(spark):
+    text = spark.range(10).withColumn("k", F.lit(1)).hint("rebalance", "k")._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in text
