@@ -43,6 +43,8 @@ FEATURE_LABELS = (
     "City",
 )
 CATEGORIES = ("tx_type", "account_type", "city")
+# Codes of a column with up to this many values are broadcast.
+BROADCAST_CODES = 200_000
 
 
 def category_codes(df: DataFrame, col: str, rows: int | None = None) -> DataFrame:
@@ -61,12 +63,23 @@ def label_encode(df: DataFrame, cols: Sequence[str], rows: int | None = None) ->
     """Adds ``<col>_enc`` for each column: the position of the value among the sorted distinct values."""
     out = df
     for c in cols:
-        lookup = category_codes(df, c, rows).select(F.col("value").alias("_value"), F.col("code").alias(f"{c}_enc"))
+        size = rows if rows is not None and rows <= BROADCAST_CODES else _distinct_up_to(df, c, BROADCAST_CODES)
+        lookup = category_codes(df, c, size).select(F.col("value").alias("_value"), F.col("code").alias(f"{c}_enc"))
         on = F.coalesce(out[c].cast("string"), F.lit("unknown")) == lookup["_value"]
-        out = out.join(lookup, on, "left").drop("_value")
+        out = out.join(lookup if size is None else F.broadcast(lookup), on, "left").drop("_value")
     return out
 
 
+def _distinct_up_to(df: DataFrame, col: str, limit: int) -> int | None:
+    """The number of distinct values (null included), or None when there are more than ``limit``.
+
+    A category holds a large part of the rows, so rows should not be shuffled by it. Its values are counted first, which
+    takes one scan of the column and settles whether their codes can be broadcast.
+    """
+    found = df.select(col).distinct().limit(limit + 1).count()
+    return found if found <= limit else None
+
+
 def feature_table(full: DataFrame, rows: int | None = None, rules: Rules = RULES) -> DataFrame:
     """(transaction_id, 12 numeric features, is_fraud) of the joined transactions.
 
@@ -168,7 +181,8 @@ def class_weights(df: DataFrame, label: str = "is_fraud") -> DataFrame:
         F.col(label).alias("_label"),
         (F.col("_all.n").cast("double") / (F.col("_all.k") * F.col("_n")).cast("double")).alias("weight"),
     )
-    return df.join(weights, df[label].eqNullSafe(weights["_label"]), "left").drop("_label")
+    # One row per class.
+    return df.join(F.broadcast(weights), df[label].eqNullSafe(weights["_label"]), "left").drop("_label")
 
 
 def explain_sample(test: DataFrame, fraud: int = 3, legit: int = 2, id_col: str = "transaction_id") -> DataFrame:

@@ -59,6 +59,10 @@ def by_share(number: Column, limits: tuple[int, int, int], below: bool) -> Colum
     return chosen.otherwise("reversed")
 
 
+# Some keys are left out of customers and accounts, and some values set to null or negated, so that missing join partners
+# and dirty rows occur.
+
+
 def customers_raw(customer: DataFrame, nation: DataFrame) -> DataFrame:
     key = F.col("c_custkey")
     joined = customer.join(nation, customer.c_nationkey == nation.n_nationkey).filter(key % 89 != 0)

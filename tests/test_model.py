@@ -112,6 +112,20 @@ def test_weights(labelled):
     assert {r.is_fraud: r.w for r in out} == {0: 2000 / 3600, 1: 5.0}
 
 
+def test_rows_are_not_shuffled_by_category(labelled, monkeypatch):
+    def text():
+        df = labelled.withColumn("k", F.concat(F.lit("v"), F.col("x")))
+        return mf.label_encode(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in text() and "SortMergeJoin" not in text()
+    monkeypatch.setattr("ledgerflow.ml.features.BROADCAST_CODES", 3)
+    labelled.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" in text()
+    finally:
+        labelled.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_label_encoding(spark):
     df = spark.createDataFrame([("b", "x"), ("a", None), (None, "x")], "k string, m string")
     out = mf.label_encode(df, ["k", "m"]).select("k", "k_enc", "m_enc").collect()
