@@ -44,7 +44,7 @@ FEATURE_LABELS = (
 )
 CATEGORIES = ("tx_type", "account_type", "city")
 # Codes of a column with up to this many values are broadcast.
-BROADCAST_CODES = 200_000
+BROADCAST_CODES = 1_000_000
 
 
 def category_codes(df: DataFrame, col: str, rows: int | None = None) -> DataFrame:

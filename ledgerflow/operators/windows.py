@@ -24,7 +24,7 @@ def account_splits(tx: DataFrame, rows: int | None = None, rows_per_task: int |
 
 
 def _with_ranks(df: DataFrame, group: list[str], value: str, rows: int | None, rows_per_task: int | None) -> DataFrame:
-    """Adds ``_below`` and ``_place`` of ``value`` within the group, largest value first."""
+    """Adds ``_below`` and ``_place`` of ``value`` (never null after cleaning) within the group, largest value first."""
     keyed = df.withColumn("_key", -F.col(value))
     splits = find_splits(keyed, group, ["_key"], rows=rows, rows_per_task=rows_per_task)
     if splits.whole:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.operators import windows as w
 from ledgerflow.plans.quantiles import quantiles
-from ledgerflow.plans.splits import MAX_BUCKETS, cumulate, find_splits, ranked_values
+from ledgerflow.plans.splits import FEW_CUTS, MAX_BUCKETS, cumulate, find_splits, ranked_values
 
 
 @pytest.fixture(scope="module")
@@ -95,12 +95,13 @@ def test_percent_rank(skewed, buckets):
     assert got.count() == 3000
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_percent_rank_with_and_without_a_hot_value(spark, hot):
+@pytest.mark.parametrize("hot, buckets", [(False, 16), (True, 16), (False, 300)])
+def test_percent_rank_with_and_without_a_hot_value(spark, hot, buckets):
     value = F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.xxhash64("id")) if hot else F.xxhash64("id")
     df = spark.range(4000).select(F.col("id").alias("transaction_id"), F.when(F.col("id") != 7, value).alias("amount"))
-    splits = find_splits(df, [], ["amount"], min_buckets=16)
+    splits = find_splits(df, [], ["amount"], min_buckets=buckets)
     assert splits.repeated == hot and not splits.whole
+    assert (len(splits.cuts) > FEW_CUTS) == (buckets == 300)
     expected = df.withColumn("p", F.percent_rank().over(Window.orderBy("amount"))).select("transaction_id", "p")
     both = w.percent_rank_global(df, splits=splits).join(expected, "transaction_id")
     assert both.filter(F.abs(F.col("amount_percentile") - F.col("p") * 100) > 0.0500001).count() == 0 and both.count() == 4000
