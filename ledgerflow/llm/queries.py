@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import shards, warc
+from ledgerflow.llm import packing, shards, simhash, warc
 from ledgerflow.settings import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +69,16 @@ def _(spark, folder):
         "virtual_slot",
         "map_version",
     )
+
+
+@query("op4_simhash")
+def _(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    found = simhash.near_duplicates(docs, width=3, radius=2)
+    return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+
+
+@query("op2_packing")
+def _(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024).drop("ids")
