@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
@@ -12,19 +11,17 @@ from pyspark.sql import functions as F
 
 from ledgerflow.settings import scratch_dir
 
-# Words as the contracts name them: ASCII letters and digits, and everything beyond ASCII.
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_LOWER = {i: i + 32 for i in range(ord("A"), ord("Z") + 1)}
+# Words as the contracts name them: ASCII letters and digits, and everything beyond ASCII. In UTF-8 no byte of a letter
+# beyond ASCII is an ASCII byte, so the rule holds byte by byte.
+_WORD_BYTES = bytes(
+    n + 32 if 65 <= n <= 90 else n if 48 <= n <= 57 or 97 <= n <= 122 or n > 127 else 32 for n in range(256)
+)
 SMALLEST = -(1 << 63)
 
 
-def lower_ascii(text: str) -> str:
-    """Lower-cases A-Z and leaves every other letter as it is."""
-    return text.lower() if text.isascii() else text.translate(_LOWER)
-
-
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall(lower_ascii(text)) if text else []
+def words_of(text: str | None) -> list[bytes]:
+    """The words of a text in UTF-8, A-Z lower-cased; none for null."""
+    return text.encode().translate(_WORD_BYTES).split() if text else []
 
 
 def store(df: DataFrame, label: str) -> DataFrame:

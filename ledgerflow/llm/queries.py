@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import packing, shards, simhash, warc
+from ledgerflow.llm import licenses, packing, repeats, shards, simhash, warc
 from ledgerflow.settings import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,35 @@ def _(spark, folder):
 def _(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024).drop("ids")
+
+
+@query("op6_repeats")
+def _(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    cut = repeats.remove_repeats(docs, least=200)
+    return cut.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        "_cut.n_removed",
+        "_cut.n_spans",
+        F.sha2("_cut.kept", 256).alias("kept_sha256"),
+    )
+
+
+@query("op3_licenses")
+def _(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    found = licenses.scan(docs, licenses.build(docs))
+    base = F.filter("license.places", lambda p: p["base"])
+    starts = F.transform(base, lambda p: p["first"])
+    named = lambda places: F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))), ",")
+    return found.select(
+        "doc_id",
+        "license.n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        named(base).alias("base_labels"),
+        named(F.col("license.places")).alias("labels"),
+        "license.score",
+    )
