@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import licenses, packing, repeats, shards, simhash, warc
+from ledgerflow.llm import contamination, licenses, packing, quality, repeats, shards, simhash, warc
 from ledgerflow.settings import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,19 @@ def _(spark, folder):
         named(F.col("license.places")).alias("labels"),
         "license.score",
     )
+
+
+@query("op7_quality")
+def _(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    model = quality.train(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    scored = quality.with_score(docs, model)
+    return scored.select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query("op1_contamination")
+def _(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    return contamination.leaks(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
