@@ -1,8 +1,77 @@
-"""From raw documents to packed sequences, one stage after the other."""
+"""From raw documents to packed token sequences.
 
-STAGES = []
+Each stage takes all documents its predecessor kept and returns those that stay, with the columns of ``documents``; the
+last one returns packed pieces. ``run`` stores every stage's result in the shared folder before the next one reads it.
+Repeated, empty and null texts and null ids pass through every stage; an empty table gives an empty result.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+import ledgerflow.llm.common as common
+import ledgerflow.llm.contamination as contamination
+import ledgerflow.llm.packing as packing
+import ledgerflow.llm.quality as quality
+import ledgerflow.llm.repeats as repeats
+import ledgerflow.llm.simhash as simhash
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labelled ones among them, scores 0.5 or more."""
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.with_score(docs, model, "_score").filter("_score >= 0.5").drop("_score")
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of SimHash near-duplicates the document with the smallest id; of rows without ids, one by its text."""
+    # Ids made from texts come after all real ones.
+    own = F.coalesce("doc_id", F.lit(1 << 62) + F.xxhash64("text").bitwiseAND((1 << 61) - 1))
+    found = common.store(simhash.near_duplicates(docs.select(own.alias("doc_id"), "text")), "near-duplicates")
+    first = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    kept = docs.withColumn("_own", own).join(first.withColumnRenamed("doc_id", "_own"), "_own", "left_semi")
+    if not first.filter("rows > 1").isEmpty():
+        kept = kept.dropDuplicates(["_own"])
+    return kept.select(*docs.columns)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the strings of 200 bytes and more that occur twice; a character goes when any byte of it goes."""
+    cut = repeats.remove_repeats(docs, least=200, whole_characters=True)
+    text = F.when(F.col("text").isNotNull(), F.col("_cut.kept").cast("string"))
+    changed = cut.withColumns({"text": text, "n_chars": F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))})
+    return changed.select(*docs.columns)
+
+
+def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return contamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' token ids in sequences of at most 1024."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024)
+
+
+STAGES = [
+    ("quality classifier", good_quality),
+    ("SimHash near-dedup", one_of_each),
+    ("suffix-array dedup", without_repeats),
+    ("benchmark decontamination", without_benchmarks),
+    ("best-fit packing", packed),
+]
+
+# Fitted models, fingerprints and tokenizers are beyond SQL; tests/llm compares run() with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the documents of a folder."""
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    for n, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir.rstrip("/"))
+        if n + 1 < len(STAGES):
+            docs = common.store(docs, "stage")
+    return docs

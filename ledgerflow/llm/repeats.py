@@ -236,9 +236,9 @@ def spans_of(still: DataFrame, docs: DataFrame, sizes: Sizes) -> DataFrame:
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Batches with a ``bytes`` column in parts of bounded size: (part, all bytes, start of each row's bytes)."""
-    for whole in batches:
-        for at in range(0, whole.num_rows, 2048):
-            part = whole.slice(at, 2048)
+    for batch in batches:
+        for at in range(0, batch.num_rows, 2048):
+            part = batch.slice(at, 2048)
             pieces = part.column(part.schema.get_field_index("bytes")).to_pylist()
             lengths = np.array([len(p) for p in pieces], dtype=np.int64)
             yield part, np.frombuffer(b"".join(pieces), dtype=np.uint8), np.cumsum(lengths) - lengths
@@ -283,8 +283,8 @@ def cells(spans: DataFrame, sizes: Sizes) -> DataFrame:
 def windows(still: DataFrame, spans: DataFrame, sizes: Sizes) -> DataFrame:
     """The single windows of open cells."""
     columns = ["c1", "c2", "f1", "f2", "n", *PLACES]
-    whole = spans.select(*KEY, F.col("s0").alias("span"), "bytes")
-    joined = still.join(whole, [*KEY, "span"])
+    texts = spans.select(*KEY, F.col("s0").alias("span"), "bytes")
+    joined = still.join(texts, [*KEY, "span"])
 
     def divide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offset in _spans(batches):
@@ -335,11 +335,26 @@ def merged(starts: list[tuple[int, int]], least: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def remove_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def whole(spans: list[tuple[int, int]], body: bytes) -> list[tuple[int, int]]:
+    """Spans widened to whole UTF-8 characters; those that then touch are one."""
+    out: list[tuple[int, int]] = []
+    for a, b in spans:
+        while a > 0 and body[a] & 0xC0 == 0x80:
+            a -= 1
+        while b < len(body) and body[b] & 0xC0 == 0x80:
+            b += 1
+        if out and a <= out[-1][1]:
+            a, _ = out.pop()
+        out.append((a, b))
+    return out
+
+
+def remove_repeats(docs: DataFrame, least: int = LEAST, whole_characters: bool = False) -> DataFrame:
     """``docs`` (doc_id, text and any others) with a column ``_cut``: kept (bytes), n_removed and n_spans.
 
     Every byte is removed that lies in a string of ``least`` bytes which starts at another place too, in the same text or
-    any other; repeated rows count as other places. Null texts are empty. Texts that lose nothing are not moved.
+    any other; repeated rows count as other places. With ``whole_characters`` the rest of a character that loses a byte goes
+    too. Null texts are empty. Texts that lose nothing are not moved. Column names that start with ``_`` are taken.
     """
     found = store(repeated_windows(docs, least), "repeats-found")
     per_text = found.groupBy(*KEY).agg(F.collect_set(F.struct("s0", "s1")).alias("_starts"))
@@ -352,6 +367,8 @@ def remove_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
         for text, places in zip(texts, starts):
             body, at, kept, removed = (text.as_py() or "").encode(), 0, [], 0
             spans = merged([(p["s0"], p["s1"]) for p in places.as_py() or []], least)
+            if whole_characters:
+                spans = whole(spans, body)
             for a, b in spans:
                 kept.append(body[at:a])
                 removed, at = removed + b - a, b
@@ -362,6 +379,6 @@ def remove_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     touched = maybe(keyed, wanted)
     some = touched.join(per_text, KEY, "left").withColumn("_cut", cut("text", "_starts")).select(*docs.columns, "_cut")
     zero = F.lit(0).cast("long")
-    whole = F.struct(F.coalesce("text", F.lit("")).cast("binary").alias("kept"), zero.alias("n_removed"), zero.alias("n_spans"))
-    others = maybe(keyed, wanted, outside=True).withColumn("_cut", whole).select(*docs.columns, "_cut")
+    intact = F.struct(F.coalesce("text", F.lit("")).cast("binary").alias("kept"), zero.alias("n_removed"), zero.alias("n_spans"))
+    others = maybe(keyed, wanted, outside=True).withColumn("_cut", intact).select(*docs.columns, "_cut")
     return some.unionByName(others)
