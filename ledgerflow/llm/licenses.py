@@ -4,8 +4,8 @@ Templates are short notices with mandatory key phrases. Two passes over the text
 template word occurs, the second looks the notices up. The index holds, for each template word, where it stands in which
 template. Of each key phrase the word with the highest IDF is the one looked up; a file that lacks it cannot hold
 the phrase, so common words are never searched and nothing is missed. A hit aligns the file with the template; the other
-words are intersected at the same relative position, and the key phrases must stand in full, in their places or up to
-``SLACK`` words off.
+words are intersected at the same relative position, and the key phrases must stand in full, the second one up to ``SLACK``
+words off its place.
 """
 
 from __future__ import annotations
@@ -125,55 +125,74 @@ def file_counts(docs: DataFrame, words: Sequence[bytes], text: str = "text") ->
 
 
 class Index:
-    """The templates' words by position, and which word of each key phrase is the rarest."""
+    """The templates' words by position, and which word of each template's rarest key phrase is looked up.
+
+    Which one that is follows from the IDFs and decides how much is searched, not what is found.
+    """
 
     def __init__(self, idf: Mapping[bytes, float], templates: Sequence[Template] = TEMPLATES, slack: int = SLACK):
-        self.templates, self.slack = templates, slack
+        self.templates, self.slack, self.idf = templates, slack, idf
         self.words = [words_of(t.text) for t in templates]
         self.keys = [[(self._at(n, words_of(k)), words_of(k)) for k in t.keys or (t.text,)] for n, t in enumerate(templates)]
-        # word -> (template, position in the template), for the one key phrase of each template that is rarest
-        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        self.idf = idf
+        if any(len(keys) > 2 for keys in self.keys):
+            raise ValueError("a template has one or two key phrases")
+        # word -> (template, key phrase, position in the template)
+        self.postings: dict[bytes, list[tuple[int, int, int]]] = defaultdict(list)
         for n, keys in enumerate(self.keys):
-            probes = [max(range(len(words)), key=lambda i: (idf[words[i]], -i)) for _, words in keys]
-            best = max(range(len(keys)), key=lambda k: (idf[keys[k][1][probes[k]]], -k))
-            at, words = keys[best]
-            self.postings[words[probes[best]]].append((n, at + probes[best]))
+            spots = [(k, i, w) for k, (_, words) in enumerate(keys) for i, w in enumerate(words)]
+            k, i, word = max(spots, key=lambda s: (idf[s[2]], -s[0], -s[1]))
+            self.postings[word].append((n, k, keys[k][0] + i))
         self.probes = frozenset(self.postings)
 
     def _at(self, n: int, key: list[bytes]) -> int:
         words = self.words[n]
         return next(i for i in range(len(words)) if words[i : i + len(key)] == key)
 
-    def _verified(self, n: int, start: int, words: list[bytes]) -> bool:
-        """Whether all key phrases stand where this alignment has them, or up to ``slack`` words off for notices."""
-        for at, key in self.keys[n]:
-            offs = (0,) if self.templates[n].base else range(-self.slack, self.slack + 1)
-            if not any(start + at + off >= 0 and words[start + at + off : start + at + off + len(key)] == key for off in offs):
-                return False
-        return True
+    def _stands(self, n: int, k: int, start: int, words: list[bytes]) -> bool:
+        """Whether a key phrase stands at its place when the template starts at ``start``."""
+        at, key = self.keys[n][k]
+        return start + at >= 0 and words[start + at : start + at + len(key)] == key
+
+    def _coverage(self, n: int, start: int, words: list[bytes]) -> float:
+        """The share of a template's words that stand at their relative positions."""
+        template = self.words[n]
+        return sum(start + j >= 0 and words[start + j : start + j + 1] == [w] for j, w in enumerate(template)) / len(template)
+
+    def _verified(self, n: int, k: int, start: int, words: list[bytes]) -> Iterator[tuple[int, float]]:
+        """(start, coverage) of the notices of which key phrase ``k`` stands at ``start``.
+
+        The start is that of the first key phrase; the second may be ``slack`` words off. Words that were put in or left
+        out between them shift the rest, so the better of both alignments counts.
+        """
+        if not self._stands(n, k, start, words):
+            return
+        if len(self.keys[n]) == 1:
+            yield start, self._coverage(n, start, words)
+            return
+        near = range(-self.slack, self.slack + 1)
+        for first in [start] if k == 0 else [start + d for d in near if self._stands(n, 0, start + d, words)]:
+            others = [first + d for d in near if self._stands(n, 1, first + d, words)]
+            if others:
+                yield first, max(self._coverage(n, s, words) for s in (first, *others))
 
     def find(self, text: str | None) -> dict:
-        """The notices of a file: number of words, places of verified notices, and the best coverage of any notice."""
+        """The notices of a file: number of words, places of verified notices, and the best coverage of them (none: 0)."""
         words = words_of(text)
         hits = self.probes.intersection(words)
-        places, best = [], 0.0
+        places = set()
         if hits:
             at: dict[bytes, list[int]] = {w: [] for w in hits}
             for i, w in enumerate(words):
                 if w in hits:
                     at[w].append(i)
             for word in sorted(hits, key=lambda w: (-self.idf[w], w)):
-                for n, q in self.postings[word]:
-                    template = self.words[n]
-                    for start in sorted({p - q for p in at[word]}):
-                        same = sum(start + j >= 0 and words[start + j : start + j + 1] == [w] for j, w in enumerate(template))
-                        coverage = same / len(template)
-                        best = max(best, coverage)
-                        if self._verified(n, start, words):
-                            places.append((self.templates[n].label, max(0, start), len(template), coverage, self.templates[n].base))
+                for n, k, q in self.postings[word]:
+                    for p in at[word]:
+                        for start, coverage in self._verified(n, k, p - q, words):
+                            places.add((self.templates[n].label, max(0, start), len(self.words[n]), coverage, self.templates[n].base))
         keys = ("label", "first", "words", "coverage", "base")
-        return {"n_words": len(words), "score": best, "places": [dict(zip(keys, p)) for p in sorted(places)]}
+        found = [dict(zip(keys, p)) for p in sorted(places)]
+        return {"n_words": len(words), "score": max((p["coverage"] for p in found), default=0.0), "places": found}
 
 
 def build(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, text: str = "text") -> Index:
