@@ -24,10 +24,10 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().translate(_WORD_BYTES).split() if text else []
 
 
-def store(df: DataFrame, label: str) -> DataFrame:
+def store(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: later steps neither recompute it nor depend on an executor."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path, compression="zstd")
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -34,7 +34,8 @@ END = 2
 MOST_CACHED = 300_000
 LONG_CHUNK = 48
 ROUNDS = 600
-SHARES = (0.95, 0.8, 0.6, 0.4)  # of the fitted counts to use; a residual like the whole packs better than a lopsided one
+SPARE = (1e-4, 1e-3)
+SHARES = (1.0, 0.95, 0.8, 0.6, 0.4, 0.2, 0.1)  # of the fitted counts to use; a residual like the whole packs better than a lopsided one
 FLUSH = 4 << 20
 # Fixed value: the pattern by which byte-level BPE files without one of their own cut a text.
 WORDS_AND_SPACES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -161,7 +162,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
         if rows:
             yield flush()
 
-    return store(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, PIECES), "pieces")
+    return store(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, PIECES), "pieces", "zstd")
 
 
 @dataclass(frozen=True)
@@ -185,9 +186,10 @@ def patterns(present: np.ndarray, capacity: int) -> np.ndarray:
     return np.stack([a[fits], b[fits], c[fits]], axis=1)
 
 
-def fit(triples: np.ndarray, histogram: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+def fit(triples: np.ndarray, histogram: np.ndarray, spare: float = 0.0, rounds: int = ROUNDS) -> np.ndarray:
     """Non-negative repeat counts of the patterns whose lengths come closest to the histogram in weighted squares.
 
+    ``spare`` charges patterns of three pieces, which use up the short ones that the residual needs to fill gaps.
     Accelerated projected gradient; the columns hold at most three lengths each, so a round is a few sums over the patterns.
     """
     size = len(histogram)
@@ -202,11 +204,12 @@ def fit(triples: np.ndarray, histogram: np.ndarray, rounds: int = ROUNDS) -> np.
     # A length in few patterns, as the long ones are, counts the more; with these weights no eigenvalue exceeds 3.
     weight = 1.0 / np.maximum(lengths_of(np.ones(len(triples))), 1.0)
     weight[0] = 0.0
+    charge = spare * target.max() * (triples[:, 2] > 0)
     x = ahead = np.zeros(len(triples))
     pace = 1.0
     for _ in range(rounds):
         slope = weight * (lengths_of(ahead) - target)
-        nearer = np.maximum(ahead - (slope[triples[:, 0]] + slope[triples[:, 1]] + slope[triples[:, 2]]) / 3, 0.0)
+        nearer = np.maximum(ahead - (slope[triples[:, 0]] + slope[triples[:, 1]] + slope[triples[:, 2]] + charge) / 3, 0.0)
         following = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         ahead, x, pace = nearer + (pace - 1) / following * (nearer - x), nearer, following
     return x
@@ -240,7 +243,7 @@ def best_fit(histogram: dict[int, int], capacity: int) -> list[Run]:
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Run]:
-    """Sequences for all pieces of a histogram of lengths: the fewest that any of ``SHARES`` gives."""
+    """Sequences for all pieces of a histogram of lengths: the fewest that any of ``SPARE`` and ``SHARES`` gives."""
     left = {k: v for k, v in histogram.items() if v}
     full = [Run((capacity,), left.pop(capacity))] if capacity in left else []
     triples = patterns(np.array(sorted(left), dtype=np.int64), capacity)
@@ -248,8 +251,8 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Run]:
         return full + best_fit(left, capacity)
     dense = np.zeros(capacity + 1)
     dense[list(left)] = list(left.values())
-    counts = fit(triples, dense)
-    found = [by_patterns(triples, rounded(counts * share), left, capacity) for share in SHARES]
+    fits = [fit(triples, dense, spare) for spare in SPARE]
+    found = [by_patterns(triples, rounded(counts * share), left, capacity) for counts in fits for share in SHARES]
     return full + min(found, key=lambda runs: sum(r.count for r in runs))
 
 
