@@ -73,8 +73,8 @@ def parents(messages: DataFrame) -> DataFrame:
     )
     asked = messages.select("scope", "place", F.inline(wanted)).filter("hash IS NOT NULL").distinct()
     found = asked.join(earliest, ["scope", "hash"]).filter("parent < place")
-    best = F.min(F.struct("level", "rank", (-F.col("parent")).alias("back")))
-    return found.groupBy("scope", "place").agg(best.alias("best")).select("scope", "place", (-F.col("best.back")).alias("parent"))
+    best = F.min(F.struct("level", "rank", F.bitwise_not("parent").alias("back")))
+    return found.groupBy("scope", "place").agg(best.alias("best")).select("scope", "place", F.bitwise_not("best.back").alias("parent"))
 
 
 def threads(nodes: DataFrame) -> DataFrame:
@@ -97,12 +97,14 @@ def conversations(messages: DataFrame, scope: str, place: str, text: str = "text
 
     ``scope`` names where quotes are looked up, such as a mailbox; ``place`` orders messages in time within it. A thread is
     a root with all replies to it and to each other; ``position`` counts its messages from 0 by depth, then time, so each
-    follows the one it answers. Null scopes and places are one of their own, before all others. Messages at one place share
+    follows the one it answers. Columns of ``messages`` with these names are replaced. Null scopes and places are one of their own, before all others. Messages at one place share
     parent, root and depth and are numbered in the order of their own texts. Null texts are empty and quote nothing.
     """
-    least = F.lit(SMALLEST)
-    keyed = messages.withColumns({"scope": F.coalesce(F.col(scope).cast("long"), least), "place": F.coalesce(F.col(place).cast("long"), least)})
-    split = store(parsed(keyed, text), "messages")
+    # The caller's columns get names of their own, so that none of them meets a name used here.
+    mine = {c: f"_in{n}" for n, c in enumerate(messages.columns)}
+    least, inner = F.lit(SMALLEST), messages.withColumnsRenamed(mine)
+    keyed = inner.withColumns({k: F.coalesce(F.col(mine[c]).cast("long"), least) for k, c in (("scope", scope), ("place", place))})
+    split = store(parsed(keyed, mine[text]), "messages")
     known = split.select("scope", "place").distinct().join(parents(split), ["scope", "place"], "left")
     tree = threads(known)
     placed = split.withColumn("n_quotes", F.size("passages")).drop("passages").join(tree, ["scope", "place"])
@@ -110,7 +112,7 @@ def conversations(messages: DataFrame, scope: str, place: str, text: str = "text
     splits = find_splits(placed, ["scope", "root"], ["depth", "place", "_own"], rows_per_task=rows_per_task)
     numbered = cumulate(placed, splits, {"position": F.lit(1).cast("long")})
     named = lambda c: F.when(F.col(c) != least, F.col(c)).alias(c)
-    kept = [c for c in messages.columns if c not in ("parent", "root", "depth", "position", "own", "n_quotes")]
+    kept = [F.col(i).alias(c) for c, i in mine.items() if c not in ("parent", "root", "depth", "position", "own", "n_quotes")]
     return numbered.select(*kept, named("parent"), named("root"), "depth", (F.col("position") - 1).alias("position"), "own", "n_quotes")
 
 
