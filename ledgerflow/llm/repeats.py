@@ -179,8 +179,8 @@ def anchor_names(docs: DataFrame, sizes: Sizes) -> DataFrame:
 
 
 def runs(docs: DataFrame, sizes: Sizes, repeated: np.ndarray) -> DataFrame:
-    """The runs of windows whose anchor's name may occur again: names of anchor (c) and run (f), place and anchor."""
-    columns = ["c1", "c2", "f1", "f2", "n", *PLACES, "anchor"]
+    """The runs of windows whose anchor's name may occur again: names of the anchor (c) and the run (f), place and anchor."""
+    columns = ["c", "f1", "f2", "n", *PLACES, "anchor"]
     shared = docs.sparkSession.sparkContext.broadcast(repeated)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,23 +194,23 @@ def runs(docs: DataFrame, sizes: Sizes, repeated: np.ndarray) -> DataFrame:
             f1, f2 = name_pairs(names[sizes.block], sizes.block, first, last - first + sizes.least)
             # Equal bytes around differently placed anchors are no equal runs.
             f2 = mix(f2, (at - first).astype(np.uint64))
-            c1, none, one = names[sizes.k][at], np.zeros(len(at), dtype=np.int64), np.ones(len(at), dtype=np.int64)
-            yield _batch(columns, c1, none, f1, f2, one, ids[first], texts[first], own[first], own[last], own[at])
+            yield _batch(columns, names[sizes.k][at], f1, f2, np.ones(len(at), dtype=np.int64), ids[first], texts[first], own[first], own[last], own[at])
 
     return docs.mapInArrow(find, _longs(*columns))
 
 
 def settle(items: DataFrame, payload: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """One round of regrouping. ``items``: names c1, c2 of what all their windows share, f1, f2 of all their bytes, places n.
+    """One round of regrouping. ``items``: a name c of what all their windows share, f1, f2 of all their bytes, places n.
 
-    Items whose full name occurs again are done: all their windows repeat. Where items share c1, c2 but not f1, f2, one
-    item of each full name stays open, with the number of its places. All others are unique and leave.
+    Items whose full name occurs again are done: all their windows repeat. Where items share c but not f1, f2, one item of
+    each full name stays open, with the number of its places. All others are unique and leave. Unlike strings that
+    happen to share c stay open for nothing; only equal f1, f2 count as equal.
     """
-    full = ["c1", "c2", "f1", "f2"]
+    full = ["c", "f1", "f2"]
     kinds = store(items.groupBy(*full).agg(F.sum("n").alias("n"), F.min(F.struct(*payload)).alias("at")), "repeats-kinds")
     done = items.join(kinds.filter("n > 1").select(*full), full, "left_semi")
-    mixed = kinds.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
-    still = kinds.join(mixed, ["c1", "c2"], "left_semi").select("n", "at.*")
+    mixed = kinds.groupBy("c").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    still = kinds.join(mixed, "c", "left_semi").select("n", "at.*")
     return done.select(*PLACES), still
 
 
@@ -257,7 +257,7 @@ def _spread(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def cells(spans: DataFrame, sizes: Sizes) -> DataFrame:
     """Open runs divided into cells of neighbouring distances to the anchor."""
-    columns = ["c1", "c2", "f1", "f2", "n", *PLACES, "span"]
+    columns = ["c", "f1", "f2", "n", *PLACES, "span"]
 
     def divide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offset in _spans(batches):
@@ -269,20 +269,19 @@ def cells(spans: DataFrame, sizes: Sizes) -> DataFrame:
             first, last = anchor[row] - far, anchor[row] - near
             here = offset[row] - s0[row]
             core = anchor[row] - cell * sizes.cell
-            c1, c2 = name_pairs(names[sizes.block], sizes.block, here + core, np.full(len(row), sizes.least - sizes.cell + 1))
-            c2 = mix(c2, names[sizes.k][here + anchor[row]])
+            c = mix(*name_pairs(names[sizes.block], sizes.block, here + core, np.full(len(row), sizes.least - sizes.cell + 1)))
             f1, f2 = name_pairs(names[sizes.block], sizes.block, here + first, last - first + sizes.least)
             f2 = mix(f2, (anchor[row] - first).astype(np.uint64))
-            c2 = mix(c2, cell.astype(np.uint64))
+            c = mix(c, cell.astype(np.uint64))
             n, ids, texts = (_column(part, c)[row] for c in ("n", *KEY))
-            yield _batch(columns, c1, c2, f1, f2, n, ids, texts, first, last, s0[row])
+            yield _batch(columns, c, f1, f2, n, ids, texts, first, last, s0[row])
 
     return store(spans.mapInArrow(divide, _longs(*columns)), "repeats-cells")
 
 
 def windows(still: DataFrame, spans: DataFrame, sizes: Sizes) -> DataFrame:
-    """The single windows of open cells."""
-    columns = ["c1", "c2", "f1", "f2", "n", *PLACES]
+    """The single windows of open cells that repeat."""
+    columns = ["f1", "f2", "n", *KEY, "s0"]
     texts = spans.select(*KEY, F.col("s0").alias("span"), "bytes")
     joined = still.join(texts, [*KEY, "span"])
 
@@ -292,9 +291,11 @@ def windows(still: DataFrame, spans: DataFrame, sizes: Sizes) -> DataFrame:
             row, at = _spread(_column(part, "s0"), _column(part, "s1"))
             f1, f2 = name_pairs(names[sizes.block], sizes.block, offset[row] + at - _column(part, "span")[row], np.full(len(row), sizes.least))
             n, ids, texts = (_column(part, c)[row] for c in ("n", *KEY))
-            yield _batch(columns, f1, f2, f1, f2, n, ids, texts, at, at)
+            yield _batch(columns, f1, f2, n, ids, texts, at)
 
-    return store(joined.mapInArrow(divide, _longs(*columns)), "repeats-windows")
+    found = store(joined.mapInArrow(divide, _longs(*columns)), "repeats-windows")
+    again = found.groupBy("f1", "f2").agg(F.sum("n").alias("n")).filter("n > 1").drop("n")
+    return found.join(again, ["f1", "f2"], "left_semi").select(*KEY, "s0", F.col("s0").alias("s1"))
 
 
 def repeated_windows(docs: DataFrame, least: int = LEAST) -> DataFrame:
@@ -306,8 +307,7 @@ def repeated_windows(docs: DataFrame, least: int = LEAST) -> DataFrame:
     done, still = settle(items, [*PLACES, "anchor"])
     spans = spans_of(still, keyed, sizes)
     done_cells, still_cells = settle(cells(spans, sizes), [*PLACES, "span"])
-    done_windows, _ = settle(windows(still_cells, spans, sizes), PLACES)
-    return done.unionByName(done_cells).unionByName(done_windows)
+    return done.unionByName(done_cells).unionByName(windows(still_cells, spans, sizes))
 
 
 def maybe(docs: DataFrame, bits: np.ndarray, outside: bool = False) -> DataFrame:
