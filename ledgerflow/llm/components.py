@@ -30,14 +30,17 @@ def _small_star(links: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every key in ``links`` (a, b: long, not null) but the roots: ``root`` is the smallest key reachable.
 
-    Each step is stored in the shared folder. The steps end when the links no longer change, after a number of rounds that
-    grows with the logarithm of the longest path. Nothing is gathered but one count and one checksum per round.
+    Each step is stored in the shared folder. The steps end when the links form stars around roots, after a number of
+    rounds that grows with the logarithm of the longest path. Nothing is gathered but one answer per round.
     """
     now = store(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    seen = None
-    while True:
-        state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
-        if state == seen or state[0] == 0:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = state
+    while not _stars(now):
         now = store(_small_star(_large_star(now)), "links")
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def _stars(links: DataFrame) -> bool:
+    """Whether every key is linked to one smaller key at most, and none to a key that is linked to a smaller one itself."""
+    end = lambda key, up, down: F.struct(F.col(key).alias("key"), F.lit(up).alias("up"), F.lit(down).alias("down"))
+    keys = links.select(F.inline(F.array(end("a", 1, 0), end("b", 0, 1)))).groupBy("key").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return keys.filter("up > 1 OR up > 0 AND down > 0").isEmpty()
