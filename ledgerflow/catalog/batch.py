@@ -272,3 +272,50 @@ def _(star):
 )
 def _(star):
     return a.recent_transactions(f.fraud_label(star.full, rows=star.rows), 10)
+
+
+@query("value_share_tx_type_joined", share_sql("tx_type", "joined"))
+def _(star):
+    return a.value_share(star.full, "tx_type")
+
+
+@query(
+    "stream_type_counts",
+    oracle("events_done", "SELECT tx_type, count(*) AS total, count_if(is_fraud = 1) AS flagged FROM events_done GROUP BY 1"),
+)
+def _(star):
+    return a.stream_type_counts(f.is_flagged(f.rule_flags(star.live)))
+
+
+BATCH_FEATURES = """SELECT transaction_id, account_id, CAST(amount AS DOUBLE) AS amount, tx_type, "timestamp", status, merchant, category,
+  tx_direction, customer_id, account_type, CAST(balance AS DOUBLE) AS balance, name, city, age,
+  year("timestamp") AS year, month("timestamp") AS month, hour("timestamp") AS hour,
+  dayofweek("timestamp") + 1 AS day_of_week, CASE WHEN isodow("timestamp") >= 6 THEN 1 ELSE 0 END AS is_weekend,
+  CASE WHEN hour("timestamp") BETWEEN 6 AND 11 THEN 'morning' WHEN hour("timestamp") BETWEEN 12 AND 17 THEN 'afternoon'
+       WHEN hour("timestamp") BETWEEN 18 AND 21 THEN 'evening' ELSE 'night' END AS time_of_day,
+  CASE WHEN amount < 500 THEN 'small' WHEN amount < 5000 THEN 'medium' WHEN amount < 20000 THEN 'large' ELSE 'very_large' END AS amount_category,
+  CASE WHEN amount > 30000 OR status = 'failed' THEN 1 ELSE 0 END AS is_suspicious FROM joined"""
+
+
+def stored_run(star):
+    out = scratch_dir(star.spark, "run")
+    pipeline.run(star.spark, star.tx_raw, star.accounts_raw, star.customers_raw, out, COPY_ORDER)
+    return out
+
+
+@query("batch_full", oracle("joined", BATCH_FEATURES))
+def _(star):
+    # `part_id` only orders copies.
+    return star.spark.read.parquet(f"{stored_run(star)}/banking_full").drop("part_id")
+
+
+@query(
+    "batch_rankings",
+    oracle(
+        "spend",
+        f"""SELECT s.*, rank() OVER (PARTITION BY city ORDER BY total_spend DESC) AS rank_in_city,
+            dense_rank() OVER (PARTITION BY city ORDER BY total_spend DESC) AS dense_rank FROM ({SPEND}) s""",
+    ),
+)
+def _(star):
+    return star.spark.read.parquet(f"{stored_run(star)}/customer_rankings")

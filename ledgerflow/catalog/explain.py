@@ -6,6 +6,7 @@ from ledgerflow.catalog.model import fitted, sides, stored
 from ledgerflow.catalog.registry import query
 from ledgerflow.explain import report, tree
 from ledgerflow.ml import features as mf
+from ledgerflow.ml import train
 from ledgerflow.plans.adapter_sql import PARTS, oracle
 
 # Coefficients of an example score, one per feature.
@@ -136,3 +137,20 @@ def _(star):
 def _(star):
     model, test = fitted(star, "random_forest")
     return report.reason_codes(tree.tree_contributions(model, mf.explain_sample(test)), 3)
+
+
+@query(
+    "tree_contributions_check",
+    oracle("test_set", "SELECT transaction_id, TRUE AS adds_up, TRUE AS same_probability FROM test_set"),
+)
+def _(star):
+    """Base and contributions add up to the probability, and to the one the model itself gives."""
+    model, test = fitted(star, "random_forest")
+    explained = tree.tree_contributions(model, test)
+    scored = train.score(model, test).select("transaction_id", F.col("probability").alias("given"))
+    total = F.col("base") + F.aggregate("phi", F.lit(0.0), lambda a, x: a + x)
+    return explained.join(scored, "transaction_id").select(
+        "transaction_id",
+        (F.abs(total - F.col("probability")) < 1e-6).alias("adds_up"),
+        (F.abs(F.col("probability") - F.col("given")) < 1e-6).alias("same_probability"),
+    )

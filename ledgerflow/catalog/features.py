@@ -2,7 +2,7 @@
 
 
 from ledgerflow.catalog.registry import query
-from ledgerflow.catalog.sources import PATTERN_SQL
+from ledgerflow.catalog.sources import FEW, PATTERN_SQL
 from ledgerflow.functions import features as f
 from ledgerflow.ml.features import label_encode
 from ledgerflow.operators import enrich, predicates
@@ -110,6 +110,11 @@ def _(star):
     return f.fraud_label(star.tx, rows=star.rows).select("transaction_id", "is_fraud")
 
 
+@column("fraud_label_ranked", "is_fraud", "labelled")
+def _(star):
+    return f.fraud_label(star.tx, rows=star.rows, rows_per_task=FEW).select("transaction_id", "is_fraud")
+
+
 @column("amount_to_balance", "CAST(amount AS DOUBLE) / (CAST(balance AS DOUBLE) + 1.0) AS amount_to_balance", "joined")
 def _(star):
     return f.amount_to_balance(star.full).select("transaction_id", "amount_to_balance")
@@ -157,6 +162,20 @@ def _(star):
     return label_encode(star.full, cols, rows=star.rows).select("transaction_id", *[f"{c}_enc" for c in cols])
 
 
+@query(
+    "label_encode_joined",
+    oracle(
+        "joined",
+        f"""SELECT j.transaction_id, CAST(b.code AS INTEGER) AS account_type_enc, CAST(d.code AS INTEGER) AS city_enc FROM joined j
+            JOIN {codes_sql('account_type', 'joined')} b ON b.v = coalesce(j.account_type, 'unknown')
+            JOIN {codes_sql('city', 'joined')} d ON d.v = coalesce(j.city, 'unknown')""",
+    ),
+)
+def _(star):
+    cols = ("account_type", "city")
+    return label_encode(star.full, cols, broadcast_bytes=0).select("transaction_id", *[f"{c}_enc" for c in cols])
+
+
 @column("unit_scale", "CAST(amount AS DOUBLE) / 1000.0 AS thousands, CAST(amount AS DOUBLE) / 1000000.0 AS millions")
 def _(star):
     scaled = f.unit_scale(f.unit_scale(star.tx, "amount", 1e3, "thousands"), "amount", 1e6, "millions")

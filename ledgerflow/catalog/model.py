@@ -4,6 +4,8 @@ Metrics are checked on a score that SQL can compute as well, so that no fitting
 session and data folder, since several queries read the same one.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +37,14 @@ PARTS["feature_table"] = (
         JOIN {codes_sql('city_f', 'prepared')} c ON c.v = p.city_f""",
     ("prepared",),
 )
-PARTS["train_set"] = ("SELECT * FROM feature_table WHERE md5('42:' || transaction_id) < 'cccccccc'", ("feature_table",))
-PARTS["test_set"] = ("SELECT * FROM feature_table WHERE md5('42:' || transaction_id) >= 'cccccccc'", ("feature_table",))
+PARTS["sides"] = (
+    """SELECT *, row_number() OVER (PARTITION BY is_fraud ORDER BY md5('42:' || transaction_id), transaction_id)
+         <= n - (n + 4) // 5 AS in_train
+       FROM feature_table JOIN (SELECT is_fraud, count(*) AS n FROM feature_table GROUP BY 1) USING (is_fraud)""",
+    ("feature_table",),
+)
+PARTS["train_set"] = ("SELECT * FROM sides WHERE in_train", ("sides",))
+PARTS["test_set"] = ("SELECT * FROM sides WHERE NOT in_train", ("sides",))
 
 COLUMNS = ", ".join(mf.FEATURES)
 
@@ -51,8 +59,8 @@ def stored(star: Star) -> DataFrame:
 
 
 def sides(star: Star) -> tuple[DataFrame, DataFrame]:
-    """The stored train and test rows."""
-    train_rows, test_rows = mf.stratified_split(stored(star))
+    """The stored train and test rows; every class is divided exactly."""
+    train_rows, test_rows = mf.stratified_split(stored(star), exact=True)
     return star.stored("train", lambda: train_rows), star.stored("test", lambda: test_rows)
 
 
@@ -90,16 +98,22 @@ def _(star):
     return a.withColumn("side", F.lit("train")).unionByName(b.withColumn("side", F.lit("test")))
 
 
-SCALED = ("amount", "age", "balance", "amount_to_balance", "hour", "city_enc")
-SCALED_SQL = ", ".join(
-    f"round((t.{c} - (SELECT avg({c}) FROM train_set)) / (SELECT stddev_pop({c}) FROM train_set), 6) AS {c}" for c in SCALED
-)
+FITTED_SQL = "SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in mf.FEATURES) + " FROM train_set"
+SCALED_SQL = ", ".join(f"round((t.{c} - m_{c}) / (CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1.0 END), 6) AS {c}" for c in mf.FEATURES)
 
 
-@query("standardize", oracle("train_set test_set", f"SELECT t.transaction_id, {SCALED_SQL} FROM test_set t"))
+@query(
+    "standardize",
+    oracle(
+        "train_set test_set",
+        " UNION ALL ".join(f"SELECT '{side}' AS side, t.transaction_id, {SCALED_SQL} FROM {side}_set t, fitted" for side in ("train", "test")),
+        fitted=FITTED_SQL,
+    ),
+)
 def _(star):
-    _, scaled = mf.standardize(*sides(star), cols=SCALED)
-    return scaled.select("transaction_id", *[F.round(c, 6).alias(c) for c in SCALED])
+    a, b = mf.standardize(*sides(star), cols=mf.FEATURES)
+    both = a.withColumn("side", F.lit("train")).unionByName(b.withColumn("side", F.lit("test")))
+    return both.select("side", "transaction_id", *[F.round(c, 6).alias(c) for c in mf.FEATURES])
 
 
 @query(
@@ -298,3 +312,79 @@ def _(star):
 def _(star):
     kinds = ("random_forest", "gradient_boosting", "logistic_regression")
     return metrics.model_comparison({k: scored_by_model(star, k) for k in kinds}, rows=star.rows)
+
+
+# ---- what must hold for trained models, whatever the fit ------------------------------------------------------------
+
+
+def check(name: str, kind: str):
+    """Scored rows are the test set; probabilities are shares and decide the prediction."""
+    expected = oracle("test_set", "SELECT transaction_id, is_fraud, TRUE AS in_range, TRUE AS decided FROM test_set")
+
+    @query(name, expected)
+    def _(star):
+        p = F.col("probability")
+        scored = scored_by_model(star, kind)
+        # At exactly one half either side is right.
+        decided = (p == 0.5) | (F.col("prediction") == (p > 0.5).cast("int"))
+        return scored.select("transaction_id", "is_fraud", p.between(0, 1).alias("in_range"), decided.alias("decided"))
+
+
+for kind in ("random_forest", "gradient_boosting", "logistic_regression"):
+    check(f"{kind}_check", kind)
+
+
+@query(
+    "feature_importance_check",
+    " UNION ALL ".join(f"SELECT '{c}' AS feature, TRUE AS in_range, 1.0::DOUBLE AS total" for c in mf.FEATURES),
+)
+def _(star):
+    model, _ = fitted(star, "random_forest")
+    table = train.feature_importance(model)
+    total = table.agg(F.round(F.sum("importance"), 6)).scalar()
+    return table.select("feature", F.col("importance").between(0, 1).alias("in_range"), total.alias("total"))
+
+
+@query(
+    "trained_comparison_check",
+    oracle(
+        "test_set",
+        " UNION ALL ".join(
+            f"SELECT '{k}' AS model, count(*) AS n, count_if(is_fraud = 1) AS fraud, TRUE AS better FROM test_set"
+            for k in ("random_forest", "gradient_boosting", "logistic_regression")
+        ),
+    ),
+)
+def _(star):
+    """Each model ranks the test rows better than the amount alone does."""
+    kinds = ("random_forest", "gradient_boosting", "logistic_regression")
+    scored = {k: scored_by_model(star, k) for k in kinds}
+    test_ids = sides(star)[1].select("transaction_id")
+    plain = metrics.roc_auc(scored_by_amount(star).join(test_ids, "transaction_id"), rows=star.rows).scalar()
+    compared = metrics.model_comparison(scored, rows=star.rows).select("model", "auc")
+    counts = [
+        s.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("is_fraud") == 1).alias("fraud")).select(F.lit(k).alias("model"), "n", "fraud")
+        for k, s in scored.items()
+    ]
+    return reduce(DataFrame.unionByName, counts).join(compared, "model").select("model", "n", "fraud", (F.col("auc") > plain).alias("better"))
+
+
+@query(
+    "logistic_regression_gradient",
+    " UNION ALL ".join(f"SELECT '{c}' AS feature, TRUE AS flat" for c in mf.FEATURES),
+)
+def _(star):
+    """At the fitted coefficients the slope of the penalised loss vanishes in every direction."""
+    model, _ = fitted(star, "logistic_regression")
+    fit = model.stages[-1]
+    rows, _ = sides(star)
+    rows = mf.class_weights(mf.standardize(rows, cols=mf.FEATURES)[0])
+    miss = F.col("weight") * (F.col("probability") - F.col("is_fraud"))
+    scored = train.score(model, rows)
+    total = F.sum("weight")
+    slopes = [
+        (F.sum(miss * F.col(c)) / total + F.lit(float(w) * fit.getOrDefault("regParam"))).alias(c)
+        for c, w in zip(mf.FEATURES, fit.coefficients.toArray())
+    ]
+    wide = scored.agg(*slopes)
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), (F.abs(c) < 1e-4).alias("flat")) for c in mf.FEATURES])))

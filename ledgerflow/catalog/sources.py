@@ -11,6 +11,9 @@ from ledgerflow.functions import features as f
 from ledgerflow.settings import scratch_dir
 from ledgerflow.sources import io
 
+# Rows per task that force the forms for large data at every size of the tables.
+FEW = 500
+
 TX_OUT = 'transaction_id, account_id, CAST(amount AS DOUBLE) AS amount, tx_type, "timestamp", status, merchant, category'
 
 
@@ -92,8 +95,18 @@ def _(star):
     return star.spark.read.parquet(path)
 
 
+FULL_OUT = f"{TX_OUT}, tx_direction, customer_id, account_type, CAST(balance AS DOUBLE) AS balance, name, city, age"
+
+
+@query("partitioned_sink", oracle("joined", f"SELECT {FULL_OUT} FROM joined"))
+def _(star):
+    path = scratch_dir(star.spark, "full")
+    io.save(star.full, path, ["account_type"])
+    return star.spark.read.parquet(path)
+
+
 @query(
-    "partitioned_sink",
+    "partition_pruned",
     oracle(
         "joined",
         """SELECT status, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS total FROM joined
@@ -102,7 +115,7 @@ def _(star):
 )
 def _(star):
     path = scratch_dir(star.spark, "full")
-    io.save(star.full_plan, path, ["account_type"])
+    io.save(star.full, path, ["account_type"])
     back = star.spark.read.parquet(path).filter(F.col("account_type") == "2-HIGH")
     return back.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"))
 
@@ -110,7 +123,7 @@ def _(star):
 @query("readback_verify", oracle("joined", "SELECT account_type AS key, count(*) AS n FROM joined GROUP BY 1"))
 def _(star):
     path = scratch_dir(star.spark, "full")
-    io.save(star.full_plan, path, ["account_type"])
+    io.save(star.full, path, ["account_type"])
     return io.verify(star.spark, path, "account_type")
 
 
@@ -133,13 +146,12 @@ def _(star):
     "kafka_decode",
     oracle(
         "live",
-        "SELECT transaction_id, account_id, CAST(amount AS DOUBLE) AS amount, tx_type, status, city FROM live",
+        "SELECT transaction_id, account_id, CAST(amount AS DOUBLE) AS amount, tx_type, \"timestamp\", status, city FROM live",
     ),
 )
 def _(star):
-    wanted = star.live.drop("timestamp")
-    payload = wanted.select(F.to_json(F.struct("*")).cast("binary").alias("value"))
-    return io.decode_payload(payload, T.StructType(wanted.schema.fields))
+    payload = star.live.select(F.to_json(F.struct("*"), io.EXACT_TIMES).cast("binary").alias("value"))
+    return io.decode_payload(payload, T.StructType(star.live.schema.fields), options=io.EXACT_TIMES)
 
 
 # ---- cleaning ---------------------------------------------------------------------------------------------------
@@ -203,6 +215,16 @@ def _(star):
     return parsed.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
+@query(
+    "bad_ts",
+    oracle("tx", "SELECT count_if(transaction_id % 1000 = 7) AS bad_ts FROM tx"),
+)
+def _(star):
+    text = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
+    dirty = F.when(F.col("transaction_id") % 1000 == 7, "not a time").when(F.col("transaction_id") % 1000 != 8, text)
+    return clean.bad_ts(star.tx.select(dirty.alias("timestamp")))
+
+
 @query("clean_customers", oracle("customers", "SELECT customer_id, name, age, city FROM customers"))
 def _(star):
     return star.customers
@@ -258,6 +280,19 @@ def _(star):
     return clean.impute_median(star.full, ["age", "balance"], rows=star.rows).select("transaction_id", "age", "balance")
 
 
+@query(
+    "impute_median_ranked",
+    oracle(
+        "joined",
+        f"""SELECT transaction_id, coalesce(CAST(age AS DOUBLE), {median_sql('age', 'joined')}) AS age,
+            coalesce(CAST(balance AS DOUBLE), {median_sql('balance', 'joined')}) AS balance FROM joined""",
+    ),
+)
+def _(star):
+    filled = clean.impute_median(star.full, ["age", "balance"], rows=star.rows, rows_per_task=FEW)
+    return filled.select("transaction_id", "age", "balance")
+
+
 @query("impute_constant", oracle("joined", "SELECT transaction_id, coalesce(city, 'Unknown') AS city FROM joined"))
 def _(star):
     return clean.impute_constant(star.full, "city", "Unknown").select("transaction_id", "city")
@@ -278,13 +313,48 @@ def _(star):
 
 @query(
     "append_batches",
-    oracle("tx_raw live", "SELECT transaction_id, CAST(amount AS DOUBLE) AS amount, tx_type FROM tx_raw UNION ALL "
-           "SELECT transaction_id, CAST(amount AS DOUBLE), tx_type FROM live"),
+    oracle(
+        "tx_raw live",
+        " UNION ALL ".join(
+            f'SELECT transaction_id, account_id, CAST(amount AS DOUBLE) AS amount, tx_type, "timestamp", status FROM {t}'
+            for t in ("tx_raw", "live")
+        ),
+    ),
 )
 def _(star):
     from ledgerflow.operators.enrich import append_batches
 
-    cols = ("transaction_id", "amount", "tx_type")
+    cols = ("transaction_id", "account_id", "amount", "tx_type", "timestamp", "status")
     return append_batches(star.tx_raw.select(*cols), star.live.select(*reversed(cols)))
 
 
+
+
+@query("csv_transactions", oracle("tx_raw", f"SELECT {TX_OUT} FROM tx_raw"))
+def _(star):
+    path = scratch_dir(star.spark, "transactions-csv")
+    raw = star.tx_raw.select(*TX_COLUMNS)
+    io.save_csv(raw, path)
+    # Columns are found by name: the schema asks for them in another order.
+    return io.read_csv(star.spark, path, T.StructType(sorted(raw.schema.fields, key=lambda f: f.name)))
+
+
+FULL_TYPES = {
+    "account_id": "bigint", "transaction_id": "bigint", "amount": "decimal(18,2)", "tx_type": "string", "timestamp": "timestamp_ntz",
+    "status": "string", "merchant": "bigint", "category": "string", "tx_direction": "string", "customer_id": "bigint",
+    "account_type": "string", "balance": "decimal(18,2)", "name": "string", "city": "string", "age": "int",
+}
+
+
+@query(
+    "describe_schema",
+    oracle(
+        "joined",
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS "column", '{t}' AS type, count("{c}") AS n_values, count(*) - count("{c}") AS n_nulls FROM joined"""
+            for c, t in FULL_TYPES.items()
+        ),
+    ),
+)
+def _(star):
+    return io.schema_profile(star.full)

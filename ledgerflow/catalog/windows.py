@@ -1,6 +1,9 @@
 """Windows, ranks and changes."""
 
+from pyspark.sql import functions as F
+
 from ledgerflow.catalog.registry import query
+from ledgerflow.catalog.sources import FEW
 from ledgerflow.operators import aggregates as a
 from ledgerflow.operators import windows as w
 from ledgerflow.plans.adapter_sql import oracle
@@ -35,6 +38,57 @@ def _(star):
     return w.dense_rank(spend, rows=star.rows).select("customer_id", "city", "dense_rank")
 
 
+# The same rows through the forms for large data, and with nulls among the ranked values.
+NULL_SPEND = "SELECT customer_id, city, CASE WHEN customer_id % 5 <> 0 THEN total_spend END AS total_spend FROM spend"
+
+
+def null_ranks(star, rows_per_task):
+    spend = a.spend_per_customer(star.full, ordered=False).select("customer_id", "city", "total_spend")
+    some = spend.withColumn("total_spend", F.when(F.col("customer_id") % 5 != 0, F.col("total_spend")))
+    ranked = w.rank_in_city(some, rows=star.rows, rows_per_task=rows_per_task)
+    return ranked.select("customer_id", "city", "total_spend", "rank_in_city", "dense_rank")
+
+
+NULL_RANKS = oracle(
+    "spend",
+    """SELECT customer_id, city, CAST(total_spend AS DOUBLE) AS total_spend,
+         rank() OVER (PARTITION BY city ORDER BY total_spend DESC NULLS LAST) AS rank_in_city,
+         dense_rank() OVER (PARTITION BY city ORDER BY total_spend DESC NULLS LAST) AS dense_rank FROM n""",
+    n=NULL_SPEND,
+)
+
+
+@query("rank_in_city_nulls", NULL_RANKS)
+def _(star):
+    return null_ranks(star, None)
+
+
+@query("rank_in_city_split", NULL_RANKS)
+def _(star):
+    return null_ranks(star, 20)
+
+
+def few_splits(star):
+    """Cut points that split even small accounts."""
+    return w.account_splits(star.full, rows_per_task=FEW_PER_ACCOUNT)
+
+
+FEW_PER_ACCOUNT = 3
+
+
+@query("lag_amount_split", oracle("joined", f"SELECT transaction_id, account_id, CAST({LAG} AS DOUBLE) AS prev_amount FROM joined"))
+def _(star):
+    return w.lag_amount(star.full, few_splits(star)).select("transaction_id", "account_id", "prev_amount")
+
+
+@query(
+    "running_total_split",
+    oracle("joined", f"SELECT transaction_id, account_id, CAST(sum(amount) {SO_FAR} AS DOUBLE) AS running_total FROM joined"),
+)
+def _(star):
+    return w.running_total(star.full, few_splits(star)).select("transaction_id", "account_id", "running_total")
+
+
 @query("lag_amount", oracle("joined", f"SELECT transaction_id, account_id, CAST({LAG} AS DOUBLE) AS prev_amount FROM joined"))
 def _(star):
     return w.lag_amount(star.full, star.splits).select("transaction_id", "account_id", "prev_amount")
@@ -127,6 +181,19 @@ def _(star):
     return w.running_and_rank(star.full, star.splits, rows=star.rows)
 
 
+@query(
+    "running_and_rank_split",
+    oracle(
+        "joined",
+        f"""SELECT transaction_id, account_id, name, "timestamp", CAST(amount AS DOUBLE) AS amount,
+            CAST(sum(amount) {SO_FAR} AS DOUBLE) AS running_total,
+            rank() OVER (PARTITION BY city ORDER BY amount DESC) AS rank_in_city FROM joined""",
+    ),
+)
+def _(star):
+    return w.running_and_rank(star.full, few_splits(star), rows=star.rows, rows_per_task=FEW)
+
+
 TOP3 = f"""SELECT city, rank_in_city, name, CAST(total_spend AS DOUBLE) AS total_spend, total_transactions
   FROM (SELECT *, {RANKS} FROM spend) WHERE rank_in_city <= 3"""
 

@@ -15,7 +15,7 @@ Spark partitions the rows; each task applies the trees to Arrow batches. The tre
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.ml.features import FEATURES
-from ledgerflow.settings import scratch_dir
+from ledgerflow.settings import scratch_dir, ship
+
+# Up to this many features on a path, a leaf's table of all pass/fail patterns is kept; it has 2^k rows.
+KEPT_FEATURES = 6
+# Trees are gathered and broadcast up to this many nodes.
+MOST_NODES = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -37,6 +42,8 @@ class Tree:
     threshold: np.ndarray
     cover: np.ndarray
     value: np.ndarray
+    # Tables of leaves by node. A worker holds one copy of a tree, so each is made once there, not once per batch.
+    tables: dict[int, np.ndarray] = field(default_factory=dict, compare=False, repr=False)
 
     def expected(self, node: int = 0) -> float:
         """Average value of the leaves below ``node``, weighted by training weight."""
@@ -55,7 +62,10 @@ def node_table(spark: SparkSession, model: PipelineModel, path: str | None = Non
 
 
 def read_trees(nodes: DataFrame) -> list[Tree]:
-    """Arrays of all trees; the node count is bounded by the model, not by the data."""
+    """Arrays of all trees. The number of nodes depends on the model, not on the data, and is checked."""
+    count = nodes.count()
+    if count > MOST_NODES:
+        raise ValueError(f"the forest has {count} nodes; explanations take up to {MOST_NODES}, so lower its depth or trees")
     flat = nodes.select(
         F.col("treeID").alias("tree"),
         "id",
@@ -83,11 +93,11 @@ def read_trees(nodes: DataFrame) -> list[Tree]:
     return trees
 
 
-def _leaf_table(value: float, shares: list[float], points: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Contribution of each path feature for every pass/fail pattern: array (2^k, k)."""
+def _leaf_table(value: float, shares: list[float], points: np.ndarray, weights: np.ndarray, patterns: np.ndarray) -> np.ndarray:
+    """Contribution of each path feature for the given pass/fail patterns: array (patterns, k)."""
     k = len(shares)
     z = np.array(shares)
-    passed = ((np.arange(1 << k)[:, None] >> np.arange(k)) & 1).astype(float)
+    passed = ((patterns[:, None] >> np.arange(k)) & 1).astype(float)
     factor = z * (1.0 - points[:, None, None]) + passed * points[:, None, None]
     others = factor.prod(axis=2, keepdims=True) / factor
     return value * (passed - z) * np.tensordot(weights, others, axes=1)
@@ -103,10 +113,17 @@ def contributions(trees: Sequence[Tree], x: np.ndarray) -> np.ndarray:
     def visit(tree: Tree, node: int, path: dict[int, tuple[float, np.ndarray]]) -> None:
         if tree.left[node] < 0:
             if path and tree.value[node] != 0.0:
-                table = _leaf_table(tree.value[node], [z for z, _ in path.values()], points, weights)
-                pattern = np.zeros(rows, dtype=np.int32)
+                shares = [z for z, _ in path.values()]
+                pattern = np.zeros(rows, dtype=np.int64)
                 for bit, (_, ok) in enumerate(path.values()):
-                    pattern |= ok.astype(np.int32) << bit
+                    pattern |= ok.astype(np.int64) << bit
+                if len(shares) <= KEPT_FEATURES:
+                    if node not in tree.tables:
+                        tree.tables[node] = _leaf_table(tree.value[node], shares, points, weights, np.arange(1 << len(shares)))
+                    table = tree.tables[node]
+                else:  # only the patterns that occur
+                    present, pattern = np.unique(pattern, return_inverse=True)
+                    table = _leaf_table(tree.value[node], shares, points, weights, present)
                 for bit, j in enumerate(path):
                     phi[j] += table[pattern, bit]
             return
@@ -133,6 +150,7 @@ def tree_contributions(
     path: str | None = None,
 ) -> DataFrame:
     """(id, base, probability, phi[n], x[n], kept columns) for each row; base + sum(phi) = probability."""
+    ship(df.sparkSession)
     trees = read_trees(node_table(df.sparkSession, model, path))
     base = float(np.mean([t.expected() for t in trees]))
     shared = df.sparkSession.sparkContext.broadcast(trees)

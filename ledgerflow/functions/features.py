@@ -128,15 +128,21 @@ def suspicious_dashboard(df: DataFrame, rules: Rules = RULES) -> DataFrame:
 
 
 def fraud_label(
-    df: DataFrame, threshold: Column | None = None, rules: Rules = RULES, ts: str = "timestamp", rows: int | None = None
+    df: DataFrame,
+    threshold: Column | None = None,
+    rules: Rules = RULES,
+    ts: str = "timestamp",
+    rows: int | None = None,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Adds the training label ``is_fraud`` (0/1; a rule that cannot be decided does not fire).
 
     ``threshold`` is the high-amount quantile; by default it is taken from ``df`` itself as a scalar subquery.
-    ``rows`` is an upper bound on the size of ``df`` where one is known, see ``plans.quantiles``.
+    ``rows`` is an upper bound on the size of ``df`` where one is known, ``rows_per_task`` the size from which on it is
+    ranked in parallel; see ``plans.quantiles``.
     """
     if threshold is None:
-        top = quantiles(df, {"amount": rules.label_quantile}, rows=rows)
+        top = quantiles(df, {"amount": rules.label_quantile}, rows=rows, rows_per_task=rows_per_task)
         threshold = top.scalar()
     amount, status = F.col("amount"), F.col("status")
     rule = (

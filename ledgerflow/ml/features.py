@@ -43,8 +43,8 @@ FEATURE_LABELS = (
     "City",
 )
 CATEGORIES = ("tx_type", "account_type", "city")
-# Codes of a column with up to this many values are broadcast.
-BROADCAST_CODES = 1_000_000
+# Codes of a column are broadcast up to this many bytes.
+BROADCAST_CODES = 32 << 20
 
 
 def category_codes(df: DataFrame, col: str, rows: int | None = None) -> DataFrame:
@@ -59,32 +59,33 @@ def category_codes(df: DataFrame, col: str, rows: int | None = None) -> DataFram
     return numbered.withColumn("code", (F.col("code") - 1).cast("int"))
 
 
-def label_encode(df: DataFrame, cols: Sequence[str], rows: int | None = None) -> DataFrame:
-    """Adds ``<col>_enc`` for each column: the position of the value among the sorted distinct values."""
+def label_encode(df: DataFrame, cols: Sequence[str], rows: int | None = None, broadcast_bytes: int = BROADCAST_CODES) -> DataFrame:
+    """Adds ``<col>_enc`` for each column: the position of the value among the sorted distinct values.
+
+    A category holds a large part of the rows, so rows should not be shuffled by it. Its codes are broadcast when their
+    measured size allows it; otherwise Spark chooses the join.
+    """
     out = df
     for c in cols:
-        size = rows if rows is not None and rows <= BROADCAST_CODES else _distinct_up_to(df, c, BROADCAST_CODES)
-        lookup = category_codes(df, c, size).select(F.col("value").alias("_value"), F.col("code").alias(f"{c}_enc"))
+        values, size = _distinct_size(df, c)
+        lookup = category_codes(df, c, values).select(F.col("value").alias("_value"), F.col("code").alias(f"{c}_enc"))
         on = F.coalesce(out[c].cast("string"), F.lit("unknown")) == lookup["_value"]
-        out = out.join(lookup if size is None else F.broadcast(lookup), on, "left").drop("_value")
+        out = out.join(F.broadcast(lookup) if size <= broadcast_bytes else lookup, on, "left").drop("_value")
     return out
 
 
-def _distinct_up_to(df: DataFrame, col: str, limit: int) -> int | None:
-    """The number of distinct values (null included), or None when there are more than ``limit``.
-
-    A category holds a large part of the rows, so rows should not be shuffled by it. Its values are counted first, which
-    takes one scan of the column and settles whether their codes can be broadcast.
-    """
-    found = df.select(col).distinct().limit(limit + 1).count()
-    return found if found <= limit else None
+def _distinct_size(df: DataFrame, col: str) -> tuple[int, int]:
+    """The number of distinct values (null included) and the bytes of their texts, counted in parallel in one scan."""
+    texts = df.select(F.coalesce(F.col(col).cast("string"), F.lit("unknown")).alias("value")).distinct()
+    found = texts.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("value") + 16), F.lit(0)).alias("bytes")).first()
+    return found["n"], found["bytes"]
 
 
 def feature_table(full: DataFrame, rows: int | None = None, rules: Rules = RULES) -> DataFrame:
     """(transaction_id, 12 numeric features, is_fraud) of the joined transactions.
 
-    The quantile and the medians come from the whole set, before any split; the three of them take one pass.
-    ``rows`` is an upper bound on the size of ``full`` where one is known.
+    The quantile and the medians come from the whole set, before any split. They take one pass while ``rows``, an upper
+    bound on the size of ``full``, is small; beyond that each column is ranked in parallel.
     """
     limits = quantiles(full, {"amount": rules.label_quantile, "age": 0.5, "balance": 0.5}, rows=rows)
     known = full.withColumn("_limits", limits.select(F.struct("*")).scalar())
@@ -116,8 +117,9 @@ def stratified_split(
     """
     place = _place(id_col, seed)
     if not exact:
-        edge = format(int(frac * 16**8), "08x")
-        return df.filter(place < edge), df.filter(place >= edge)
+        # Eight digits; at 1 there is no edge that long, and every row is a train row.
+        low = place < format(int(frac * 16**8), "08x") if frac < 1 else F.lit(True)
+        return df.filter(low), df.filter(~low)
     last = _last_train_rows(df.select(F.col(label).alias("_label"), place.alias("_at"), F.col(id_col).alias("_id")), frac)
     known = df.join(F.broadcast(last), df[label].eqNullSafe(last["_label"]), "left")
     inside = F.coalesce(F.struct(place, F.col(id_col)) <= F.col("_last"), F.lit(False))
@@ -127,10 +129,10 @@ def stratified_split(
 def _last_train_rows(keys: DataFrame, frac: float) -> DataFrame:
     """(_label, _last): place and id of the last train row of each class, one row per class.
 
-    Hashes spread evenly, so their first four digits cut each class into 65,536 small ranges whatever its size. Counting
+    Hashes spread evenly, so their first five digits cut each class into a million small ranges whatever its size. Counting
     them finds the range with the border, and only that range is put in order. The rows themselves are not shuffled.
     """
-    ranged = keys.withColumn("_range", F.substring("_at", 1, 4))
+    ranged = keys.withColumn("_range", F.substring("_at", 1, 5))
     counts = ranged.groupBy("_label", "_range").agg(F.count(F.lit(1)).alias("n"))
     so_far = Window.partitionBy("_label").orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     size = F.sum("n").over(Window.partitionBy("_label"))

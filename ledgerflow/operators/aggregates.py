@@ -210,6 +210,11 @@ def stream_summary(events: DataFrame) -> DataFrame:
     )
 
 
+def stream_type_counts(events: DataFrame) -> DataFrame:
+    """(tx_type, total, flagged) of live records; a null type is one of its own."""
+    return events.groupBy("tx_type").agg(row_count().alias("total"), F.count_if(F.col("is_fraud") == 1).alias("flagged"))
+
+
 def recent_transactions(df: DataFrame, n: int = 10, ts: str = "timestamp") -> DataFrame:
     """The newest ``n`` transactions with their verdict."""
     newest = df.orderBy(F.desc(ts), "transaction_id").limit(n)

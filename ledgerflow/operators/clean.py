@@ -54,6 +54,12 @@ def parse_ts(df: DataFrame, col: str = "timestamp", fmt: str = RULES.timestamp_f
     return df.withColumn(col, F.try_to_timestamp(F.col(col), F.lit(fmt)))
 
 
+def bad_ts(df: DataFrame, col: str = "timestamp", fmt: str = RULES.timestamp_format) -> DataFrame:
+    """One row: ``bad_ts``, the values of ``col`` that hold something but no time that fits ``fmt``."""
+    parsed = parse_ts(df.withColumn("_text", F.col(col)), col, fmt)
+    return parsed.agg(F.count_if(F.col("_text").isNotNull() & F.col(col).isNull()).alias("bad_ts"))
+
+
 def clean_customers(df: DataFrame, rules: Rules = RULES) -> DataFrame:
     known = fill(drop_null(df, ["customer_id", "name"]), {"city": rules.unknown_city, "age": 0})
     return dedupe(keep_nonnegative(known, "age"), ["customer_id"])
@@ -85,10 +91,10 @@ def cleaning_report(raw: Mapping[str, DataFrame], clean: Mapping[str, DataFrame]
 
 
 def impute_median(
-    df: DataFrame, cols: Sequence[str], rows: int | None = None, accuracy: int | None = None
+    df: DataFrame, cols: Sequence[str], rows: int | None = None, accuracy: int | None = None, rows_per_task: int | None = None
 ) -> DataFrame:
     """Replaces nulls in ``cols`` by the median of the column, as doubles. Run it after the join."""
-    middle = quantiles(df, {c: 0.5 for c in cols}, rows=rows, accuracy=accuracy)
+    middle = quantiles(df, {c: 0.5 for c in cols}, rows=rows, accuracy=accuracy, rows_per_task=rows_per_task)
     return fill_from(df, middle, cols)
 
 

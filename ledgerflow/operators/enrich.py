@@ -33,8 +33,8 @@ def enrich(tx: DataFrame, acc: DataFrame, cust: DataFrame) -> DataFrame:
 
 
 def topn_names(top: DataFrame, cust: DataFrame) -> DataFrame:
-    """Adds names to a top-n result; ids without a customer drop out. The ``n`` rows go to the customers."""
-    return F.broadcast(top).join(cust.select("customer_id", "name"), "customer_id")
+    """Adds names to a top-n result; ids without a customer drop out. Spark sends the smaller side."""
+    return top.join(cust.select("customer_id", "name"), "customer_id")
 
 
 def filter_direction(df: DataFrame, direction: str = "outflow") -> DataFrame:

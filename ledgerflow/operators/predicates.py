@@ -19,11 +19,12 @@ def fraud_pattern(full: DataFrame, rules: Rules = RULES, ordered: bool = True) -
 
 def fraud_pattern_sql(spark: SparkSession, n: int = 8, rules: Rules = RULES) -> DataFrame:
     """The first ``n`` rows of ``fraud_pattern`` from the registered view."""
+    statuses = {f"status{i}": s for i, s in enumerate(rules.bad_statuses)}
     return spark.sql(
         f"SELECT {', '.join(PATTERN_COLUMNS)} FROM banking_data "
-        "WHERE amount > :floor AND array_contains(:statuses, status) "
+        f"WHERE amount > :floor AND status IN ({', '.join(':' + s for s in statuses)}) "
         "ORDER BY amount DESC, transaction_id LIMIT :n",
-        args={"floor": rules.pattern_amount, "statuses": F.array(*map(F.lit, rules.bad_statuses)), "n": n},
+        args={"floor": rules.pattern_amount, "n": n, **statuses},
     )
 
 

@@ -24,14 +24,14 @@ def account_splits(tx: DataFrame, rows: int | None = None, rows_per_task: int |
 
 
 def _with_ranks(df: DataFrame, group: list[str], value: str, rows: int | None, rows_per_task: int | None) -> DataFrame:
-    """Adds ``_below`` and ``_place`` of ``value`` (never null after cleaning) within the group, largest value first."""
-    keyed = df.withColumn("_key", -F.col(value))
+    """Adds ``_below`` and ``_place`` of ``value`` within the group, largest value first and nulls last, as one tie."""
+    keyed = df.withColumn("_key", F.struct(F.col(value).isNull().alias("none"), (-F.col(value)).alias("value")))
     splits = find_splits(keyed, group, ["_key"], rows=rows, rows_per_task=rows_per_task)
     if splits.whole:
-        order = Window.partitionBy(*group).orderBy(F.asc_nulls_last("_key"))
-        ranks = {"_below": F.rank().over(order) - 1, "_place": F.dense_rank().over(order)}
+        order = Window.partitionBy(*group).orderBy("_key")
+        ranks = {"_below": (F.rank().over(order) - 1).cast("long"), "_place": F.dense_rank().over(order).cast("long")}
         return keyed.withColumns(ranks).drop("_key")
-    table = ranked_values(keyed.filter("_key is not null"), group, "_key", splits=splits)
+    table = ranked_values(keyed, group, "_key", splits=splits)
     table = table.select(*[F.col(c).alias(f"_r_{c}") for c in (*group, "_key")], F.col("below").alias("_below"), F.col("place").alias("_place"))
     on = same_key(keyed, table, [(c, f"_r_{c}") for c in (*group, "_key")])
     return keyed.join(table, on, "left").drop("_key", *[f"_r_{c}" for c in (*group, "_key")])
@@ -43,7 +43,7 @@ def rank_in_city(
     """Adds ``rank_in_city`` and ``dense_rank`` of each customer by spend within the city."""
     ranked = _with_ranks(spend, ["city"], "total_spend", rows, rows_per_task)
     return ranked.withColumns(
-        {"rank_in_city": (F.col("_below") + 1).cast("int"), "dense_rank": F.col("_place").cast("int")}
+        {"rank_in_city": F.col("_below") + 1, "dense_rank": F.col("_place")}
     ).drop("_below", "_place")
 
 
@@ -153,7 +153,7 @@ def running_and_rank_sql(spark: SparkSession, limit: int = 15) -> DataFrame:
           LIMIT :n
         ),
         larger AS (
-          SELECT /*+ BROADCAST(h) */ h.transaction_id, count(*) AS n
+          SELECT h.transaction_id, count(*) AS n
           FROM banking_data b JOIN head h ON b.city <=> h.city AND b.amount > h.amount
           GROUP BY h.transaction_id
         )
@@ -162,7 +162,7 @@ def running_and_rank_sql(spark: SparkSession, limit: int = 15) -> DataFrame:
                  PARTITION BY h.account_id ORDER BY h.timestamp, h.transaction_id
                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW
                ) AS running_total,
-               CAST(coalesce(l.n, 0) + 1 AS INT) AS rank_in_city
+               coalesce(l.n, 0) + 1 AS rank_in_city
         FROM head h LEFT JOIN larger l ON l.transaction_id = h.transaction_id
         ORDER BY h.account_id, h.timestamp, h.transaction_id
         """,

@@ -123,7 +123,7 @@ def live_records(events: DataFrame, customer: DataFrame, nation: DataFrame) -> D
     )
 
 
-_DONE: dict[tuple[str, str, str], Any] = {}
+_DONE: dict[tuple[str, str, str, str], Any] = {}
 
 
 @dataclass
@@ -152,9 +152,16 @@ class Star:
     def tx_raw(self) -> DataFrame:
         return transactions_raw(self.table("lineitem"), self.table("part"))
 
+    @cached_property
+    def state(self) -> str:
+        """Names, sizes and times of the folder's files as Spark lists them; another state means other data."""
+        listing = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(self.folder)
+        files = listing.select("path", "length", F.unix_micros("modificationTime").alias("changed"))
+        return str(files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "length", "changed").cast("decimal(20,0)"))).first())
+
     def once(self, name: str, make: Callable[[], Any]) -> Any:
-        """The value of ``make()``, computed once per session and data folder."""
-        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        """The value of ``make()``, computed once per session, data folder and state of its files."""
+        key = (self.spark.sparkContext.applicationId, self.folder, self.state, name)
         if key not in _DONE:
             _DONE[key] = make()
         return _DONE[key]

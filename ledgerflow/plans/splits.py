@@ -173,7 +173,9 @@ def cumulate(df: DataFrame, splits: Splits, measures: Mapping[str, Column], shar
         totals = totals.filter("_seen is not null")
     offsets = totals.select(*group, BUCKET, *[F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in measures])
     out = _attach(rows, offsets, splits)
-    shifted = {n: F.coalesce(F.col(n) + F.col(f"_o_{n}"), F.col(n), F.col(f"_o_{n}")) for n in measures}
+    # The type of a plain sum: adding two of them would widen a decimal, and results must not depend on the size.
+    kinds = df.select(*[F.sum(c).alias(n) for n, c in measures.items()]).schema
+    shifted = {n: F.coalesce(F.col(n) + F.col(f"_o_{n}"), F.col(n), F.col(f"_o_{n}")).cast(kinds[n].dataType) for n in measures}
     helpers = [BUCKET, "_split", *[f"_m_{n}" for n in measures], *[f"_o_{n}" for n in measures]]
     return out.withColumns(shifted).drop(*helpers)
 

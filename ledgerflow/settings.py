@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
+import zipfile
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -119,11 +122,34 @@ def session(app: str = "ledgerflow", master: str | None = None, **conf: str) ->
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of this machine.
+    Only a session without executors of its own may fall back to a folder of this machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="ledgerflow-")
     return f"{root.rstrip('/')}/ledgerflow/{label}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, for clusters on which it is not installed.
+
+    The archive is made on the driver and served by Spark; executors never look for it on their own disks.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="ledgerflow-"), "ledgerflow.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)

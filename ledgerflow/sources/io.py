@@ -13,11 +13,23 @@ from pyspark.sql import types as T
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None, header: bool = True, infer: bool = False
 ) -> DataFrame:
-    """CSV with a stated schema; ``infer=True`` reads the data once more to guess the types."""
+    """CSV with a stated schema; ``infer=True`` reads the data once more to guess the types.
+
+    With a header the columns are found by name, whatever their order in the file; columns outside the schema are left
+    out, and one that the file lacks is an error.
+    """
     reader = spark.read.option("header", header)
-    if schema is not None:
+    if schema is None:
+        return reader.csv(path, inferSchema=infer)
+    if not header:
         return reader.schema(schema).csv(path)
-    return reader.csv(path, inferSchema=infer)
+    known = {f.name: f for f in schema.fields}
+    found = reader.csv(path).columns  # reads the first line only
+    missing = [c for c in known if c not in found]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    as_found = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in found])
+    return reader.schema(as_found).csv(path, enforceSchema=False).select(*known)
 
 
 def read_events(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
@@ -62,6 +74,17 @@ def describe_schema(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, type string, nullable boolean")
 
 
+def schema_profile(df: DataFrame) -> DataFrame:
+    """(column, type, n_values, n_nulls) of a frame, one row per column, counted in one pass."""
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(f"_n{i}") for i, c in enumerate(df.columns)])
+    entries = [
+        F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"), F.col(f"_n{i}").alias("n_values"))
+        for i, f in enumerate(df.schema.fields)
+    ]
+    rows = counts.select("_rows", F.explode(F.array(*entries)).alias("_e"))
+    return rows.select("_e.*", (F.col("_rows") - F.col("_e.n_values")).alias("n_nulls"))
+
+
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     """(table, rows, columns) of each frame, in one plan."""
     parts = [
@@ -73,9 +96,16 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def decode_payload(df: DataFrame, schema: T.StructType, col: str = "value") -> DataFrame:
-    """Turns JSON bytes, as a message queue delivers them, into typed columns."""
-    return df.select(F.from_json(F.col(col).cast("string"), schema).alias("_record")).select("_record.*")
+# JSON options that keep microseconds.
+EXACT_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def decode_payload(
+    df: DataFrame, schema: T.StructType, col: str = "value", options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Turns JSON bytes, as a message queue delivers them, into typed columns; ``options`` are those of Spark's JSON reader."""
+    record = F.from_json(F.col(col).cast("string"), schema, dict(options or {}))
+    return df.select(record.alias("_record")).select("_record.*")
 
 
 def kafka_events(

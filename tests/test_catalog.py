@@ -3,12 +3,13 @@
 import duckdb  # noqa: F401
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from ledgerflow.catalog import ORACLES, QUERIES
 from ledgerflow.plans.adapter import Star
 from tests.compare import connect, difference
 
 # Fitting 100 trees is left to the comparison run; the models have their own tests.
-TRAINED = set(queries()) - set(oracle_sql())
+TRAINED = set(QUERIES) - set(ORACLES)
 
 
 @pytest.fixture(scope="module")
@@ -26,12 +27,12 @@ def test_every_query_but_the_trained_ones_has_sql():
         "tree_contributions",
         "tree_reason_codes",
     }
-    assert set(oracle_sql()) <= set(queries())
+    assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, con, small, name):
-    assert difference(spark, con, queries()[name], oracle_sql()[name], small) is None
+    assert difference(spark, con, QUERIES[name], ORACLES[name], small) is None
 
 
 def test_entry(spark):
@@ -52,7 +53,7 @@ def test_adapter_counts(spark, small):
 
 
 def test_top_per_city_limits_before_the_shuffle(spark, small):
-    text = plan(queries()["topn_per_group"](spark, small))
+    text = plan(QUERIES["topn_per_group"](spark, small))
     assert text.count("WindowGroupLimit") == 2 and "Partial" in text
 
 
@@ -71,5 +72,5 @@ def test_joined_transactions_move_once_for_the_join(spark, small):
 
 def test_no_cartesian_products(spark, small):
     for name in ("percent_rank_global", "running_and_rank_sql", "percentile_top", "histogram", "roc_auc", "fraud_label"):
-        text = plan(queries()[name](spark, small))
+        text = plan(QUERIES[name](spark, small))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
