@@ -159,7 +159,7 @@ def codes_sql(col: str, table: str) -> str:
 )
 def _(star):
     cols = ("tx_type", "account_type", "status", "city")
-    return label_encode(star.full, cols, rows=star.rows).select("transaction_id", *[f"{c}_enc" for c in cols])
+    return label_encode(star.full, cols).select("transaction_id", *[f"{c}_enc" for c in cols])
 
 
 @query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,26 +60,29 @@ def category_codes(df: DataFrame, col: str, rows: int | None = None) -> DataFram
     return numbered.withColumn("code", (F.col("code") - 1).cast("int"))
 
 
-def label_encode(df: DataFrame, cols: Sequence[str], rows: int | None = None, broadcast_bytes: int = BROADCAST_CODES) -> DataFrame:
+def label_encode(df: DataFrame, cols: Sequence[str], broadcast_bytes: int | None = None) -> DataFrame:
     """Adds ``<col>_enc`` for each column: the position of the value among the sorted distinct values.
 
     A category holds a large part of the rows, so rows should not be shuffled by it. Its codes are broadcast when their
-    measured size allows it; otherwise Spark chooses the join.
+    measured size is at most ``broadcast_bytes`` (``BROADCAST_CODES`` by default); otherwise Spark chooses the join.
     """
-    out = df
-    for c in cols:
-        values, size = _distinct_size(df, c)
+    limit, out = BROADCAST_CODES if broadcast_bytes is None else broadcast_bytes, df
+    for c, (values, size) in _distinct_sizes(df, cols).items():
         lookup = category_codes(df, c, values).select(F.col("value").alias("_value"), F.col("code").alias(f"{c}_enc"))
         on = F.coalesce(out[c].cast("string"), F.lit("unknown")) == lookup["_value"]
-        out = out.join(F.broadcast(lookup) if size <= broadcast_bytes else lookup, on, "left").drop("_value")
+        out = out.join(F.broadcast(lookup) if size <= limit else lookup, on, "left").drop("_value")
     return out
 
 
-def _distinct_size(df: DataFrame, col: str) -> tuple[int, int]:
-    """The number of distinct values (null included) and the bytes of their texts, counted in parallel in one scan."""
-    texts = df.select(F.coalesce(F.col(col).cast("string"), F.lit("unknown")).alias("value")).distinct()
-    found = texts.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("value") + 16), F.lit(0)).alias("bytes")).first()
-    return found["n"], found["bytes"]
+def _distinct_sizes(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[int, int]]:
+    """For each column the number of distinct values (null included) and the bytes of their texts, counted in one job."""
+    parts = []
+    for c in dict.fromkeys(cols):
+        texts = df.select(F.coalesce(F.col(c).cast("string"), F.lit("unknown")).alias("value")).distinct()
+        size = F.coalesce(F.sum(F.octet_length("value") + 16), F.lit(0)).alias("bytes")
+        parts.append(texts.agg(F.count(F.lit(1)).alias("n"), size).withColumn("col", F.lit(c)))
+    found = {r["col"]: (r["n"], r["bytes"]) for r in reduce(DataFrame.unionByName, parts).collect()} if parts else {}
+    return {c: found[c] for c in dict.fromkeys(cols)}
 
 
 def feature_table(full: DataFrame, rows: int | None = None, rules: Rules = RULES) -> DataFrame:
@@ -93,7 +97,7 @@ def feature_table(full: DataFrame, rows: int | None = None, rules: Rules = RULES
     filled = labelled.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_limits.{c}")) for c in ("age", "balance")})
     named = impute_constant(filled.drop("_limits"), "city", rules.unknown_city)
     timed = f.is_night(f.is_weekend(f.calendar_parts_monday0(named)), rules=rules)
-    encoded = label_encode(f.amount_to_balance(timed), CATEGORIES, rows)
+    encoded = label_encode(f.amount_to_balance(timed), CATEGORIES)
     return encoded.select("transaction_id", *[F.col(c).cast("double").alias(c) for c in FEATURES], "is_fraud")
 
 
