@@ -85,8 +85,8 @@ def _(star):
 
 
 def reasons_sql(direction: str, test: str, order: str, out: str) -> str:
-    return f"""(SELECT transaction_id, string_agg(label || ' = ' || printf('%.2f', value) || ' (pushed fraud score {direction} by '
-        || printf('%.4f', abs(phi)) || ')', '; ' ORDER BY rn) AS {out} FROM (SELECT *, row_number() OVER
+    return f"""(SELECT transaction_id, string_agg(label || ' ' || printf('%.2f', value) || ' {direction} the score by '
+        || printf('%.4f', abs(phi)), '; ' ORDER BY rn) AS {out} FROM (SELECT *, row_number() OVER
         (PARTITION BY transaction_id ORDER BY {order}, nth) AS rn FROM long WHERE {test}) WHERE rn <= 3 GROUP BY 1)"""
 
 
@@ -95,8 +95,8 @@ def reasons_sql(direction: str, test: str, order: str, out: str) -> str:
     oracle(
         "long",
         f"""SELECT p.transaction_id, coalesce(u.up, '') AS up, coalesce(d.down, '') AS down FROM phi p
-            LEFT JOIN {reasons_sql('UP', 'phi > 0', 'phi DESC', 'up')} u ON u.transaction_id = p.transaction_id
-            LEFT JOIN {reasons_sql('DOWN', 'phi < 0', 'phi', 'down')} d ON d.transaction_id = p.transaction_id""",
+            LEFT JOIN {reasons_sql('raises', 'phi > 0', 'phi DESC', 'up')} u ON u.transaction_id = p.transaction_id
+            LEFT JOIN {reasons_sql('lowers', 'phi < 0', 'phi', 'down')} d ON d.transaction_id = p.transaction_id""",
     ),
 )
 def _(star):

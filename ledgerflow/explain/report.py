@@ -87,12 +87,12 @@ def reason_codes(
     lowered = F.filter(entries, lambda e: e.getField("phi") < 0)
 
     def text(direction: str):
-        pattern = f"%s = %.2f (pushed fraud score {direction} by %.4f)"
+        pattern = f"%s %.2f {direction} the score by %.4f"
         return lambda e: F.format_string(pattern, e.getField("feature"), e.getField("value"), F.abs(e.getField("phi")))
 
     up = F.slice(_ordered(raised, lambda e: -e.getField("phi")), 1, k)
     down = F.slice(_ordered(lowered, lambda e: e.getField("phi")), 1, k)
-    return phi.select(id_col, F.transform(up, text("UP")).alias("up"), F.transform(down, text("DOWN")).alias("down"))
+    return phi.select(id_col, F.transform(up, text("raises")).alias("up"), F.transform(down, text("lowers")).alias("down"))
 
 
 def dependence_rows(phi: DataFrame, feature: str = "amount", names: Sequence[str] = FEATURES) -> DataFrame:

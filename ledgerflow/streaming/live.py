@@ -11,6 +11,9 @@ from ledgerflow.functions.features import is_flagged, rule_flags
 from ledgerflow.operators.aggregates import fraud_rate_by_city, row_count, volume_by_type
 from ledgerflow.settings import RULES, Rules
 
+# Folders that results of complete mode go to in turn; a reader has that many batches of time.
+SLOTS = 16
+
 
 def stream_events(
     spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "json", files_per_trigger: int | None = None
@@ -66,20 +69,29 @@ def start(
 ) -> StreamingQuery:
     """Starts a query that writes Parquet to the folder ``sink``.
 
-    Append mode uses the file sink (exactly once). Complete mode replaces the folder's content with each new result, so
-    a repeated micro-batch has no effect. ``trigger`` is a processing time; None works off all data and stops.
+    Append mode uses the file sink (exactly once). In complete mode each result goes into one of ``SLOTS`` folders, by the
+    number of its batch, and is named as finished after that: readers (``current``) see the result before or the one after,
+    never a part, and a repeated micro-batch has no effect. ``trigger`` is a processing time; None works off all data and
+    stops.
     """
     writer = st.writeStream.option("checkpointLocation", checkpoint).outputMode(mode)
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
     if mode == "append":
         return writer.format("parquet").start(sink)
 
-    def replace(result: DataFrame, _: int) -> None:
-        result.write.mode("overwrite").parquet(sink)
+    def replace(result: DataFrame, batch: int) -> None:
+        result.write.mode("overwrite").parquet(f"{sink}/results/slot={batch % SLOTS}")
+        result.sparkSession.range(batch, batch + 1).toDF("batch").coalesce(1).write.mode("append").parquet(f"{sink}/finished")
 
     return writer.foreachBatch(replace).start()
 
 
+def current(spark: SparkSession, sink: str, schema: T.StructType) -> DataFrame:
+    """The newest finished result of a query in complete mode."""
+    newest = spark.read.schema("batch long").parquet(f"{sink}/finished").agg(F.max("batch")).first()[0]
+    return spark.read.schema(schema).parquet(f"{sink}/results/slot={newest % SLOTS}")
+
+
 def stream_archive(st: DataFrame, path: str, checkpoint: str, trigger: str | None = "5 seconds") -> StreamingQuery:
     """Keeps every processed record as Parquet, exactly once across restarts."""
     return start(st, path, checkpoint, "append", trigger)

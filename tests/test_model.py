@@ -209,8 +209,8 @@ def test_reports_on_contributions(spark):
     top = report.top_contributors(phi, 2, names=("A", "B", "C")).orderBy("transaction_id", "position").collect()
     assert [(r.transaction_id, r.position, r.feature) for r in top] == [(1, 1, "A"), (1, 2, "B"), (2, 1, "A"), (2, 2, "B")]
     reasons = {r.transaction_id: r for r in report.reason_codes(phi, 3, names=("A", "B", "C")).collect()}
-    assert reasons[1].up == ["B = 10.00 (pushed fraud score UP by 1.0000)"]
-    assert reasons[1].down == ["A = 2.00 (pushed fraud score DOWN by 1.0000)"]
+    assert reasons[1].up == ["B 10.00 raises the score by 1.0000"]
+    assert reasons[1].down == ["A 2.00 lowers the score by 1.0000"]
     assert sorted(tuple(r) for r in report.dependence_rows(phi, "b", COLS).collect()) == [(10.0, 1.0, 1), (30.0, -1.0, 0)]
 
 

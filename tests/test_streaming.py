@@ -10,7 +10,7 @@ from tests.test_sources import RECORDS, write_json
 def run(spark, stream, tmp_path, name, mode="append"):
     sink = str(tmp_path / name)
     s.start(stream, sink, str(tmp_path / f"{name}-progress"), mode, trigger=None).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(sink)
+    return s.current(spark, sink, stream.schema) if mode == "complete" else spark.read.schema(stream.schema).parquet(sink)
 
 
 def same(a, b):
@@ -46,3 +46,18 @@ def test_restart_reads_only_new_files(spark, tmp_path):
     s.stream_archive(stream, sink, progress, trigger=None).awaitTermination()
     ids = sorted(r.transaction_id for r in spark.read.parquet(sink).collect())
     assert ids == sorted([r[0] for r in RECORDS] + ["new"])
+
+
+def test_readers_see_whole_results_only(spark, tmp_path):
+    folder = write_json(tmp_path / "in")
+    stream = s.running_by_type(s.stream_events(spark, folder, settings.EVENTS))
+    sink, progress = str(tmp_path / "types"), str(tmp_path / "progress")
+    s.start(stream, sink, progress, "complete", trigger=None).awaitTermination()
+    before = sorted(map(tuple, s.current(spark, sink, stream.schema).collect()))
+    # A result that was begun and never finished, in the next batch's folder.
+    spark.createDataFrame([("half", 1)], "tx_type string, count long").write.parquet(f"{sink}/results/slot=1")
+    assert sorted(map(tuple, s.current(spark, sink, stream.schema).collect())) == before
+    io.read_events(spark, folder, settings.EVENTS).limit(1).write.mode("append").json(folder)
+    s.start(stream, sink, progress, "complete", trigger=None).awaitTermination()
+    after = {r.tx_type: r["count"] for r in s.current(spark, sink, stream.schema).collect()}
+    assert sum(after.values()) == sum(n for _, n in before) + 1 and "half" not in after
