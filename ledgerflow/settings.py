@@ -144,7 +144,7 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId in _SHIPPED:
         return
     package = os.path.dirname(os.path.abspath(__file__))
-    archive = os.path.join(tempfile.mkdtemp(prefix="ledgerflow-"), "ledgerflow.zip")
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="ledgerflow-")), "ledgerflow.zip")
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
         for folder, _, names in os.walk(package):
             for name in names:
