@@ -17,6 +17,7 @@ import ledgerflow.llm.packing as packing
 import ledgerflow.llm.quality as quality
 import ledgerflow.llm.repeats as repeats
 import ledgerflow.llm.simhash as simhash
+from ledgerflow.settings import ship
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,6 +70,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents of a folder."""
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for n, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir.rstrip("/"))

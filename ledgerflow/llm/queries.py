@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import contamination, licenses, packing, quality, quotes, repeats, shards, simhash, sketches, warc
-from ledgerflow.settings import scratch_dir
+from ledgerflow.settings import scratch_dir, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,7 +17,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def keep(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = lambda spark, folder: fn(spark, folder.rstrip("/"))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, folder.rstrip("/"))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
