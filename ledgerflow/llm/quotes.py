@@ -78,18 +78,24 @@ def parents(messages: DataFrame) -> DataFrame:
 
 
 def threads(nodes: DataFrame) -> DataFrame:
-    """(scope, place, parent, root, depth) for nodes with distinct (scope, place) and a parent or null, by pointer doubling."""
-    start = nodes.select("scope", "place", "parent", F.coalesce("parent", "place").alias("root"), F.when(F.col("parent").isNull(), 0).otherwise(1).alias("depth"))
-    now = store(start, "threads")
-    while True:
-        up = now.filter("depth > 0").select(F.col("scope").alias("_scope"), F.col("place").alias("_at"), F.col("root").alias("_root"), F.col("depth").alias("_depth"))
-        joined = now.join(up, (F.col("scope") == F.col("_scope")) & (F.col("root") == F.col("_at")), "left")
-        if joined.filter("_at IS NOT NULL AND depth > 0").isEmpty():
-            return now
-        moved = joined.select(
-            "scope", "place", "parent", F.coalesce("_root", "root").alias("root"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth")
+    """(scope, place, parent, root, depth) for nodes with distinct (scope, place) and a parent or null, by pointer doubling.
+
+    A node is settled once it points to a root. In each round only the others look up what they point to, and what that
+    points to becomes theirs.
+    """
+    top = F.col("parent").isNull()
+    first = nodes.select(
+        "scope", "place", "parent", F.coalesce("parent", "place").alias("root"), F.when(top, 0).otherwise(1).alias("depth"), top.alias("settled")
+    )
+    now = store(first, "threads")
+    while not now.filter("NOT settled").isEmpty():
+        target = now.select(*[F.col(c).alias(f"_{c}") for c in ("scope", "place", "root", "depth", "settled")])
+        moving = now.filter("NOT settled").join(target, (F.col("scope") == F.col("_scope")) & (F.col("root") == F.col("_place")))
+        moved = moving.select(
+            "scope", "place", "parent", F.col("_root").alias("root"), (F.col("depth") + F.col("_depth")).alias("depth"), F.col("_settled").alias("settled")
         )
-        now = store(moved, "threads")
+        now = store(now.filter("settled").unionByName(moved), "threads")
+    return now.drop("settled")
 
 
 def conversations(messages: DataFrame, scope: str, place: str, text: str = "text", rows_per_task: int | None = None) -> DataFrame:
