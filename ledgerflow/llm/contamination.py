@@ -10,7 +10,11 @@ is exhaustive above the threshold:
 * block-max WAND moves cursors over the postings, skips to the item whose bounds can reach the threshold, passes over blocks
   that cannot, and scores the items that remain.
 
-What is retrieved is verified: the shares of the item's question and answer shingles that stand in the passage.
+What is retrieved is verified. An item is held when the passage has enough of the shingles of its question and of its
+answer, or enough of the shingles of the whole item, or the whole item but for one word that was replaced, left out or put
+in; of short items one such word breaks most shingles. The last counts for items of ``WIDTH`` words and more, of which a
+word is no more than what ``WHOLE`` lets go. What is not retrieved, since the changed word alone carries half of the item's
+score, stays unseen. The shares of the question and of the answer are reported either way.
 
 Items are taken in shards of at most ``SHARD_ITEMS`` and ``SHARD_BYTES``, so what is broadcast is bounded however many
 items there are; their IDFs come from all items. Each shard is one pass over the texts.
@@ -40,7 +44,7 @@ CHUNKS = 1024
 SHARD_ITEMS = 20_000
 SHARD_BYTES = 32 << 20
 THRESHOLD = 0.5
-QUESTION, ANSWER = 0.8, 0.5
+QUESTION, ANSWER, WHOLE = 0.8, 0.5, 0.8
 LEAST_CLASS = 32
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -85,13 +89,37 @@ def shingles(words: Sequence, width: int) -> set[tuple]:
     return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
 
 
+def begins(words: Sequence, passage: Sequence, at: int) -> bool:
+    """Whether ``words``, but for one of them or one more, stand in ``passage`` from ``at`` on."""
+    n, k = len(words), 0
+    while k < n and at + k < len(passage) and words[k] == passage[at + k]:
+        k += 1
+    rest = lambda own, skip: passage[at + k + skip : at + k + skip + n - own] == words[own:]
+    return k >= n - 1 or rest(k + 1, 1) or rest(k + 1, 0) or rest(k, 1)
+
+
+def but_for_one(words: list, passage: list) -> bool:
+    """Whether ``passage`` holds ``words`` in a row but for one word replaced, left out or put in.
+
+    Such a word leaves the first or the second half as it was, so that only places of either half are looked at.
+    """
+    half = len(words) // 2
+    for own, other, size in ((words, passage, half), (words[::-1], passage[::-1], len(words) - half)):
+        at = -1
+        while own[0] in other[at + 1 :]:
+            at = other.index(own[0], at + 1)
+            if other[at : at + size] == own[:size] and begins(own, other, at):
+                return True
+    return False
+
+
 class Postings:
     """The index of items of one length class: impacts by term, block maxima, and what verification needs."""
 
     def __init__(self, items: list[tuple[int | None, str]], numbers: dict[bytes, int], idf: np.ndarray, average: float, length: int):
         self.ids = [i for i, _ in items]
         self.length = length
-        self.parts = []
+        self.parts, self.words = [], []
         found: dict[int, list[tuple[int, float]]] = defaultdict(list)
         for n, (_, text) in enumerate(items):
             counts = Counter(numbers[w] for w in words_of(text))
@@ -100,6 +128,7 @@ class Postings:
             total = sum(own.values())
             for t, value in own.items():
                 found[t].append((n, value / total))
+            self.words.append([numbers[w] for w in words_of(text)])
             self.parts.append(tuple(shingles([numbers[w] for w in part], WIDTH) for part in question_and_answer(text)))
         self.lists = {t: ([n for n, _ in p], [v for _, v in p]) for t, p in found.items()}
         self.upper = np.zeros(len(numbers) + 1)
@@ -199,7 +228,9 @@ class Index:
         rates = np.array([idf[w] for w in self.numbers] or [0.0])
         self.classes = [Postings(own, self.numbers, rates, average, length) for length, own in sorted(classes.items())]
 
-    def search(self, text: str | None, threshold: float = THRESHOLD, question: float = QUESTION, answer: float = ANSWER) -> list[dict]:
+    def search(
+        self, text: str | None, threshold: float = THRESHOLD, question: float = QUESTION, answer: float = ANSWER, whole: float = WHOLE
+    ) -> list[dict]:
         """The verified items of a whole text, each with its best passage."""
         words = words_of(text)
         unknown = len(self.numbers)
@@ -210,14 +241,21 @@ class Index:
                 own = terms[start:end].tolist()
                 found = postings.retrieve([t for t in set(own) if t != unknown], threshold - 1e-9)
                 by_width: dict[int, set] = {}
+
+                def share(part: set) -> float:
+                    width = len(next(iter(part))) if part else 0
+                    if width not in by_width:
+                        by_width[width] = shingles(own, width) if width else set()
+                    return len(part & by_width[width]) / len(part) if part else 1.0
+
                 for item, score in found:
-                    shares = []
-                    for part in postings.parts[item]:
-                        width = len(next(iter(part))) if part else 0
-                        if width not in by_width:
-                            by_width[width] = shingles(own, width) if width else set()
-                        shares.append(len(part & by_width[width]) / len(part) if part else 1.0)
-                    if shares[0] >= question and shares[1] >= answer:
+                    shares = [share(part) for part in postings.parts[item]]
+                    words = postings.words[item]
+                    if (
+                        (shares[0] >= question and shares[1] >= answer)
+                        or share(shingles(words, WIDTH)) >= whole
+                        or (len(words) >= WIDTH and but_for_one(words, own))
+                    ):
                         hit = (sum(shares), score, -start, shares, len(own))
                         if (n, item) not in best or hit[:3] > best[n, item][:3]:
                             best[n, item] = hit

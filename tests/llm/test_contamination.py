@@ -100,6 +100,50 @@ def test_planted_items_are_found_and_verified(spark):
             assert len(own & {tuple(words[k : k + width]) for k in range(len(words))}) / len(own) >= least
 
 
+def held(words, text):
+    """Brute force: 0.8 of the item's shingles stand in the text, or the item with one word replaced, left out or put in."""
+    own, width = contamination.shingles(words, 5), min(5, len(words))
+    if len(own & {tuple(text[k : k + width]) for k in range(len(text) - width + 1)}) / len(own) >= 0.8:
+        return True
+    same = lambda a, b: len(a) == len(b) and all(x is None or x == y for x, y in zip(a, b))
+    edits = [e for k in range(len(words)) for e in (words[:k] + [None] + words[k + 1 :], words[:k] + words[k + 1 :], words[:k] + [None] + words[k:])]
+    return len(words) >= 5 and any(same(e, text[k : k + len(e)]) for e in edits for k in range(len(text) - len(e) + 1))
+
+
+def test_every_edit_of_one_word_is_found():
+    draw = random.Random(9)
+    name = lambda: "".join(draw.choice("abcdefghij") for _ in range(7))
+    items = [(i, f"{' '.join(name() for _ in range(n))}. {' '.join(name() for _ in range(a))}.") for i, (n, a) in enumerate([(3, 2), (4, 3), (9, 5), (12, 7), (20, 9), (45, 4)])]
+    index = index_of(items)
+    for item, text in items:
+        words = words_of(text)
+        before, after = [[name().encode() for _ in range(draw.randint(0, 70))] for _ in range(2)]
+        for k in range(len(words)):
+            for edit in (words[:k] + [b"other"] + words[k + 1 :], words[:k] + words[k + 1 :], words[:k] + [b"other"] + words[k:]):
+                body = before + edit + after
+                assert held(words, body)
+                assert [h["item_id"] for h in index.search(b" ".join(body).decode())] == [item], (item, k)
+
+
+def test_edits_agree_with_brute_force():
+    items, sentence, draw = made(40, seed=6)
+    index, seen = index_of(items), Counter()
+    for _ in range(600):
+        item, text = draw.choice(items)
+        words = words_of(text)
+        for _ in range(draw.randint(1, 6)):
+            k = draw.randrange(len(words))
+            words[k : k + draw.randint(0, 1)] = draw.choice([[], [b"other"]])
+        body = words_of(sentence(draw.randint(1, 40))) + words + words_of(sentence(draw.randint(1, 40)))
+        question, answer = (contamination.shingles(p, 5) for p in contamination.question_and_answer(text))
+        runs = lambda part: {tuple(body[k : k + len(next(iter(part)))]) for k in range(len(body))}
+        parts = len(question & runs(question)) / len(question) >= 0.8 and len(answer & runs(answer)) / len(answer) >= 0.5
+        expected = parts or held(words_of(text), body)
+        assert (item in [h["item_id"] for h in index.search(b" ".join(body).decode())]) == expected
+        seen[parts, expected] += 1
+    assert min(seen[True, True], seen[False, True], seen[False, False]) > 20
+
+
 def test_shards_find_the_same(spark):
     items, sentence, draw = made(30)
     table = spark.createDataFrame([(i, f"{sentence(50)} {draw.choice(items)[1]} {sentence(20)}") for i in range(40)], "doc_id long, text string")
