@@ -27,14 +27,17 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of SimHash near-duplicates the document with the smallest id; of rows without ids, one by its text."""
+    """Of each group of SimHash near-duplicates one row: that with the smallest id, of rows with one id that with the smallest hash.
+
+    Rows stand for themselves, not for their ids: rows with one id and different texts stay or go each with its own group.
+    """
     # Ids made from texts come after all real ones.
     own = F.coalesce("doc_id", F.lit(1 << 62) + F.xxhash64("text").bitwiseAND((1 << 61) - 1))
-    found = common.store(simhash.near_duplicates(docs.select(own.alias("doc_id"), "text")), "near-duplicates")
-    first = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    kept = docs.withColumn("_own", own).join(first.withColumnRenamed("doc_id", "_own"), "_own", "left_semi")
+    keyed = docs.withColumns({"_own": own, "_row": F.xxhash64(*[F.col(c).isNull() for c in docs.columns], *docs.columns)})
+    first = common.store(simhash.first_rows(keyed, ["_own", "_row"]), "near-duplicates")
+    kept = keyed.join(first, ["_own", "_row"], "left_semi")
     if not first.filter("rows > 1").isEmpty():
-        kept = kept.dropDuplicates(["_own"])
+        kept = kept.dropDuplicates(["_own", "_row"])
     return kept.select(*docs.columns)
 
 

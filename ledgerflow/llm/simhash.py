@@ -200,6 +200,12 @@ def links(prints: DataFrame, radius: int = 2, tile: int = TILE) -> DataFrame:
     return spread.mapInArrow(compare, FOREST).distinct()
 
 
+def rooted(nodes: DataFrame, radius: int, tile: int) -> DataFrame:
+    """``nodes`` with distinct fingerprints and the ``root`` that chains of close ones share."""
+    joined = components(links(nodes, radius, tile))
+    return nodes.join(joined.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, tile: int = TILE) -> DataFrame:
     """(doc_id, fingerprint as a long, component_id) for every row of ``docs`` (doc_id, text).
 
@@ -209,9 +215,18 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, tile: int
     """
     rows = store(with_fingerprint(docs.select("doc_id", "text"), width=width).select("doc_id", "fingerprint"), "fingerprints")
     nodes = store(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "fingerprint-nodes")
-    joined = components(links(nodes, radius, tile))
-    rooted = nodes.join(joined.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-    rooted = rooted.select("fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(least, "root").select("fingerprint", "component_id")
+    found = rooted(nodes, radius, tile)
+    least = found.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = found.join(least, "root").select("fingerprint", "component_id")
     return rows.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def first_rows(docs: DataFrame, key: list[str], width: int = 3, radius: int = 2, tile: int = TILE) -> DataFrame:
+    """(``key``, rows): the smallest key of each component of near-duplicates, and the number of rows with that key.
+
+    ``key`` tells rows with different texts apart, also where they share an id.
+    """
+    rows = with_fingerprint(docs.select(*key, "text"), width=width).select(*key, "fingerprint")
+    counted = rows.groupBy("fingerprint", *key).agg(F.count(F.lit(1)).alias("rows"))
+    nodes = store(counted.groupBy("fingerprint").agg(F.min(F.struct(*key, "rows")).alias("first")), "fingerprint-nodes")
+    return rooted(nodes, radius, tile).groupBy("root").agg(F.min("first").alias("first")).select("first.*")

@@ -3,6 +3,7 @@ import re
 import numpy as np
 import xxhash
 
+import corpus_pipeline
 from ledgerflow.llm import simhash
 from ledgerflow.llm.components import components
 from tests.llm.data import docs, none, rows
@@ -110,3 +111,18 @@ def test_near_duplicates_of_all_cases(spark):
 
 def test_no_documents(spark):
     assert simhash.near_duplicates(none(spark)).count() == 0
+
+
+def test_rows_that_share_an_id_stay_with_their_own_groups(spark, tmp_path):
+    a, near, b, c = (" ".join(f"{x}{i}" for i in range(300)) for x in ("a", "a", "b", "c"))
+    near = near.replace("a299", "a299 ").upper()  # other bytes, the same words
+    schema = "doc_id long, text string, lang string"
+    table = [(5, a, "x"), (5, b, "x"), (3, near, "x"), (7, c, "x"), (7, c, "x"), (7, c, "y"), (8, b, "x"), (None, c, "x"), (9, None, None), (9, "", None)]
+    results = set()
+    for order in (table, table[::-1], table[3:] + table[:3]):
+        kept = corpus_pipeline.one_of_each(spark, spark.createDataFrame(order, schema).repartition(len(results) + 3), str(tmp_path))
+        results.add(tuple(sorted((r.doc_id, r.text or "", r.text is None, r.lang or "") for r in kept.collect())))
+    assert len(results) == 1
+    assert [(i, t) for i, t, *_ in results.pop()] == [(3, near), (5, b), (7, c), (9, "")]
+    pair = spark.createDataFrame([(5, a, "x"), (5, b, "x")], schema)
+    assert {r.text for r in corpus_pipeline.one_of_each(spark, pair, str(tmp_path)).collect()} == {a, b}
