@@ -8,7 +8,8 @@ left behind is never read.
 Reader. A file is cut into byte ranges. A task scans its range for the gzip magic, takes a place as a member when it
 inflates to a WARC header with a usable length, and owns the records that start inside its range, also when they end
 beyond it. Inside a run of members the next one starts where the last ended; when that place holds no member the scan goes
-on behind the start of the last. A task holds one record at a time.
+on behind the start of the last. A task holds one record at a time. Headers may have any length. Before records are handed
+out they are counted once, and a file that does not hold as many as its manifest says is an error.
 """
 
 from __future__ import annotations
@@ -34,7 +35,6 @@ FILE_BYTES = 1 << 30
 SPLIT_BYTES = 8 << 20
 STEP = 1 << 20
 MOST_TASKS = 20_000
-MOST_HEADER = 1 << 16
 DATE = "2024-01-01T00:00:00Z"
 
 MANIFEST = T.StructType([T.StructField("file", T.StringType()), T.StructField("bytes", T.LongType()), T.StructField("records", T.LongType())])
@@ -181,30 +181,31 @@ def read_member(window: _Window, at: int) -> tuple[dict[str, str], bytes, int] |
     """
     if window.get(at, 3) != MAGIC:
         return None
-    unpacker, pieces, place, fields, split = zlib.decompressobj(31), [], at, None, -1
+    unpacker, head, pieces, place, fields = zlib.decompressobj(31), bytearray(), [], at, None
     while not unpacker.eof:
         data = window.get(place, 1 << 12 if fields is None else STEP)
         if not data:
             return None
         try:
-            pieces.append(unpacker.decompress(data))
+            piece = unpacker.decompress(data)
         except zlib.error:
             return None
         place += len(data)
-        if fields is None:
-            seen = b"".join(pieces)
-            pieces, split = [seen], seen.find(b"\r\n\r\n")
-            if not (seen[:5] == b"WARC/"[: len(seen[:5])]):
-                return None
-            if split >= 0:
-                fields = parse_header(seen[:split])
-                if fields is None:
-                    return None
-            elif len(seen) > MOST_HEADER:
+        if fields is not None:
+            pieces.append(piece)
+            continue
+        head += piece
+        if not b"WARC/".startswith(head[:5]):
+            return None
+        split = head.find(b"\r\n\r\n", max(0, len(head) - len(piece) - 3))
+        if split >= 0:
+            fields = parse_header(bytes(head[:split]))
+            if fields is None:
                 return None
+            pieces.append(bytes(head[split + 4 :]))
     if fields is None:
         return None
-    body = b"".join(pieces)[split + 4 :]
+    body = b"".join(pieces)
     length = int(fields["content-length"])
     if len(body) != length + 4:
         return None
@@ -241,6 +242,7 @@ def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFr
     """The records of the files in a manifest (file, bytes), whatever their size, one task per byte range.
 
     Digests are hex. For a response the payload is what follows the HTTP header; a digest that does not fit it is an error.
+    Where the manifest has ``records``, files are read once more before, to count them, and a file with others is an error.
     """
     ranges = manifest.filter("bytes > 0").select(
         "file", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start")
@@ -270,7 +272,21 @@ def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFr
                 if rows:
                     yield _batch(rows)
 
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in batch.to_pylist():
+                fs, path = open_folder(part["file"])
+                with fs.open_input_file(path) as source:
+                    n = sum(1 for _ in read_range(source, part["bytes"], part["start"], part["start"] + split_bytes))
+                yield pa.RecordBatch.from_arrays([pa.array([part["file"]]), pa.array([n], pa.int64())], names=["file", "n"])
+
     spread = ranges.repartition(max(1, min(count, MOST_TASKS)), "file", "start")
+    if "records" in manifest.columns:
+        held = spread.mapInArrow(tally, "file string, n long").groupBy("file").agg(F.sum("n").alias("n"))
+        both = manifest.select("file", "records").join(held, "file", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        wrong = both.filter("n <> records").first()
+        if wrong is not None:
+            raise ValueError(f"{wrong['file']}: {wrong['n']} records can be read, the manifest has {wrong['records']}")
     return spread.mapInArrow(read, RECORDS)
 
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import warc
@@ -105,3 +106,19 @@ def test_each_record_has_one_owner():
 
 def test_no_pages(spark):
     assert warc.round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_headers_of_any_length(spark):
+    draw = random.Random(8)
+    urls = {n: "http://a/" + "".join(draw.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n)) for n in (10, 70_000, 200_000, 3_000_000)}
+    table = spark.createDataFrame([(n, u, f"page {n}") for n, u in urls.items()], "page_id long, url string, html string")
+    for split in (50_000, 1 << 30):
+        assert {int(r.record_id): r.target_uri for r in warc.round_trip(table, split_bytes=split).collect()} == urls
+
+
+def test_counts_of_the_manifest_are_held(spark, tmp_path):
+    table = spark.createDataFrame([(i, "http://a", f"page {i}") for i in range(30)], "page_id long, url string, html string")
+    manifest = warc.write_archives(warc.with_revisits(table), str(tmp_path))
+    assert warc.read_archives(manifest).count() == 30
+    with pytest.raises(ValueError, match="the manifest has"):
+        warc.read_archives(manifest.withColumn("records", F.col("records") + 1))
