@@ -2,7 +2,7 @@
 
 A line's quote level is the number of ``>`` at its start. Neighbouring quoted lines of one level are a passage; the lines
 without a mark are the message's own text. Passages are normalised and hashed, and looked up among the hashes of the own
-texts of all earlier messages of the same scope, whole or line by line. The shallowest passage that is found names the
+texts of all earlier messages of the same scope, whole, then line by line. The shallowest passage that is found names the
 message replied to. Pointers are then doubled until every message knows the first of its thread and its depth.
 
 Only DataFrame functions are used. A hash is one row however many messages hold it, and threads are numbered in pieces, so
@@ -61,20 +61,38 @@ def line_hashes(text: Column) -> Column:
 def parents(messages: DataFrame) -> DataFrame:
     """(scope, place, parent) of the messages that quote an earlier one of their scope.
 
-    A passage is looked up whole first, then by its first line. Of messages with the same text the earliest counts. Of a
-    message's passages the shallowest one found decides, of those the first hash found whole, then the latest message.
+    A passage is looked up whole, first among whole own texts, then among their lines; the lines of a passage that is not
+    found so are looked up in their order. Of messages with the same text the earliest counts. Of a message's passages the
+    shallowest one found decides, of those the first way of these to find one, then the latest message.
     """
-    keys = F.array_distinct(F.array_append(line_hashes(F.col("own")), hashed(normal(F.col("own")))))
-    originals = messages.select("scope", "place", F.explode(keys).alias("hash")).filter("hash IS NOT NULL")
-    earliest = originals.groupBy("scope", "hash").agg(F.min("place").alias("parent"))
-    entry = lambda p, rank, h: F.struct(p["level"].alias("level"), F.lit(rank).alias("rank"), h.alias("hash"))
-    wanted = F.flatten(
-        F.transform("passages", lambda p: F.array(entry(p, 0, hashed(normal(p["text"]))), entry(p, 1, F.get(line_hashes(p["text"]), F.lit(0)))))
+    entire = hashed(normal(F.col("own")))
+    others = F.transform(F.array_distinct(line_hashes(F.col("own"))), lambda h: F.struct(h.alias("hash"), F.lit(False).alias("entire")))
+    keys = F.array_append(others, F.struct(entire.alias("hash"), F.lit(True).alias("entire")))
+    originals = messages.select("scope", "place", F.inline(keys)).filter("hash IS NOT NULL")
+    earliest = originals.groupBy("scope", "hash").agg(F.min(F.when(F.col("entire"), F.col("place"))).alias("whole"), F.min("place").alias("any"))
+    earliest = store(earliest, "quoted-hashes")
+    best = F.min(F.struct("level", "rank", F.bitwise_not("parent").alias("back"))).alias("best")
+
+    wanted = F.transform("passages", lambda p: F.struct(p["level"].alias("level"), hashed(normal(p["text"])).alias("hash")))
+    asked = store(messages.select("scope", "place", F.inline(wanted)).filter("hash IS NOT NULL").distinct(), "quoted-passages")
+    early = F.coalesce(F.col("whole") < F.col("place"), F.lit(False))
+    found = asked.join(earliest, ["scope", "hash"]).withColumns(
+        {"rank": F.when(early, 0).otherwise(1), "parent": F.when(early, F.col("whole")).otherwise(F.col("any"))}
     )
-    asked = messages.select("scope", "place", F.inline(wanted)).filter("hash IS NOT NULL").distinct()
-    found = asked.join(earliest, ["scope", "hash"]).filter("parent < place")
-    best = F.min(F.struct("level", "rank", F.bitwise_not("parent").alias("back")))
-    return found.groupBy("scope", "place").agg(best.alias("best")).select("scope", "place", F.bitwise_not("best.back").alias("parent"))
+    found = store(found.filter("parent < place").groupBy("scope", "place").agg(best), "quoted-whole")
+
+    # Only messages with a passage above all that are found whole look up lines, and only of such passages.
+    top = asked.groupBy("scope", "place").agg(F.min("level").alias("top"))
+    open_ = top.join(found, ["scope", "place"], "left").filter("best IS NULL OR top < best.level")
+    open_ = store(open_.select("scope", "place", F.col("best.level").alias("below")), "quoted-open")
+    if not open_.isEmpty():
+        left = messages.select("scope", "place", "passages").join(open_, ["scope", "place"])
+        left = left.select("scope", "place", "below", F.inline("passages")).filter("below IS NULL OR level < below")
+        lines = left.select("scope", "place", "level", F.posexplode(line_hashes(F.col("text"))).alias("n", "hash"))
+        lines = lines.groupBy("scope", "place", "level", "hash").agg((F.min("n") + 2).alias("rank"))
+        more = lines.join(earliest, ["scope", "hash"]).withColumnRenamed("any", "parent").filter("parent < place")
+        found = found.unionByName(more.groupBy("scope", "place").agg(best)).groupBy("scope", "place").agg(F.min("best").alias("best"))
+    return found.select("scope", "place", F.bitwise_not("best.back").alias("parent"))
 
 
 def threads(nodes: DataFrame) -> DataFrame:

@@ -92,3 +92,24 @@ def test_no_python_on_the_way(spark, capsys):
 def test_no_messages(spark):
     assert quotes.conversations(spark.createDataFrame([], SCHEMA), "box", "sent").count() == 0
     assert quotes.as_mail(spark.createDataFrame([], SCHEMA), "box", "sent").filter(F.lit(True)).count() == 0
+
+
+def test_any_line_of_a_partial_quote_is_found(spark):
+    got = linked(
+        table(
+            spark,
+            [
+                (0, "First line\nSecond line\nThird line"),
+                (1, "> First line, edited\n> Second line\n> Third line\nreply"),
+                (2, "> Somebody wrote:\n>\n> third LINE\nreply two"),
+                (3, ">> First line\n>> Second line\n>> Third line\n> cut off\n> reply two\nreply three"),
+                (4, "> nothing\n> of this\n>> reply\nreply four"),
+            ],
+        )
+    )
+    assert {k: r.parent for k, r in got.items()} == {0: None, 1: 0, 2: 0, 3: 2, 4: 1}
+
+
+def test_whole_originals_come_before_those_with_such_a_line(spark):
+    got = linked(table(spark, [(0, "Yes\nand more"), (1, "No"), (2, "Yes"), (3, "> Yes\nreply"), (4, "> and more\nother")]))
+    assert {k: r.parent for k, r in got.items()} == {0: None, 1: None, 2: None, 3: 2, 4: 0}
