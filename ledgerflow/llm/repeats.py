@@ -1,9 +1,9 @@
-"""Removal of byte strings that occur more than once, by prefix doubling over sampled positions.
+"""Removal of byte strings that occur more than once, by anchors chosen by content and grouped names.
 
-Every window of ``least`` bytes has to be told apart from, or matched with, all others. Plain prefix doubling shuffles a row
-per byte and round, some forty times the input here. This form keeps its rounds - names of strings from pairs of names at
-growing offsets, a regrouping by Spark, positions with a unique name dropped, until a name passes the threshold - but
-starts from sampled positions:
+Every window of ``least`` bytes has to be told apart from, or matched with, all others. Distributed prefix doubling shuffles a
+row per byte and round, by estimate some forty times the input here (not measured). This is not that method: no pairs of position
+and rank are sorted and nothing is reranked. Doubling is only how a task names overlapping strings; Spark groups by content, up
+to four times, names of anchors, runs, cells and windows:
 
 1. Names of 8, 16, 32, ... bytes are built from pairs inside a task. Among the positions in a window, that with the
    smallest name of ``k`` bytes is its anchor, so equal windows have equal anchors at equal distances. An anchor serves a
