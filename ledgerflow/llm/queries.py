@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import contamination, licenses, packing, quality, quotes, repeats, shards, simhash, sketches, warc
+from ledgerflow.llm import contamination, licenses, packing, pieces, quality, quotes, ranking, repeats, shards, simhash, sketches, warc
 from ledgerflow.settings import scratch_dir, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,3 +183,46 @@ def _(spark, folder):
     turns = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
     mail = quotes.as_mail(turns, "conv_id", "turn")
     return quotes.conversations(mail, "conv_id", "turn").drop("text")
+
+
+@query(
+    "op12_ranking",
+    """
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words
+  FROM documents WHERE text IS NOT NULL),
+s AS (SELECT count(*)::BIGINT AS docs, sum(len(words))::BIGINT AS length FROM d WHERE len(words) > 0),
+c AS (SELECT r, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+      FROM (SELECT r, doc_id, len(words)::BIGINT AS n, unnest(words) AS term FROM d) GROUP BY r, term),
+f AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM c, s GROUP BY term),
+i AS (
+  SELECT DISTINCT item, item_id, term FROM (
+    SELECT item, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM (SELECT item_id, text, row_number() OVER () AS item FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)))),
+scored AS (
+  SELECT item, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // length))))::BIGINT AS score
+  FROM i JOIN c USING (term) JOIN f USING (term), s GROUP BY item, r)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 50
+""",
+)
+def _(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    return ranking.search(docs, spark.read.parquet(f"{folder}/benchmark.parquet"), top=50)
+
+
+@query("op13_pieces")
+def _(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    found = pieces.with_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select(
+        "doc_id",
+        (F.octet_length("pieces.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("pieces.ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("pieces.decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
