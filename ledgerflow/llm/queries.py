@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import contamination, licenses, packing, pieces, quality, quotes, ranking, repeats, shards, simhash, sketches, warc
+from ledgerflow.llm import contamination, licenses, packing, pieces, quality, quotes, ranking, repair, repeats, shards, simhash, sketches, warc
 from ledgerflow.settings import scratch_dir, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -226,3 +226,8 @@ def _(spark, folder):
         F.sha2("pieces.ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("pieces.decoded", "UTF-8"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op11_repair")
+def _(spark, folder):
+    return repair.audits(repair.damaged(repair.prepared(spark.read.parquet(f"{folder}/conversations.parquet"))))

@@ -17,6 +17,8 @@ from ledgerflow.llm.queries import ORACLES, QUERIES
 from tests.compare import rows as as_rows
 from tests.llm.test_licenses import base_places, plain_words
 from tests.llm.test_packing import plain_ids
+from tests.llm.test_pieces import plain as plain_pieces
+from tests.llm.test_repair import plain as plain_repairs
 from tests.llm.test_repeats import plain as plain_repeats
 from tests.llm.test_simhash import plain_fingerprint, roots
 
@@ -40,7 +42,7 @@ def run(spark, small, name):
 
 def test_all_are_registered():
     known = queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)} and "pipeline" in known
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 14)} and "pipeline" in known
     assert set(QUERIES) <= set(known) and set(ORACLES) <= set(oracle_sql())
     assert [len(corpus_pipeline.STAGES), corpus_pipeline.ORACLE_SQL] == [5, None]
 
@@ -179,6 +181,21 @@ def test_op10(spark, small, texts):
     assert np.mean([r["near_edited"] for r in got.values()]) > 0.35 > 0.1 > np.mean([r["near_next"] for r in got.values()])
 
 
+def test_op11(spark, small, table):
+    got = run(spark, small, "op11_repair")
+    expected = plain_repairs(table.execute("SELECT conv_id, turn, role, text FROM conversations").fetchall())
+    assert {r["conv_id"]: tuple(r.values())[1:] for r in got} == expected and len(got) == len(expected)
+
+
+def test_op13(spark, small, texts):
+    got = run(spark, small, "op13_pieces")
+    assert len(got) == len(texts)
+    for r in got:
+        ids, decoded = plain_pieces(texts[r["doc_id"]])
+        digests = [hashlib.sha256(v).hexdigest() for v in (ids, decoded.encode())]
+        assert [r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]] == [len(ids) // 4, *digests]
+
+
 def test_op5_reads_what_the_splits_give(spark, small):
     pages = spark.read.parquet(f"{small}/pages.parquet")
     whole = warc.round_trip(pages, 1000)
