@@ -12,7 +12,7 @@ from ledgerflow.plans import pipeline
 from ledgerflow.plans.adapter import COPY_ORDER
 from ledgerflow.plans.adapter_sql import mean_cents, oracle, share
 from ledgerflow.settings import scratch_dir
-from ledgerflow.sources import io
+from ledgerflow.sources import io, published
 
 @query(
     "batch_run",
@@ -29,7 +29,7 @@ def _(star):
     pipeline.run(star.spark, star.tx_raw, star.accounts_raw, star.customers_raw, out, COPY_ORDER)
     parts = []
     for table, col in (("banking_full", "amount"), ("suspicious_transactions", "amount"), ("customer_rankings", "total_spend")):
-        stored = star.spark.read.parquet(f"{out}/{table}")
+        stored = published.read(star.spark, f"{out}/{table}")
         parts.append(stored.agg(F.count(F.lit(1)).alias("n"), F.sum(col).alias("total")).withColumn("table", F.lit(table)))
     return reduce(DataFrame.unionByName, parts)
 
@@ -306,7 +306,7 @@ def stored_run(star):
 @query("batch_full", oracle("joined", BATCH_FEATURES))
 def _(star):
     # `part_id` only orders copies.
-    return star.spark.read.parquet(f"{stored_run(star)}/banking_full").drop("part_id")
+    return published.read(star.spark, f"{stored_run(star)}/banking_full").drop("part_id")
 
 
 @query(
@@ -318,4 +318,4 @@ def _(star):
     ),
 )
 def _(star):
-    return star.spark.read.parquet(f"{stored_run(star)}/customer_rankings")
+    return published.read(star.spark, f"{stored_run(star)}/customer_rankings")

@@ -2,7 +2,7 @@
 
 
 from ledgerflow.catalog.registry import query
-from ledgerflow.catalog.sources import FEW, PATTERN_SQL
+from ledgerflow.catalog.sources import NARROW, PATTERN_SQL
 from ledgerflow.functions import features as f
 from ledgerflow.ml.features import label_encode
 from ledgerflow.operators import enrich, predicates
@@ -112,7 +112,7 @@ def _(star):
 
 @column("fraud_label_ranked", "is_fraud", "labelled")
 def _(star):
-    return f.fraud_label(star.tx, rows=star.rows, rows_per_task=FEW).select("transaction_id", "is_fraud")
+    return f.fraud_label(star.tx, levels=NARROW).select("transaction_id", "is_fraud")
 
 
 @column("amount_to_balance", "CAST(amount AS DOUBLE) / (CAST(balance AS DOUBLE) + 1.0) AS amount_to_balance", "joined")

@@ -13,6 +13,8 @@ from ledgerflow.sources import io
 
 # Rows per task that force the forms for large data at every size of the tables.
 FEW = 500
+# Passes of few bits, so that every one of them has something to refine at every size of the tables.
+NARROW = (13,) * 5
 
 TX_OUT = 'transaction_id, account_id, CAST(amount AS DOUBLE) AS amount, tx_type, "timestamp", status, merchant, category'
 
@@ -289,7 +291,7 @@ def _(star):
     ),
 )
 def _(star):
-    filled = clean.impute_median(star.full, ["age", "balance"], rows=star.rows, rows_per_task=FEW)
+    filled = clean.impute_median(star.full, ["age", "balance"], levels=NARROW)
     return filled.select("transaction_id", "age", "balance")
 
 

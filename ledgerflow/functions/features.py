@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.plans.quantiles import quantiles
+from ledgerflow.plans.quantiles import LEVELS, quantiles
 from ledgerflow.settings import RULES, Rules
 
 
@@ -133,16 +133,15 @@ def fraud_label(
     rules: Rules = RULES,
     ts: str = "timestamp",
     rows: int | None = None,
-    rows_per_task: int | None = None,
+    levels: Sequence[int] = LEVELS,
 ) -> DataFrame:
     """Adds the training label ``is_fraud`` (0/1; a rule that cannot be decided does not fire).
 
     ``threshold`` is the high-amount quantile; by default it is taken from ``df`` itself as a scalar subquery.
-    ``rows`` is an upper bound on the size of ``df`` where one is known, ``rows_per_task`` the size from which on it is
-    ranked in parallel; see ``plans.quantiles``.
+    ``rows``, an upper bound on the size of ``df`` where one is known, and ``levels`` are those of ``plans.quantiles``.
     """
     if threshold is None:
-        top = quantiles(df, {"amount": rules.label_quantile}, rows=rows, rows_per_task=rows_per_task)
+        top = quantiles(df, {"amount": rules.label_quantile}, rows, levels=levels)
         threshold = top.scalar()
     amount, status = F.col("amount"), F.col("status")
     rule = (

@@ -88,10 +88,10 @@ def _distinct_sizes(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[int,
 def feature_table(full: DataFrame, rows: int | None = None, rules: Rules = RULES) -> DataFrame:
     """(transaction_id, 12 numeric features, is_fraud) of the joined transactions.
 
-    The quantile and the medians come from the whole set, before any split. They take one pass while ``rows``, an upper
-    bound on the size of ``full``, is small; beyond that each column is ranked in parallel.
+    The quantile and the medians come from the whole set, before any split, all three in the same passes; ``rows`` is an
+    upper bound on the size of ``full`` where one is known.
     """
-    limits = quantiles(full, {"amount": rules.label_quantile, "age": 0.5, "balance": 0.5}, rows=rows)
+    limits = quantiles(full, {"amount": rules.label_quantile, "age": 0.5, "balance": 0.5}, rows)
     known = full.withColumn("_limits", limits.select(F.struct("*")).scalar())
     labelled = f.fraud_label(known, F.col("_limits.amount"), rules)
     filled = labelled.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_limits.{c}")) for c in ("age", "balance")})

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.plans.quantiles import quantiles
+from ledgerflow.plans.quantiles import LEVELS, quantiles
 from ledgerflow.settings import RULES, Rules
 
 
@@ -91,10 +91,10 @@ def cleaning_report(raw: Mapping[str, DataFrame], clean: Mapping[str, DataFrame]
 
 
 def impute_median(
-    df: DataFrame, cols: Sequence[str], rows: int | None = None, accuracy: int | None = None, rows_per_task: int | None = None
+    df: DataFrame, cols: Sequence[str], rows: int | None = None, accuracy: int | None = None, levels: Sequence[int] = LEVELS
 ) -> DataFrame:
     """Replaces nulls in ``cols`` by the median of the column, as doubles. Run it after the join."""
-    middle = quantiles(df, {c: 0.5 for c in cols}, rows=rows, accuracy=accuracy, rows_per_task=rows_per_task)
+    middle = quantiles(df, {c: 0.5 for c in cols}, rows, accuracy, levels)
     return fill_from(df, middle, cols)
 
 

@@ -138,32 +138,55 @@ def percentile_top(df: DataFrame, n: int = 5) -> DataFrame:
     return rows.withColumn("amount_percentile", _percentile(F.col("_below"), F.col("_c.others"))).drop("_c", "_below")
 
 
+# Marks of a report that are broadcast.
+MOST_MARKS = 100_000
+
+
+def _search_steps(limit: int) -> list[int]:
+    """The strides of a binary search among up to ``limit`` marks."""
+    return [1 << k for k in reversed(range(max(1, limit).bit_length()))]
+
+
 def running_and_rank_sql(spark: SparkSession, limit: int = 15) -> DataFrame:
     """The first rows by account and time with the running total and the amount's rank in the city, in Spark SQL.
 
-    The rows asked for are the start of their accounts, so the running total needs no other row. The rank is one more
-    than the number of larger amounts in the city, counted in one pass for these rows only.
+    The rows asked for are the start of their accounts, so the running total needs no other row. The rank is one more than
+    the number of larger amounts in the city. For that the amounts of the head are kept per city as a sorted array of marks;
+    every row finds by binary search how many marks lie below its amount and adds one to that slot of its city, and the sum
+    of the slots above a mark tells how many amounts are larger. Rows meet their city's marks, not the head's rows,
+    and what is shuffled is at most a count per slot.
     """
+    steps = _search_steps(limit)
+    # There are at most as many marks as rows are asked for; beyond some thousands Spark chooses the join.
+    hint = "/*+ BROADCAST(m) */" if limit <= MOST_MARKS else ""
+    # Each step's position is a column that the next step uses.
+    search = ",\n".join(
+        f"p{k} + CASE WHEN get(marks, p{k} + {stride - 1}) < amount THEN {stride} ELSE 0 END AS p{k + 1}" for k, stride in enumerate(steps)
+    )
     return spark.sql(
-        """
+        f"""
         WITH head AS (
           SELECT account_id, name, city, timestamp, transaction_id, amount
           FROM banking_data
           ORDER BY account_id, timestamp, transaction_id
           LIMIT :n
         ),
-        larger AS (
-          SELECT h.transaction_id, count(*) AS n
-          FROM banking_data b JOIN head h ON b.city <=> h.city AND b.amount > h.amount
-          GROUP BY h.transaction_id
-        )
+        marked AS (SELECT city, sort_array(collect_set(amount)) AS marks FROM head GROUP BY city),
+        placed AS (
+          SELECT {hint} b.city, m.marks, b.amount, 0 AS p0, {search}
+          FROM banking_data b JOIN marked m ON b.city <=> m.city
+        ),
+        counted AS (SELECT city, p{len(steps)} AS slot, count(*) AS n FROM placed GROUP BY city, p{len(steps)}),
+        slots AS (SELECT city, collect_list(struct(slot, n)) AS slots FROM counted GROUP BY city),
+        ranked AS (SELECT *, dense_rank() OVER (PARTITION BY city ORDER BY amount NULLS LAST) AS place FROM head)
         SELECT h.account_id, h.name, h.timestamp, h.amount,
                sum(h.amount) OVER (
                  PARTITION BY h.account_id ORDER BY h.timestamp, h.transaction_id
                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW
                ) AS running_total,
-               coalesce(l.n, 0) + 1 AS rank_in_city
-        FROM head h LEFT JOIN larger l ON l.transaction_id = h.transaction_id
+               1 + CASE WHEN h.amount IS NULL THEN 0L
+                        ELSE coalesce(aggregate(filter(s.slots, x -> x.slot >= h.place), 0L, (a, x) -> a + x.n), 0L) END AS rank_in_city
+        FROM ranked h LEFT JOIN slots s ON s.city <=> h.city
         ORDER BY h.account_id, h.timestamp, h.transaction_id
         """,
         args={"n": limit},

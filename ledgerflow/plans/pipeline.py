@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerflow.functions import features as f
 from ledgerflow.operators import aggregates, clean, enrich, predicates, windows
 from ledgerflow.settings import RULES, Rules
-from ledgerflow.sources import io
+from ledgerflow.sources import io, published
 
 
 @dataclass(frozen=True)
@@ -42,22 +42,28 @@ def run(
     """Stores the joined table by account type, the suspicious rows, the customer ranks and the clean small tables.
 
     Each is written once, and everything later, the four relations for SQL included, reads the stored copies instead of
-    cleaning and joining again.
+    cleaning and joining again. Every table is published as a version of its own (``sources.published``): a run that fails
+    or is repeated leaves readers with whole tables.
     """
     tables = prepare(tx, acc, cust, order)
-    io.save(tables.full, f"{out}/banking_full", ["account_type"])
-    full = spark.read.parquet(f"{out}/banking_full")
-    io.save(predicates.fraud_pattern(full, ordered=False), f"{out}/suspicious_transactions")
+    published.publish(tables.full, f"{out}/banking_full", ["account_type"])
+    full = published.read(spark, f"{out}/banking_full")
+    published.publish(predicates.fraud_pattern(full, ordered=False), f"{out}/suspicious_transactions")
     spend = aggregates.spend_per_customer(full, ordered=False)
-    io.save(windows.rank_in_city(spend, rows=full.count()), f"{out}/customer_rankings")
-    stored = {}
-    for name, frame in (("customers", tables.customers), ("accounts", tables.accounts)):
-        io.save(frame, f"{out}/{name}")
-        stored[name] = spark.read.parquet(f"{out}/{name}")
+    rows = published.find(spark, f"{out}/banking_full").rows
+    published.publish(windows.rank_in_city(spend, rows=rows), f"{out}/customer_rankings")
+    published.publish(tables.customers, f"{out}/customers")
+    published.publish(tables.accounts, f"{out}/accounts")
+    done = stored(spark, out, tables.transactions.columns)
+    io.register(spark, done.full, done.transactions, done.accounts, done.customers)
+    return done
+
+
+def stored(spark: SparkSession, out: str, columns: Sequence[str] | None = None) -> Tables:
+    """The tables of the last finished run; ``columns`` are those of the transactions, all of the joined table by default."""
+    full, customers, accounts = (published.read(spark, f"{out}/{name}") for name in ("banking_full", "customers", "accounts"))
     # The joined table has every clean transaction once, with all its columns.
-    transactions = full.select(*tables.transactions.columns)
-    io.register(spark, full, transactions, stored["accounts"], stored["customers"])
-    return Tables(stored["customers"], stored["accounts"], transactions, full)
+    return Tables(customers, accounts, full.select(*columns) if columns else full, full)
 
 
 def sql(spark: SparkSession, text: str, **args: object) -> DataFrame:

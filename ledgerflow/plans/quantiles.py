@@ -1,36 +1,122 @@
-"""Exact quantiles without holding a column in one task."""
+"""Exact quantiles of numeric columns by radix selection: no sort and no job before the action.
+
+Every value becomes a whole number of 64 bits that sorts as the value does. One pass counts the values and finds the range of
+each column; with that, a first pass counts the leading bits of all columns at once, in one aggregate. The leading bits that
+hold the wanted rank are refined by the next bits, and once more, after which all bits are known. Each pass shuffles counts,
+never values; what a pass learned reaches the next one as a scalar subquery, so the plan stays lazy. A pass counts at most
+2 ** bits numbers per column, whatever the values, and its counts are added up in one task.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerflow.plans.splits import ROWS_PER_TASK, ranked_values
-
-# Up to this many rows the built-in exact percentile is the faster way, and its buffer is small.
+# Bits found by each pass, 64 together. Fewer in the first one, which counts all rows of all columns.
+LEVELS = (14, 25, 25)
+# Up to this many rows, if the caller knows that there are no more, the built-in percentile is the faster way.
 BUILT_IN_ROWS = 1_000_000
+WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+MANTISSA = 1 << 52
+
+
+def order_key(c: Column, kind: T.DataType) -> Column:
+    """A long that sorts as the number does; null for null. NaN comes after infinity, both zeros are one."""
+    if isinstance(kind, WHOLE):
+        return c.cast("long")
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        return (c * F.lit(Decimal(10**kind.scale))).cast("long")
+    x = F.abs(c.cast("double"))
+    # The logarithm may be off by one next to a power of two; powers of two are exact.
+    near = F.floor(F.log2(x)).cast("int")
+    exponent = near - (F.pow(F.lit(2.0), near) > x).cast("int") + (F.pow(F.lit(2.0), near + 1) <= x).cast("int")
+    normal = F.shiftleft((exponent + 1023).cast("long"), 52) + ((x / F.pow(F.lit(2.0), exponent) - 1) * F.lit(float(MANTISSA))).cast("long")
+    small = (x / F.lit(5e-324)).cast("long")
+    size = (
+        F.when(F.isnan(x), F.lit(2047 * MANTISSA + 1))
+        .when(x == F.lit(float("inf")), F.lit(2047 * MANTISSA))
+        .when(x < F.lit(2.0**-1022), small)
+        .otherwise(normal)
+    )
+    return F.when(c.cast("double") < 0, -size).otherwise(size)
+
+
+def value_of(key: Column, kind: T.DataType) -> Column:
+    """The number of an order key, as a double."""
+    if isinstance(kind, WHOLE):
+        return key.cast("double")
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        return (key.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-kind.scale))).cast("double")
+    size = F.abs(key)
+    exponent, rest = F.shiftright(size, 52), size.bitwiseAND(F.lit(MANTISSA - 1)).cast("double")
+    normal = (1 + rest / float(MANTISSA)) * F.pow(F.lit(2.0), exponent - 1023)
+    found = (
+        F.when((exponent == 2047) & (rest > 0), F.lit(float("nan")))
+        .when(exponent == 2047, F.lit(float("inf")))
+        .when(exponent == 0, rest * F.lit(5e-324))
+        .otherwise(normal)
+    )
+    return F.when(key < 0, -found).otherwise(found)
+
+
+FIELDS = ("low", "high", "share", "low_key", "high_key", "known", "next")
 
 
-def _ranked_quantile(df: DataFrame, col: str, p: float, rows_per_task: int) -> DataFrame:
-    """One row, one column: the interpolated quantile, read off the ranks of the distinct values."""
-    known = df.select(F.col(col).cast("double").alias("v")).filter("v is not null")
-    ranked = ranked_values(known, [], "v", rows_per_task=rows_per_task)
-    ranked = ranked.withColumn("at", (known.agg(F.count(F.lit(1))).scalar() - 1) * F.lit(float(p)))
-    at = F.col("at")
-    low, high = F.floor(at), F.ceil(at)
+def _ranges(keyed: DataFrame, shares: Sequence[float], levels: Sequence[int]) -> DataFrame:
+    """One row ``state``: for each column its ranks and how many bits the first pass leaves out.
+
+    The range of the keys decides how many; a range that overflows leaves out all that later passes can find.
+    """
+    left = sum(levels[1:])
+    counted = keyed.selectExpr(*[f"{f}({c}) AS {f}_{c}" for c in keyed.columns for f in ("count", "min", "max")])
+    states = []
+    for i, (c, share) in enumerate(zip(keyed.columns, shares)):
+        at = f"(count_{c} - 1) * {float(share)!r}D"
+        bits = f"CAST(ceil(log2(try_subtract(max_{c}, min_{c}) + 2D)) AS INT) - {levels[0] - 1}"
+        states.append(
+            f"named_struct('low', floor({at}), 'high', ceil({at}), 'share', {at} - floor({at}), 'low_key', 0L, 'high_key', 0L, "
+            f"'known', 64, 'next', least({left}, greatest(0, coalesce({bits}, {left}))))"
+        )
+    return counted.selectExpr(f"array({', '.join(states)}) AS state")
 
-    def holds(position):
-        return (F.col("below") <= position) & (position < F.col("below") + F.col("n"))
 
-    picked = ranked.select(
-        "v", holds(low).alias("is_low"), holds(high).alias("is_high"), (at - low).alias("share")
-    ).filter("is_low or is_high")
-    lower = F.max(F.when(F.col("is_low"), F.col("v")))
-    upper = F.max(F.when(F.col("is_high"), F.col("v")))
-    share = F.max("share")
-    return picked.agg(((F.lit(1.0) - share) * lower + share * upper).alias(col))
+def _refined(keyed: DataFrame, state: DataFrame, bits: int) -> DataFrame:
+    """The state with the next bits of each column's two keys; ranks become ranks among the values that share them.
+
+    What is known of a column goes along with its counts as plain numbers, so that each pass names the one before it once and
+    counts in hash tables.
+    """
+    rows = keyed.withColumn("_s", state.scalar())
+    entries = []
+    for i, c in enumerate(keyed.columns):
+        own = f"_s[{i}]"
+        fields = ", ".join(f"'{f}', {own}.{f}" for f in FIELDS)
+        for side, wanted in ((0, "low_key"), (1, "high_key")):
+            inside = f"({own}.known = 64 OR shiftright({c}, least({own}.known, 63)) = {own}.{wanted})"
+            if side == 1:  # both keys share their bits mostly, and are then counted once
+                inside += f" AND {own}.known < 64 AND {own}.low_key <> {own}.high_key"
+            entry = f"named_struct('c', {i}, 'side', {side}, 'bits', shiftright({c}, {own}.next), {fields})"
+            entries.append(f"CASE WHEN {c} IS NOT NULL AND {inside} THEN {entry} END")
+    found = rows.selectExpr(f"inline(filter(array({', '.join(entries)}), e -> e IS NOT NULL))")
+    counted = found.groupBy("c", "side", "bits").agg(F.expr("count(1)").alias("n"), *[F.max(f).alias(f) for f in FIELDS])
+    placed = counted.selectExpr("*", "sum(n) OVER (PARTITION BY c, side ORDER BY bits) - n AS before")
+    is_low = "(side = 0 AND before <= low AND low < before + n)"
+    is_high = "(side = CASE WHEN low_key = high_key OR known = 64 THEN 0 ELSE 1 END AND before <= high AND high < before + n)"
+    picked = placed.filter(f"{is_low} OR {is_high}").groupBy("c").agg(
+        F.expr(f"max(CASE WHEN {is_low} THEN low - before END)").alias("low"),
+        F.expr(f"max(CASE WHEN {is_high} THEN high - before END)").alias("high"),
+        F.max("share").alias("share"),
+        F.expr(f"max(CASE WHEN {is_low} THEN bits END)").alias("low_key"),
+        F.expr(f"max(CASE WHEN {is_high} THEN bits END)").alias("high_key"),
+        F.max("next").alias("known"),
+        F.expr(f"max(greatest(next - {bits}, 0))").alias("next"),
+    )
+    gathered = picked.selectExpr(f"map_from_entries(collect_list(struct(c, struct({', '.join(FIELDS)})))) AS m")
+    return gathered.selectExpr(f"array({', '.join(f'try_element_at(m, {i})' for i in range(len(keyed.columns)))}) AS state")
 
 
 def quantiles(
@@ -38,23 +124,29 @@ def quantiles(
     wanted: Mapping[str, float],
     rows: int | None = None,
     accuracy: int | None = None,
-    rows_per_task: int | None = None,
+    levels: Sequence[int] = LEVELS,
 ) -> DataFrame:
-    """One row with the interpolated quantile of each column, nulls left out.
+    """One row with the interpolated quantile of each column as a double, nulls left out; null for a column without values.
 
-    The built-in exact ``percentile`` keeps every distinct value in one buffer, so it is used only while the number of
-    rows (``rows`` is an upper bound, counted if not given) is small enough for one task. Beyond that the values are
-    ranked in parallel. ``accuracy`` asks for ``percentile_approx`` instead.
+    ``rows`` is an upper bound on the size of ``df`` where the caller knows one: up to ``BUILT_IN_ROWS`` the built-in exact
+    percentile, one pass with a buffer that is small then, gives the same result sooner. ``accuracy`` asks for
+    ``percentile_approx`` instead. ``levels`` are the bits found by each pass. No job runs before the action in any case.
     """
     if accuracy:
-        return df.agg(
-            *[F.percentile_approx(F.col(c).cast("double"), p, accuracy).alias(c) for c, p in wanted.items()]
-        )
-    limit = rows_per_task or BUILT_IN_ROWS
-    total = rows if rows is not None and rows <= limit else df.count()
-    if total <= limit:
+        return df.agg(*[F.percentile_approx(F.col(c).cast("double"), p, accuracy).alias(c) for c, p in wanted.items()])
+    if rows is not None and rows <= BUILT_IN_ROWS:
         return df.agg(*[F.percentile(F.col(c).cast("double"), F.lit(float(p))).alias(c) for c, p in wanted.items()])
-    one = df.sparkSession.range(1)
-    return one.select(
-        *[_ranked_quantile(df, c, p, rows_per_task or ROWS_PER_TASK).scalar().alias(c) for c, p in wanted.items()]
-    )
+    if sum(levels) < 64:
+        raise ValueError("the passes have to find 64 bits together")
+    kinds = [df.schema[c].dataType for c in wanted]
+    keyed = df.select(*[order_key(F.col(f"`{c}`"), kind).alias(f"k{i}") for i, (c, kind) in enumerate(zip(wanted, kinds))])
+    state = _ranges(keyed, list(wanted.values()), levels)
+    for bits in (*levels[1:], 0):
+        state = _refined(keyed, state, bits)
+
+    def value(i: int, kind: T.DataType) -> Column:
+        own = F.get("state", F.lit(i))
+        low, high = value_of(own["low_key"], kind), value_of(own["high_key"], kind)
+        return F.when(own["low_key"] == own["high_key"], low).otherwise((F.lit(1.0) - own["share"]) * low + own["share"] * high)
+
+    return state.select(*[value(i, kind).alias(c) for i, (c, kind) in enumerate(zip(wanted, kinds))])

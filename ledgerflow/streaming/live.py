@@ -10,9 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerflow.functions.features import is_flagged, rule_flags
 from ledgerflow.operators.aggregates import fraud_rate_by_city, row_count, volume_by_type
 from ledgerflow.settings import RULES, Rules
+from ledgerflow.sources import published
 
-# Folders that results of complete mode go to in turn; a reader has that many batches of time.
-SLOTS = 16
+# Results of complete mode that stay readable: the newest ones, and all of the last seconds.
+KEEP, SECONDS = 16, 60.0
 
 
 def stream_events(
@@ -66,13 +67,16 @@ def start(
     checkpoint: str,
     mode: str = "append",
     trigger: str | None = "5 seconds",
+    keep: int = KEEP,
+    seconds: float = SECONDS,
 ) -> StreamingQuery:
     """Starts a query that writes Parquet to the folder ``sink``.
 
-    Append mode uses the file sink (exactly once). In complete mode each result goes into one of ``SLOTS`` folders, by the
-    number of its batch, and is named as finished after that: readers (``current``) see the result before or the one after,
-    never a part, and a repeated micro-batch has no effect. ``trigger`` is a processing time; None works off all data and
-    stops.
+    Append mode uses the file sink (exactly once). In complete mode each result is published as a version of its own, numbered
+    by its batch: readers (``current``) see the result before or the one after, never a part, and a repeated micro-batch has
+    no effect. Versions are never written to again; those that are neither among the newest ``keep`` nor published in the last
+    ``seconds`` are removed, so the number of files stays bounded and a later reader gets an error, not other rows.
+    ``trigger`` is a processing time; None works off all data and stops.
     """
     writer = st.writeStream.option("checkpointLocation", checkpoint).outputMode(mode)
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
@@ -80,16 +84,21 @@ def start(
         return writer.format("parquet").start(sink)
 
     def replace(result: DataFrame, batch: int) -> None:
-        result.write.mode("overwrite").parquet(f"{sink}/results/slot={batch % SLOTS}")
-        result.sparkSession.range(batch, batch + 1).toDF("batch").coalesce(1).write.mode("append").parquet(f"{sink}/finished")
+        published.publish(result, sink, version=batch, check=False)
+        published.expire(result.sparkSession, sink, keep, seconds)
 
     return writer.foreachBatch(replace).start()
 
 
-def current(spark: SparkSession, sink: str, schema: T.StructType) -> DataFrame:
-    """The newest finished result of a query in complete mode."""
-    newest = spark.read.schema("batch long").parquet(f"{sink}/finished").agg(F.max("batch")).first()[0]
-    return spark.read.schema(schema).parquet(f"{sink}/results/slot={newest % SLOTS}")
+def current(spark: SparkSession, sink: str, schema: T.StructType | None = None, batch: int | None = None) -> DataFrame:
+    """The newest finished result of a query in complete mode, or that of a ``batch`` that has not expired."""
+    found = published.read(spark, sink, batch)
+    return found if schema is None else found.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in schema.fields])
+
+
+def finished(spark: SparkSession, sink: str) -> list[int]:
+    """The batches of a query in complete mode whose results can still be read."""
+    return [m.version for m in published.manifests(spark, sink)]
 
 
 def stream_archive(st: DataFrame, path: str, checkpoint: str, trigger: str | None = "5 seconds") -> StreamingQuery:

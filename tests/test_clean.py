@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import clean
+from ledgerflow.plans.quantiles import LEVELS
 
 TX = "transaction_id string, account_id string, amount decimal(18,2), tx_type string, timestamp string, status string"
 
@@ -79,12 +80,10 @@ def test_report(spark):
     assert tuple(out) == ("tx", 10, 2, 8)
 
 
-@pytest.mark.parametrize("rows_per_task", [None, 2])
-def test_median_both_ways(spark, rows_per_task, monkeypatch):
-    if rows_per_task:
-        monkeypatch.setattr("ledgerflow.plans.quantiles.BUILT_IN_ROWS", rows_per_task)
+@pytest.mark.parametrize("levels", [LEVELS, (13,) * 5])
+def test_median(spark, levels):
     df = spark.createDataFrame([(1, 10.0), (2, None), (3, 20.0), (4, 40.0), (5, 50.0)], "id int, x double")
-    out = {r.id: r.x for r in clean.impute_median(df, ["x"]).collect()}
+    out = {r.id: r.x for r in clean.impute_median(df, ["x"], levels=levels).collect()}
     assert out == {1: 10.0, 2: 30.0, 3: 20.0, 4: 40.0, 5: 50.0}
 
 

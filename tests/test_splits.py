@@ -1,11 +1,16 @@
 """The split windows against the built-in ones, with a key that holds most of the rows."""
 
+import math
+import random
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow.operators import windows as w
-from ledgerflow.plans.quantiles import quantiles
+from ledgerflow.plans.quantiles import LEVELS, order_key, quantiles, value_of
 from ledgerflow.plans.splits import FEW_CUTS, MAX_BUCKETS, cumulate, find_splits, ranked_values
 
 
@@ -129,10 +134,59 @@ def test_ranked_values_count_everything(skewed):
 
 
 @pytest.mark.parametrize("p", [0.0, 0.5, 0.98, 1.0])
-def test_quantile_by_ranks(skewed, p):
+def test_quantile_by_radix(skewed, p):
     expected = skewed.agg(F.percentile(F.col("amount").cast("double"), F.lit(p)).alias("q")).first().q
-    got = quantiles(skewed, {"amount": p}, rows_per_task=100).first().amount
-    assert got == pytest.approx(expected, abs=1e-9)
+    for levels in (LEVELS, (16,) * 4, (1, 63)):
+        assert quantiles(skewed, {"amount": p}, levels=levels).first().amount == pytest.approx(expected, abs=1e-9)
+
+
+ODD = [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 2.0**-1023, 1.0, 1.0 - 2**-53, 1.0 + 2**-52, 2.0**1023, 1.7976931348623157e308, math.inf, -math.inf, 0.1, -0.1, 1e15, 3.0]
+
+
+def test_order_keys_of_doubles(spark):
+    draw = random.Random(4)
+    values = ODD + [math.ldexp(draw.uniform(-1, 1), draw.randint(-1080, 1020)) for _ in range(2000)]
+    values += [math.nextafter(2.0**k, side) for k in range(-1073, 1023, 7) for side in (0.0, math.inf)]
+    df = spark.createDataFrame([(v,) for v in [*values, math.nan]], "v double")
+    key = order_key(F.col("v"), T.DoubleType())
+    rows = df.select("v", key.alias("k"), value_of(key, T.DoubleType()).alias("back")).collect()
+    assert all(r.back == r.v or (math.isnan(r.v) and math.isnan(r.back)) for r in rows)
+    assert max(rows, key=lambda r: r.k).k == next(r.k for r in rows if math.isnan(r.v))
+    known = sorted((r for r in rows if not math.isnan(r.v)), key=lambda r: r.v)
+    assert all((a.k < b.k) == (a.v < b.v) and (a.k == b.k) == (a.v == b.v) for a, b in zip(known, known[1:]))
+
+
+def test_quantiles_of_several_kinds(spark):
+    draw = random.Random(5)
+    rows = []
+    for n in range(700):
+        rows.append((draw.choice([None, draw.gauss(0, 1e-3), draw.gauss(0, 1e12), 0.0]), draw.choice([None, 2**62, -(2**62), n]), Decimal(draw.randint(-10**6, 10**6)) / 100, None, float(n % 7)))
+    df = spark.createDataFrame(rows, "a double, b long, c decimal(18,2), d double, e float").repartition(5)
+    for p in (0.0, 0.25, 0.5, 0.98, 1.0):
+        exact = df.agg(*[F.percentile(F.col(c).cast("double"), F.lit(p)).alias(c) for c in df.columns]).first()
+        for levels in (LEVELS, (16,) * 4):
+            got = quantiles(df, {c: p for c in df.columns}, levels=levels).first()
+            assert got.d is None and [got[c] for c in "abce"] == pytest.approx([exact[c] for c in "abce"], rel=1e-12)
+
+
+def test_selection_starts_no_job(skewed):
+    from ledgerflow.functions.features import fraud_label
+    from ledgerflow.operators.clean import impute_median
+
+    context = skewed.sparkSession.sparkContext
+    context.setJobGroup("selection", "plans only")
+    try:
+        quantiles(skewed, {"amount": 0.5})
+        impute_median(skewed, ["amount"])
+        fraud_label(skewed.withColumn("status", F.lit("failed")))
+        assert not context.statusTracker().getJobIdsForGroup("selection")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_quantiles_without_rows(skewed):
+    got = quantiles(skewed.limit(0), {"amount": 0.5, "transaction_id": 0.98}).collect()
+    assert [tuple(r) for r in got] == [(None, None)]
 
 
 def test_cut_points_are_bounded(skewed):

@@ -54,8 +54,8 @@ def test_readers_see_whole_results_only(spark, tmp_path):
     sink, progress = str(tmp_path / "types"), str(tmp_path / "progress")
     s.start(stream, sink, progress, "complete", trigger=None).awaitTermination()
     before = sorted(map(tuple, s.current(spark, sink, stream.schema).collect()))
-    # A result that was begun and never finished, in the next batch's folder.
-    spark.createDataFrame([("half", 1)], "tx_type string, count long").write.parquet(f"{sink}/results/slot=1")
+    # A result that was begun and never finished.
+    spark.createDataFrame([("half", 1)], "tx_type string, count long").write.parquet(f"{sink}/data/000000000001-begun")
     assert sorted(map(tuple, s.current(spark, sink, stream.schema).collect())) == before
     io.read_events(spark, folder, settings.EVENTS).limit(1).write.mode("append").json(folder)
     s.start(stream, sink, progress, "complete", trigger=None).awaitTermination()
