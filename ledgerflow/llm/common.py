@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import pyarrow as pa
@@ -44,6 +44,21 @@ def text_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     ]
 
 
+def aside(df: DataFrame, *own: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """``df`` with every column but ``own`` under a name that nothing inside uses, and the way back.
+
+    The way back takes a frame that still has these columns, gives them their names and order again and appends the columns
+    named; one of the caller's with such a name is replaced.
+    """
+    names = {c: c if c in own else f"given{n}" for n, c in enumerate(df.columns)}
+
+    def back(done: DataFrame, *more: str) -> DataFrame:
+        kept = [F.col(f"`{names[c]}`").alias(c) for c in names if c not in more]
+        return done.select(*kept, *more)
+
+    return df.toDF(*names.values()), back
+
+
 def in_rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
     """The rows of Arrow batches, one tuple at a time, so that a batch is never held a second time as Python objects."""
     for batch in batches:

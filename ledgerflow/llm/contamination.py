@@ -11,13 +11,14 @@ is exhaustive above the threshold:
   that cannot, and scores the items that remain.
 
 What is retrieved is verified. An item is held when the passage has enough of the shingles of its question and of its
-answer, or enough of the shingles of the whole item, or the whole item but for one word that was replaced, left out or put
-in; of short items one such word breaks most shingles. The last counts for items of ``WIDTH`` words and more, of which a
-word is no more than what ``WHOLE`` lets go. What is not retrieved, since the changed word alone carries half of the item's
-score, stays unseen. The shares of the question and of the answer are reported either way.
-
-Items are taken in shards of at most ``SHARD_ITEMS`` and ``SHARD_BYTES``, so what is broadcast is bounded however many
-items there are; their IDFs come from all items. Each shard is one pass over the texts.
+answer, or enough of the shingles of the whole item, or the whole item but for a few words that were replaced, left out or put
+in; a few such words break most shingles. Item and passage are aligned for that: one word counts for items of ``WIDTH`` words
+and more, two from 30 words on, one more for every ``PER_EDIT``. What is not retrieved, since the changed words carry half of
+the item's score, stays unseen. The shares of the question and of the answer are reported either way.
+
+Items are taken in shards of at most ``SHARD_ITEMS`` and about ``SHARD_BYTES``; their IDFs come from all items. Each shard is one
+pass over the texts, which is finished and stored, and its broadcast released, before the next shard is built. Broadcast is
+bounded by a shard's texts and, in each length class, ``AREAS`` numbers of four bytes for each word of the class.
 """
 
 from __future__ import annotations
@@ -26,15 +27,16 @@ import math
 import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.llm.common import in_rows, store, words_of
+from ledgerflow.llm.common import aside, in_rows, store, words_of
 
 K1, B = 1.2, 0.75
 WIDTH = 5
@@ -42,9 +44,10 @@ BLOCK = 2
 AREAS = 64
 CHUNKS = 1024
 SHARD_ITEMS = 20_000
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 8 << 20
 THRESHOLD = 0.5
 QUESTION, ANSWER, WHOLE = 0.8, 0.5, 0.8
+PER_EDIT = 15
 LEAST_CLASS = 32
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -89,28 +92,35 @@ def shingles(words: Sequence, width: int) -> set[tuple]:
     return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
 
 
-def begins(words: Sequence, passage: Sequence, at: int) -> bool:
-    """Whether ``words``, but for one of them or one more, stand in ``passage`` from ``at`` on."""
-    n, k = len(words), 0
-    while k < n and at + k < len(passage) and words[k] == passage[at + k]:
-        k += 1
-    rest = lambda own, skip: passage[at + k + skip : at + k + skip + n - own] == words[own:]
-    return k >= n - 1 or rest(k + 1, 1) or rest(k + 1, 0) or rest(k, 1)
-
-
-def but_for_one(words: list, passage: list) -> bool:
-    """Whether ``passage`` holds ``words`` in a row but for one word replaced, left out or put in.
+def edits(words: Sequence, passage: Sequence) -> int:
+    """The fewest words to replace, leave out or put in so that ``words`` stand in a row somewhere in ``passage``.
 
-    Such a word leaves the first or the second half as it was, so that only places of either half are looked at.
+    One pass over the passage; the column of the alignment table is kept as the bits of two numbers, where it rises and falls.
     """
-    half = len(words) // 2
-    for own, other, size in ((words, passage, half), (words[::-1], passage[::-1], len(words) - half)):
-        at = -1
-        while own[0] in other[at + 1 :]:
-            at = other.index(own[0], at + 1)
-            if other[at : at + size] == own[:size] and begins(own, other, at):
-                return True
-    return False
+    size = len(words)
+    if not size:
+        return 0
+    places: dict = defaultdict(int)
+    for n, word in enumerate(words):
+        places[word] |= 1 << n
+    every, last = (1 << size) - 1, 1 << (size - 1)
+    rises, falls, now = every, 0, size
+    best = now
+    for word in passage:
+        same = places.get(word, 0)
+        steady = same | falls
+        diagonal = (((same & rises) + rises) ^ rises) | same
+        up, down = falls | (~(diagonal | rises) & every), rises & diagonal
+        now += (1 if up & last else 0) - (1 if down & last else 0)
+        best = min(best, now)
+        up, down = (up << 1) & every, (down << 1) & every
+        rises, falls = down | (~(steady | up) & every), up & steady
+    return best
+
+
+def edits_allowed(size: int) -> int:
+    """How many words an item of ``size`` words may differ from its copy by: one, and one for every ``PER_EDIT`` words."""
+    return max(1, size // PER_EDIT) if size >= WIDTH else 0
 
 
 class Postings:
@@ -142,21 +152,25 @@ class Postings:
         self.n_blocks = (len(items) + BLOCK - 1) // BLOCK
         # The same maxima over at most ``AREAS`` areas of blocks, for all terms in one table; the last row is for other words.
         wide = (self.n_blocks + AREAS - 1) // AREAS
-        self.areas = np.zeros((len(numbers) + 1, (self.n_blocks + wide - 1) // wide))
-        for t, (places, values) in self.blocks.items():
-            np.maximum.at(self.areas[t], places // wide, values)
+        # Only words of this class have a row. Bounds are rounded up to single precision.
+        self.rows = np.full(len(numbers) + 1, len(self.blocks), dtype=np.int32)
+        self.areas = np.zeros((len(self.blocks) + 1, (self.n_blocks + wide - 1) // wide), dtype=np.float32)
+        for row, (t, (places, values)) in enumerate(self.blocks.items()):
+            self.rows[t] = row
+            np.maximum.at(self.areas[row], places // wide, np.nextafter(values.astype(np.float32), np.float32(np.inf)))
 
     def promising(self, terms: np.ndarray, threshold: float) -> Iterator[tuple[int, int]]:
         """(from, to) of the windows of a text that an area bound lets reach the threshold.
 
         A window is two neighbouring chunks of ``length`` words; its bound is the sum of the bounds of their distinct words.
         """
+        terms = self.rows[terms]
         known, chunks = len(self.areas), max(1, -(-len(terms) // self.length))
         for first in range(0, chunks, CHUNKS):
             last = min(chunks, first + CHUNKS + 1)
             part = terms[first * self.length : last * self.length]
             keys = np.unique(np.arange(len(part)) // self.length * known + part)
-            sums = np.concatenate((np.zeros((1, self.areas.shape[1])), np.cumsum(self.areas[keys % known], axis=0)))
+            sums = np.concatenate((np.zeros((1, self.areas.shape[1])), np.cumsum(self.areas[keys % known], axis=0, dtype=np.float64)))
             edges = np.searchsorted(keys // known, np.arange(last - first + 1))
             bound = sums[edges[1:]] - sums[edges[:-1]]
             if len(bound) > 1:
@@ -216,7 +230,8 @@ class Postings:
 class Index:
     """One shard of items: its vocabulary and the postings of each length class."""
 
-    def __init__(self, items: list[tuple[int | None, str]], idf: dict[bytes, float], average: float):
+    def __init__(self, items: list[tuple[int | None, str]], idf: dict[bytes, float], average: float, last: bool = True):
+        self.last = last
         classes = defaultdict(list)
         # Items that share their commonest words stand together, in one language mostly: bounds of blocks are then tight.
         items = sorted(items, key=lambda item: sorted(set(words_of(item[1])), key=lambda w: (idf[w], w))[:3])
@@ -254,7 +269,7 @@ class Index:
                     if (
                         (shares[0] >= question and shares[1] >= answer)
                         or share(shingles(words, WIDTH)) >= whole
-                        or (len(words) >= WIDTH and but_for_one(words, own))
+                        or (len(words) >= WIDTH and edits(words, own) <= edits_allowed(len(words)))
                     ):
                         hit = (sum(shares), score, -start, shares, len(own))
                         if (n, item) not in best or hit[:3] > best[n, item][:3]:
@@ -291,12 +306,15 @@ def build(items: DataFrame, item_id: str = "item_id", text: str = "text", shard_
             continue
         mine = own.select("text").mapInArrow(count, "word binary, size long").select("word").distinct()
         idf = {bytes(r["word"]): math.log(1 + (total - r["n"] + 0.5) / (r["n"] + 0.5)) for r in counted.join(mine, "word", "left_semi").collect()}
-        yield Index(texts, idf, average)
+        yield Index(texts, idf, average, last=n == shards - 1)
 
 
-def with_hits(docs: DataFrame, index: Index, out: str = "hits", text: str = "text") -> DataFrame:
-    """Adds the verified items of every whole text as an array, empty for clean and for null texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+def with_hits(docs: DataFrame, index: Index, out: str = "hits", text: str = "text", shared: Broadcast | None = None) -> DataFrame:
+    """Adds the verified items of every whole text as an array, empty for clean and for null texts.
+
+    A column called ``out`` is replaced. ``shared`` is the index as it was broadcast, if the caller means to release it.
+    """
+    shared = shared or docs.sparkSession.sparkContext.broadcast(index)
 
     @F.arrow_udf(T.ArrayType(HIT))
     def search(texts: pa.Array) -> pa.Array:
@@ -305,22 +323,33 @@ def with_hits(docs: DataFrame, index: Index, out: str = "hits", text: str = "tex
     return docs.withColumn(out, search(F.col(text)))
 
 
-def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+def one_shard(docs: DataFrame, index: Index, result: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``result`` of the documents with their hits; unless the shard is the last one, stored and the broadcast released."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+    found = result(with_hits(docs, index, "hits", shared=shared))
+    if not index.last:
+        found = store(found, "contamination")
+        shared.destroy()
+    return found
+
+
+def leaks(docs: DataFrame, items: DataFrame, shard_items: int = SHARD_ITEMS) -> DataFrame:
     """One row per (doc_id, item_id) of a text that holds a test item, with its score, overlaps and best passage.
 
     Rows of ``docs`` that repeat give rows that repeat. No items or no texts give no rows.
     """
     found = None
-    for index in build(items):
-        part = with_hits(docs.select("doc_id", "text"), index).select("doc_id", F.inline("hits"))
+    for index in build(items, shard_items=shard_items):
+        part = one_shard(docs.select("doc_id", "text"), index, lambda hits: hits.select("doc_id", F.inline("hits")))
         found = part if found is None else found.unionByName(part)
     if found is None:
         return docs.sparkSession.createDataFrame([], T.StructType([docs.schema["doc_id"], *HIT.fields]))
     return found
 
 
-def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text holds no test item."""
-    for index in build(items):
-        docs = with_hits(docs, index, "_hits").filter(F.size("_hits") == 0).drop("_hits")
-    return docs
+def clean(docs: DataFrame, items: DataFrame, shard_items: int = SHARD_ITEMS) -> DataFrame:
+    """The rows of ``docs`` whose text holds no test item; other columns may have any name."""
+    left, back = aside(docs, "text")
+    for index in build(items, shard_items=shard_items):
+        left = one_shard(left, index, lambda hits: hits.filter(F.size("hits") == 0).drop("hits"))
+    return back(left)

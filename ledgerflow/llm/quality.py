@@ -149,13 +149,15 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, cost: float = 1.0, passes: i
 def sample(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> DataFrame:
     """(text, label) of at most ``most`` labelled documents that are not held out, by the hash of their ids.
 
-    The ids are bounded by ``most`` and broadcast; texts are not moved. Of several labels of an id the smallest counts.
+    The ids are bounded by ``most`` and broadcast; only their texts are moved. Of several labels of an id the smallest counts,
+    of several rows of an id the one whose text has the smallest hash, so copies cannot raise the number of rows.
     """
     usable = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     one = usable.groupBy("doc_id").agg(F.min("quality").alias("label"))
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    return picked.select(F.xxhash64("doc_id", "text").alias("key"), "text", "label")
+    keyed = picked.select("doc_id", F.struct(F.xxhash64("doc_id", "text").alias("key"), "text", "label").alias("row"))
+    return keyed.groupBy("doc_id").agg(F.min("row").alias("row")).select("row.*")
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Model:

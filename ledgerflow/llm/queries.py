@@ -149,40 +149,33 @@ NORMAL = "trim(regexp_replace(lower({}), '\\s+', ' ', 'g'))"
     "op8_quotes",
     f"""
 WITH RECURSIVE m AS (SELECT conv_id, turn, role, coalesce(text, '') AS own FROM conversations),
-lines AS (
-  SELECT conv_id, turn, unnest(parts) AS body, generate_subscripts(parts, 1) AS n
-  FROM (SELECT conv_id, turn, string_split(own, chr(10)) AS parts FROM m)),
-heads AS (SELECT conv_id, turn, arg_min({NORMAL.format("body")}, n) AS key FROM lines WHERE {NORMAL.format("body")} <> '' GROUP BY ALL),
-keys AS (
-  SELECT conv_id, turn, {NORMAL.format("own")} AS key FROM m
-  UNION SELECT conv_id, turn, {NORMAL.format("body")} FROM lines),
-earliest AS (SELECT conv_id, key, min(turn) AS parent FROM keys WHERE key <> '' GROUP BY ALL),
+said AS (SELECT conv_id, turn, min(text) AS text FROM conversations GROUP BY ALL HAVING min(text) IS NOT NULL),
+earliest AS (
+  SELECT conv_id, {NORMAL.format("own")} AS key, min(turn) AS parent FROM m WHERE {NORMAL.format("own")} <> '' GROUP BY ALL),
 asked AS (
-  SELECT a.conv_id, a.turn, b.level, 0 AS rank, {NORMAL.format("q.own")} AS key
-  FROM m a, (VALUES (1), (2)) b(level), m q WHERE q.conv_id = a.conv_id AND q.turn = a.turn - b.level
-  UNION
-  SELECT a.conv_id, a.turn, b.level, 1, q.key
-  FROM m a, (VALUES (1), (2)) b(level), heads q WHERE q.conv_id = a.conv_id AND q.turn = a.turn - b.level),
+  SELECT a.conv_id, a.turn, b.level, {NORMAL.format("q.text")} AS key
+  FROM (SELECT DISTINCT conv_id, turn FROM m) a, (VALUES (1), (2)) b(level), said q
+  WHERE q.conv_id = a.conv_id AND q.turn = a.turn - b.level),
+quotes AS (SELECT conv_id, turn, count(*) AS n FROM asked GROUP BY ALL),
 found AS (
-  SELECT a.conv_id, a.turn, e.parent,
-         row_number() OVER (PARTITION BY a.conv_id, a.turn ORDER BY a.level, a.rank, e.parent DESC) AS n
-  FROM asked a JOIN earliest e ON e.conv_id = a.conv_id AND e.key = a.key WHERE a.key <> '' AND e.parent < a.turn),
+  SELECT a.conv_id, a.turn, e.parent, row_number() OVER (PARTITION BY a.conv_id, a.turn ORDER BY a.level) AS n
+  FROM asked a JOIN earliest e ON e.conv_id = a.conv_id AND e.key = a.key WHERE e.parent < a.turn),
 tree AS (
   SELECT m.conv_id, m.turn, CAST(NULL AS BIGINT) AS parent, m.turn AS root, 0 AS depth
-  FROM m WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.conv_id = m.conv_id AND f.turn = m.turn)
+  FROM (SELECT DISTINCT conv_id, turn FROM m) m WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.conv_id = m.conv_id AND f.turn = m.turn)
   UNION ALL
   SELECT f.conv_id, f.turn, f.parent, t.root, t.depth + 1 FROM found f JOIN tree t ON f.conv_id = t.conv_id AND f.parent = t.turn
   WHERE f.n = 1)
 SELECT m.conv_id, m.turn, m.role, t.parent, t.root, t.depth,
-       row_number() OVER (PARTITION BY m.conv_id, t.root ORDER BY t.depth, m.turn) - 1 AS position,
-       m.own, (m.turn >= 1)::INT + (m.turn >= 2)::INT AS n_quotes
-FROM m JOIN tree t USING (conv_id, turn)
+       row_number() OVER (PARTITION BY m.conv_id, t.root ORDER BY t.depth, m.turn, md5(m.own)) - 1 AS position,
+       m.own, coalesce(q.n, 0)::INT AS n_quotes
+FROM m JOIN tree t USING (conv_id, turn) LEFT JOIN quotes q USING (conv_id, turn)
 """,
 )
 def _(spark, folder):
     turns = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
     mail = quotes.as_mail(turns, "conv_id", "turn")
-    return quotes.conversations(mail, "conv_id", "turn").drop("text")
+    return quotes.conversations(mail, "conv_id", "turn", escaped=True).drop("text")
 
 
 @query(

@@ -14,11 +14,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import SMALLEST, store
+from ledgerflow.llm.common import SMALLEST, aside, store
 from ledgerflow.plans.splits import cumulate, find_splits
 
 MARKS = r"^((?:[ \t]*>)+)"
 BEFORE = r"^(?:[ \t]*>)+[ \t]?"
+# After each line end; CR LF is one.
+AFTER_LINE = r"(?<=\n)|(?<=\r)(?!\n)"
+LINE_END = r"(?:\r\n|\r|\n)\z"
+# A line that looks like a quote, perhaps escaped already, and an escaped one.
+LIKE_QUOTE = r"^(\\*[ \t]*>)"
+ESCAPED = r"^\\(\\*[ \t]*>)"
 
 
 def normal(text: Column) -> Column:
@@ -31,11 +37,18 @@ def hashed(text: Column) -> Column:
     return F.when(F.length(text) > 0, F.md5(text.cast("binary")))
 
 
-def parsed(messages: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``own`` (the text without quotes) and ``passages`` (level, text) in the order they stand."""
-    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\r\n|\r|\n")
+def parsed(messages: DataFrame, text: str = "text", escaped: bool = False) -> DataFrame:
+    """Adds ``own`` (the text without quotes) and ``passages`` (level, text) in the order they stand.
+
+    Own lines keep their line ends. ``escaped`` texts have a backslash before lines that are no quotes but look like one, which
+    is taken off again (``as_mail``). Columns called ``own`` and ``passages`` are replaced; no name may start with ``_``.
+    """
+    lines = F.split(F.coalesce(F.col(text), F.lit("")), AFTER_LINE, -1)
     level = lambda x: F.length(F.regexp_replace(F.regexp_extract(x, MARKS, 1), "[^>]", ""))
-    marked = F.transform(lines, lambda x: F.struct(level(x).alias("level"), F.regexp_replace(x, BEFORE, "").alias("body")))
+    body = lambda x: F.regexp_replace(F.regexp_replace(x, BEFORE, ""), LINE_END, "")
+    plain = lambda x: F.regexp_replace(body(x), ESCAPED, "$1") if escaped else body(x)
+    end = lambda x: F.regexp_extract(x, LINE_END, 0)
+    marked = F.transform(lines, lambda x: F.struct(level(x).alias("level"), plain(x).alias("body"), end(x).alias("end")))
     numbers = F.sequence(F.lit(0), F.size("_lines") - 1)
     # Places where the level changes; a passage reaches from one to the next.
     starts = F.filter(numbers, lambda i: (i == 0) | (F.get("_lines", i)["level"] != F.get("_lines", i - 1)["level"]))
@@ -43,19 +56,21 @@ def parsed(messages: DataFrame, text: str = "text") -> DataFrame:
     passage = lambda s, n: F.struct(
         F.get("_lines", s)["level"].alias("level"), bodies(s, F.coalesce(F.get("_starts", n + 1), F.size("_lines"))).alias("text")
     )
-    own = F.array_join(F.transform(F.filter("_lines", lambda x: x["level"] == 0), lambda x: x["body"]), "\n")
+    # The last own line's end only parts it from a quote.
+    mine = F.filter("_lines", lambda x: x["level"] == 0)
+    ended = lambda x, n: F.concat(x["body"], F.when(n < F.size("_mine") - 1, x["end"]).otherwise(F.lit("")))
     return (
         messages.withColumn("_lines", marked)
-        .withColumn("_starts", starts)
-        .withColumn("own", own)
+        .withColumns({"_starts": starts, "_mine": mine})
+        .withColumn("own", F.array_join(F.transform("_mine", ended), ""))
         .withColumn("passages", F.filter(F.transform("_starts", passage), lambda p: p["level"] > 0))
-        .drop("_lines", "_starts")
+        .drop("_lines", "_starts", "_mine")
     )
 
 
 def line_hashes(text: Column) -> Column:
     """The hashes of a text's lines, without those of blank ones."""
-    return F.filter(F.transform(F.split(text, "\n"), lambda x: hashed(normal(x))), lambda h: h.isNotNull())
+    return F.filter(F.transform(F.split(text, "\r\n|\r|\n"), lambda x: hashed(normal(x))), lambda h: h.isNotNull())
 
 
 def parents(messages: DataFrame) -> DataFrame:
@@ -116,7 +131,9 @@ def threads(nodes: DataFrame) -> DataFrame:
     return now.drop("settled")
 
 
-def conversations(messages: DataFrame, scope: str, place: str, text: str = "text", rows_per_task: int | None = None) -> DataFrame:
+def conversations(
+    messages: DataFrame, scope: str, place: str, text: str = "text", rows_per_task: int | None = None, escaped: bool = False
+) -> DataFrame:
     """``messages`` with parent, root, depth, position, own and n_quotes.
 
     ``scope`` names where quotes are looked up, such as a mailbox; ``place`` orders messages in time within it. A thread is
@@ -128,7 +145,7 @@ def conversations(messages: DataFrame, scope: str, place: str, text: str = "text
     mine = {c: f"_in{n}" for n, c in enumerate(messages.columns)}
     least, inner = F.lit(SMALLEST), messages.withColumnsRenamed(mine)
     keyed = inner.withColumns({k: F.coalesce(F.col(mine[c]).cast("long"), least) for k, c in (("scope", scope), ("place", place))})
-    split = store(parsed(keyed, mine[text]), "messages")
+    split = store(parsed(keyed, mine[text], escaped), "messages")
     known = split.select("scope", "place").distinct().join(parents(split), ["scope", "place"], "left")
     tree = threads(known)
     placed = split.withColumn("n_quotes", F.size("passages")).drop("passages").join(tree, ["scope", "place"])
@@ -140,21 +157,26 @@ def conversations(messages: DataFrame, scope: str, place: str, text: str = "text
     return numbered.select(*kept, named("parent"), named("root"), "depth", (F.col("position") - 1).alias("position"), "own", "n_quotes")
 
 
-def quoted(text: Column, mark: str) -> Column:
-    """A text with a mark before each line."""
-    return F.array_join(F.transform(F.split(text, "\n"), lambda x: F.concat(F.lit(mark), x)), "\n")
+def escaped_lines(text: Column, mark: str) -> Column:
+    """A text with a mark before each line, and a backslash before the lines that look like quotes."""
+    line = lambda x: F.concat(F.lit(mark), F.regexp_replace(x, LIKE_QUOTE, "\\\\$1"))
+    return F.array_join(F.transform(F.split(text, AFTER_LINE, -1), line), "")
 
 
 def as_mail(turns: DataFrame, scope: str, place: str, text: str = "text") -> DataFrame:
     """Turns of conversations as mail: each quotes the turn before (``> ``) and the one before that (``>> ``) in full.
 
     ``place`` counts turns by one. Turns are matched by number, so no conversation is gathered; of repeated rows of a turn
-    the smallest text is quoted.
+    the smallest text is quoted, a turn whose texts are null is not. Lines of a turn that look like quotes get a backslash, so
+    that nothing of a turn is taken for a quote (``escaped``). Other columns may have any name.
     """
-    said = turns.groupBy(F.col(scope).alias("_scope"), F.col(place).alias("_place")).agg(F.min(text).alias("_said"))
-    rows = turns
-    for back in (1, 2):
-        earlier = said.withColumnsRenamed({"_said": f"_said{back}"})
-        rows = rows.join(earlier, (rows[scope] == earlier["_scope"]) & (rows[place] - back == earlier["_place"]), "left").drop("_scope", "_place")
-    body = F.concat_ws("\n", quoted(F.col("_said2"), ">> "), quoted(F.col("_said1"), "> "), F.coalesce(text, F.lit("")))
-    return rows.withColumn(text, body).drop("_said1", "_said2")
+    rows, back = aside(turns, scope, place, text)
+    names = {scope: "scope_", place: "place_", text: "text_"}
+    rows = rows.withColumnsRenamed(names)
+    said = rows.groupBy(F.col("scope_").alias("of"), F.col("place_").alias("at")).agg(F.min("text_").alias("said"))
+    for far in (1, 2):
+        earlier = said.withColumnsRenamed({"said": f"said{far}"})
+        rows = rows.join(earlier, (F.col("scope_") == F.col("of")) & (F.col("place_") - far == F.col("at")), "left").drop("of", "at")
+    own = escaped_lines(F.coalesce("text_", F.lit("")), "")
+    body = F.concat_ws("\n", escaped_lines(F.col("said2"), ">> "), escaped_lines(F.col("said1"), "> "), own)
+    return back(rows.withColumn("text_", body).drop("said1", "said2").withColumnsRenamed({v: k for k, v in names.items()}))

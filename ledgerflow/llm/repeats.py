@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.llm.common import in_rows, store, text_key
+from ledgerflow.llm.common import aside, in_rows, store, text_key
 
 LEAST = 200
 POSITION_BITS = 20
@@ -354,8 +354,10 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, whole_characters: bool =
 
     Every byte is removed that lies in a string of ``least`` bytes which starts at another place too, in the same text or
     any other; repeated rows count as other places. With ``whole_characters`` the rest of a character that loses a byte goes
-    too. Null texts are empty. Texts that lose nothing are not moved. Column names that start with ``_`` are taken.
+    too. Null texts are empty. Texts that lose nothing are not moved. Other columns may have any name; one called ``_cut`` is
+    replaced.
     """
+    docs, back = aside(docs, "doc_id", "text")
     found = store(repeated_windows(docs, least), "repeats-found")
     per_text = found.groupBy(*KEY).agg(F.collect_set(F.struct("s0", "s1")).alias("_starts"))
     wanted = bitmap(per_text.select(F.xxhash64(*KEY).alias("k")), "k")
@@ -381,4 +383,4 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, whole_characters: bool =
     zero = F.lit(0).cast("long")
     intact = F.struct(F.coalesce("text", F.lit("")).cast("binary").alias("kept"), zero.alias("n_removed"), zero.alias("n_spans"))
     others = maybe(keyed, wanted, outside=True).withColumn("_cut", intact).select(*docs.columns, "_cut")
-    return some.unionByName(others)
+    return back(some.unionByName(others), "_cut")

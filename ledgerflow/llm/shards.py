@@ -21,9 +21,8 @@ MOST_SLOTS = 65536
 
 
 def slot_of(key: Column, text: Column, slots: int = SLOTS) -> Column:
-    """The slot of a record; a record without a key is placed by its text."""
-    hashed = F.when(key.isNull(), F.xxhash64(text)).otherwise(F.xxhash64(key))
-    return F.pmod(hashed, F.lit(slots)).cast("int")
+    """The slot of a record, by its key and its text: a key with very many texts spreads, and equal records stay together."""
+    return F.pmod(F.xxhash64(key.isNull(), key, text.isNull(), text), F.lit(slots)).cast("int")
 
 
 def records(docs: DataFrame, slots: int = SLOTS, key: str = "doc_id", text: str = "text") -> DataFrame:

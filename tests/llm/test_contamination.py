@@ -165,3 +165,32 @@ def test_all_cases(spark):
     assert left.columns == table.columns and left.count() == table.count() - len({d for d, _ in got})
     assert contamination.leaks(table, items.limit(0)).count() == 0
     assert contamination.leaks(none(spark), items).count() == 0 and contamination.clean(none(spark), items).count() == 0
+
+
+def test_two_changed_words_in_a_long_item_are_found():
+    """Two words replaced, left out or put in, items of 30 words and more, filler around them."""
+    items, sentence, draw = made(80, 9)
+    long = [(i, t) for i, t in items if len(words_of(t)) >= 30]
+    index, found, trials = index_of(items), 0, 0
+    assert len(long) > 10
+    for item, text in long * 6:
+        words = [w.decode() for w in words_of(text)]
+        for _ in range(2):
+            at = draw.randrange(len(words))
+            kind = draw.choice("rdi")
+            words[at : at + (kind != "i")] = [] if kind == "d" else ["unheard" + str(draw.randrange(99))]
+        hits = index.search(" ".join([sentence(20), *words, sentence(20)]))
+        found, trials = found + (item in {h["item_id"] for h in hits}), trials + 1
+    assert found >= 0.9 * trials
+
+
+def test_shards_one_after_the_other(spark):
+    items, sentence, draw = made(30, 3)
+    texts = [(n, sentence(40) + " " + draw.choice(items)[1] if n % 3 else sentence(60)) for n in range(60)]
+    table = spark.createDataFrame([(n, t, "h", "x") for n, t in texts], "doc_id long, text string, hits string, _hits string")
+    bank = spark.createDataFrame(items, "item_id long, text string")
+    whole, parts = (contamination.leaks(table, bank, shard_items=k).select("doc_id", "item_id").collect() for k in (1000, 7))
+    assert sorted(whole) == sorted(parts) and len(whole) >= 40
+    kept = contamination.clean(table, bank, shard_items=7)
+    assert kept.columns == table.columns and {tuple(r)[2:] for r in kept.collect()} == {("h", "x")}
+    assert {r.doc_id for r in kept.collect()} == {n for n, _ in texts} - {r.doc_id for r in whole}

@@ -84,3 +84,10 @@ def test_all_cases(spark):
     model = quality.train(none(spark), marks)
     assert quality.with_score(none(spark), model).count() == 0
     assert quality.train(table, marks.limit(0)).bias == 1.0
+
+
+def test_copies_of_a_labelled_id_do_not_raise_the_rows(spark):
+    table = spark.range(3000).select((F.col("id") % 3).alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    labels = spark.createDataFrame([(n, n % 2) for n in range(40)], "doc_id long, quality int")
+    first = quality.sample(table, labels).collect()
+    assert len(first) <= 3 and sorted(quality.sample(table.repartition(5), labels).collect()) == sorted(first)

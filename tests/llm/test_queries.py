@@ -1,6 +1,7 @@
 """The registered queries and the pipeline against brute-force versions on whole small tables."""
 
 import hashlib
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from ledgerflow.llm import contamination, quality, sketches, warc
+from ledgerflow.llm import quality, sketches, warc
 from ledgerflow.llm.common import words_of
 from ledgerflow.llm.queries import ORACLES, QUERIES
 from tests.compare import rows as as_rows
@@ -56,16 +57,48 @@ def test_queries_with_sql(spark, small, table, name):
     assert as_rows(df.columns, [tuple(r) for r in df.collect()]) == as_rows(names, found.fetchall())
 
 
+def runs_of(words, width):
+    return {tuple(words[k : k + width]) for k in range(len(words) - width + 1)}
+
+
+def share_held(part, words):
+    """The share of a part's runs of five words (of a shorter part the one run there is) that stand in a text."""
+    own = runs_of(part, min(5, len(part))) if part else set()
+    return len(own & runs_of(words, min(5, len(part)))) / len(own) if own else 1.0
+
+
+def distance_in(words, text):
+    """Words to replace, leave out or put in so that ``words`` stand somewhere in ``text``."""
+    row = [0] * (len(text) + 1)
+    for n, word in enumerate(words, 1):
+        now = [n]
+        for k, other in enumerate(text, 1):
+            now.append(min(row[k - 1] + (word != other), row[k] + 1, now[-1] + 1))
+        row = now
+    return min(row)
+
+
 def leaks_of(texts, items):
-    """Pairs of which the document's words hold the shares of the item's question and answer shingles."""
-    parts = {i: [contamination.shingles(p, 5) for p in contamination.question_and_answer(t)] for i, t in items}
+    """Pairs of a document and an item that its words hold, by any of the three rules."""
+    parts = {}
+    for item, text in items:
+        sentences = [w for w in (words_of(s) for s in re.split(r"(?<=[.!?])\s+|\n+", text)) if w]
+        whole = [w for s in sentences for w in s]
+        cut = len(whole) - (len(sentences[-1]) if len(sentences) > 1 else len(whole) // 3)
+        parts[item] = (whole[:cut], whole[cut:], whole)
     found = set()
     for doc_id, text in texts.items():
         words = words_of(text)
-        runs = {w: {tuple(words[k : k + w]) for k in range(len(words) - w + 1)} for w in range(1, 6)}
-        for item, (question, answer) in parts.items():
-            share = [len(p & runs[len(next(iter(p)))]) / len(p) if p else 1.0 for p in (question, answer)]
-            if share[0] >= 0.8 and share[1] >= 0.5:
+        known = set(words)
+        for item, (question, answer, whole) in parts.items():
+            if sum(w in known for w in whole) < 0.6 * len(whole):
+                continue
+            allowed = max(1, len(whole) // 15) if len(whole) >= 5 else 0
+            if (
+                (share_held(question, words) >= 0.8 and share_held(answer, words) >= 0.5)
+                or share_held(whole, words) >= 0.8
+                or (sum(w in known for w in whole) >= len(whole) - allowed and distance_in(whole, words) <= allowed)
+            ):
                 found.add((doc_id, item))
     return found
 
@@ -257,3 +290,20 @@ def test_pipeline_stages_bear_all_cases(spark, small):
     kept = corpus_pipeline.one_of_each(spark, odd, small).collect()
     assert Counter((r.doc_id, r.text) for r in kept)[(10**6 + 1, "x")] == 1
     assert sum((r.text or "").startswith("w0") for r in kept) == 1 and next(r for r in kept if (r.text or "").startswith("w0")).doc_id is not None
+
+
+def test_pipeline_keeps_columns_of_any_name_and_type(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    names = ("_score", "_own", "_row", "_id", "_text", "_cut", "_starts", "_hits", "score", "own", "row", "hits", "given0", "fingerprint", "a b.c")
+    wide = docs.select("*", *[F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")).alias(n) for n in names])
+    wide = wide.withColumns({"tags": F.create_map(F.lit("k"), F.col("doc_id")), "list": F.array("doc_id")})
+    expected = {r.doc_id: tuple(r)[5:] for r in wide.collect()}
+    now, plain = wide, docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now, plain = stage(spark, now, small), stage(spark, plain, small)
+        rows = now.collect()
+        assert now.columns == wide.columns and now.schema[-2].dataType == wide.schema[-2].dataType, name
+        assert all(tuple(r)[5:] == expected[r.doc_id] for r in rows), name
+        assert sorted((r.doc_id, r.text) for r in rows) == sorted((r.doc_id, r.text) for r in plain.collect()), name
+        now, plain = spark.createDataFrame(rows, wide.schema), spark.createDataFrame(plain.collect(), docs.schema)
+    assert corpus_pipeline.packed(spark, now, small).count() >= now.count()

@@ -1,8 +1,11 @@
 from collections import Counter
 
+import duckdb
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import quotes
+from ledgerflow.llm.queries import ORACLES, QUERIES
+from tests.compare import rows as as_rows
 
 SCHEMA = "box long, sent long, text string, own string, scope string, depth string"
 
@@ -113,3 +116,35 @@ def test_any_line_of_a_partial_quote_is_found(spark):
 def test_whole_originals_come_before_those_with_such_a_line(spark):
     got = linked(table(spark, [(0, "Yes\nand more"), (1, "No"), (2, "Yes"), (3, "> Yes\nreply"), (4, "> and more\nother")]))
     assert {k: r.parent for k, r in got.items()} == {0: None, 1: None, 2: None, 3: 2, 4: 0}
+
+
+ODD_TURNS = [
+    (0, 0, "a\nb"), (0, 1, "a"), (0, 2, "c"),
+    (1, 0, "x"), (1, 1, "> not a quote\nown\n >> also\n\\> and"), (1, 2, "reply"), (1, 3, "\\\\>x"),
+    (2, 0, "a\r\nb\rc\r"), (2, 1, "y\r\n"), (2, 2, "\n"), (2, 3, "z"),
+    (3, 0, "t"), (3, 1, None), (3, 2, "u"), (3, 3, "v"),
+    (4, 0, "p"), (4, 1, "q"), (4, 1, "q"), (4, 2, "r"),
+    (5, 0, "first LINE\nsecond"), (5, 1, "k"), (5, 2, "First  line\nedited"), (5, 3, "K "), (5, 4, ""), (5, 5, " "), (5, 6, "w"),
+    (6, 0, "s"), (6, 1, "m1"), (6, 1, "m2"), (6, 2, "n"),
+]
+
+
+def test_odd_turns_against_sql(spark, tmp_path):
+    """Lines that look like quotes, other line ends, nulls, blank and repeated turns: the query, its SQL, and no text lost."""
+    turns = spark.createDataFrame([(c, t, "user", x) for c, t, x in ODD_TURNS], "conv_id long, turn long, role string, text string")
+    turns.coalesce(1).write.parquet(str(tmp_path / "conversations.parquet"))
+    df = QUERIES["op8_quotes"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    found = con.execute(ORACLES["op8_quotes"])
+    got = [tuple(r) for r in df.collect()]
+    assert as_rows(df.columns, got) == as_rows([d[0] for d in found.description], found.fetchall())
+    assert Counter((r.conv_id, r.turn, r.own) for r in df.collect()) == Counter((c, t, x or "") for c, t, x in ODD_TURNS)
+
+
+def test_mail_keeps_columns_of_any_name(spark):
+    names = ("_scope", "_place", "_said1", "said", "of", "at", "scope_", "given0")
+    turns = spark.createDataFrame([(1, 0, "a", *names), (1, 1, "b", *names)], "conv_id long, turn long, text string, " + ", ".join(f"{n} string" for n in names))
+    mail = quotes.as_mail(turns, "conv_id", "turn")
+    assert mail.columns == turns.columns and all(tuple(r)[3:] == names for r in mail.collect())
+    assert sorted(r.text for r in mail.collect()) == ["> a\nb", "a"]

@@ -70,3 +70,14 @@ def test_no_python_on_the_way(spark, tmp_path, capsys):
 def test_no_documents(spark, tmp_path):
     _, out = placed(spark, none(spark), 4, str(tmp_path / "map"))
     assert out.count() == 0
+
+
+def test_a_hot_id_is_divided(spark):
+    """Six thousand of 16,000 rows with one id and different texts."""
+    rows = spark.range(16000).select(
+        F.when(F.col("id") < 6000, F.lit(1)).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text")
+    )
+    found = shards.records(rows)
+    placed = shards.place(found, shards.rebalance(shards.first_map(spark, 16), shards.slot_bytes(found), 16))
+    sizes = [r["sum(size)"] for r in placed.groupBy("shard").agg(F.sum("size")).collect()]
+    assert len(sizes) == 16 and max(sizes) / min(sizes) < 1.05
