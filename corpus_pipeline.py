@@ -2,7 +2,8 @@
 
 Each stage takes all documents its predecessor kept and returns those that stay, with the columns of ``documents``; the
 last one returns packed pieces. ``run`` stores every stage's result in the shared folder before the next one reads it.
-Repeated, empty and null texts and null ids pass through every stage; an empty table gives an empty result.
+Repeated, empty and null texts and null ids pass through every stage; an empty table gives an empty result. Further columns
+of any name and type are kept as they are.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import ledgerflow.llm.common as common
 import ledgerflow.llm.contamination as contamination
@@ -23,7 +25,8 @@ from ledgerflow.settings import ship
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labelled ones among them, scores 0.5 or more."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.with_score(docs, model, "_score").filter("_score >= 0.5").drop("_score")
+    inner, back = common.aside(docs, "doc_id", "text")
+    return back(quality.with_score(inner, model, "score").filter("score >= 0.5"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,22 +34,26 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows stand for themselves, not for their ids: rows with one id and different texts stay or go each with its own group.
     """
+    inner, back = common.aside(docs, "doc_id", "text")
     # Ids made from texts come after all real ones.
     own = F.coalesce("doc_id", F.lit(1 << 62) + F.xxhash64("text").bitwiseAND((1 << 61) - 1))
-    keyed = docs.withColumns({"_own": own, "_row": F.xxhash64(*[F.col(c).isNull() for c in docs.columns], *docs.columns)})
-    first = common.store(simhash.first_rows(keyed, ["_own", "_row"]), "near-duplicates")
-    kept = keyed.join(first, ["_own", "_row"], "left_semi")
+    plain = (T.StringType, T.NumericType, T.BooleanType, T.BinaryType, T.DatetimeType)
+    values = [F.col(f.name) if isinstance(f.dataType, plain) else F.to_json(F.struct(f.name)) for f in inner.schema.fields]
+    keyed = inner.withColumns({"own": own, "row": F.xxhash64(*[F.col(c).isNull() for c in inner.columns], *values)})
+    first = common.store(simhash.first_rows(keyed, ["own", "row"]), "near-duplicates")
+    kept = keyed.join(first, ["own", "row"], "left_semi")
     if not first.filter("rows > 1").isEmpty():
-        kept = kept.dropDuplicates(["_own", "_row"])
-    return kept.select(*docs.columns)
+        kept = kept.dropDuplicates(["own", "row"])
+    return back(kept)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the strings of 200 bytes and more that occur twice; a character goes when any byte of it goes."""
-    cut = repeats.remove_repeats(docs, least=200, whole_characters=True)
+    inner, back = common.aside(docs, "doc_id", "text", "n_chars")
+    cut = repeats.remove_repeats(inner, least=200, whole_characters=True)
     text = F.when(F.col("text").isNotNull(), F.col("_cut.kept").cast("string"))
-    changed = cut.withColumns({"text": text, "n_chars": F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))})
-    return changed.select(*docs.columns)
+    n_chars = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))
+    return back(cut.withColumns({"text": text, "n_chars": n_chars}))
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
