@@ -28,6 +28,8 @@ from ledgerflow.settings import scratch_dir, ship
 
 # Up to this many features on a path, a leaf's table of all pass/fail patterns is kept; it has 2^k rows.
 KEPT_FEATURES = 6
+# Up to this many rows, a tree's leaves are evaluated as arrays of (rows, leaves, features, points), in steps of so many cells.
+FEW_ROWS, MOST_CELLS = 64, 4_000_000
 # Trees are gathered and broadcast up to this many nodes.
 MOST_NODES = 4_000_000
 
@@ -44,14 +46,85 @@ class Tree:
     value: np.ndarray
     # Tables of leaves by node. A worker holds one copy of a tree, so each is made once there, not once per batch.
     tables: dict[int, np.ndarray] = field(default_factory=dict, compare=False, repr=False)
+    paths_of: dict[int, Paths] = field(default_factory=dict, compare=False, repr=False)
 
-    def expected(self, node: int = 0) -> float:
-        """Average value of the leaves below ``node``, weighted by training weight."""
-        if self.left[node] < 0:
-            return float(self.value[node])
-        a, b = self.left[node], self.right[node]
-        mass = self.cover[a] * self.expected(a) + self.cover[b] * self.expected(b)
-        return float(mass / (self.cover[a] + self.cover[b]))
+    def paths(self, width: int) -> Paths:
+        """All leaves with their paths, found level by level and kept."""
+        if width not in self.paths_of:
+            self.paths_of[width] = leaf_paths(self, width)
+        return self.paths_of[width]
+
+    def expected(self) -> float:
+        """Average value of the leaves, weighted by training weight."""
+        paths = self.paths(int(self.feature.max(initial=0)) + 1)
+        return float(paths.value @ paths.share.prod(axis=1))
+
+
+@dataclass(frozen=True)
+class Paths:
+    """The leaves of a tree as arrays (leaves, features): a path tests ``low < x <= high`` and lets ``share`` of the weight through.
+
+    A feature that a path does not test has no limits and a share of 1.
+    """
+
+    value: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    share: np.ndarray
+
+    def passed(self, x: np.ndarray) -> np.ndarray:
+        """(rows, leaves, features): whether each row passes each leaf's tests on each feature; NaN goes to the right."""
+        return ~(x[:, None, :] <= self.low) & ((x[:, None, :] <= self.high) | (self.high == np.inf))
+
+
+def leaf_paths(tree: Tree, width: int) -> Paths:
+    """The paths of all leaves that any training weight reaches, one level of the tree at a time."""
+    at = np.zeros(1, dtype=np.int64)
+    low, high, share = np.full((1, width), -np.inf), np.full((1, width), np.inf), np.ones((1, width))
+    done = []
+    while len(at):
+        leaf = tree.left[at] < 0
+        done.append((tree.value[at[leaf]], low[leaf], high[leaf], share[leaf]))
+        inner = ~leaf
+        at, low, high, share = at[inner], low[inner], high[inner], share[inner]
+        left, right, row, j = tree.left[at], tree.right[at], np.arange(len(at)), tree.feature[at]
+        total, edge = tree.cover[left] + tree.cover[right], tree.threshold[at]
+        parts = []
+        for child, is_left in ((left, True), (right, False)):
+            lows, highs, shares = low.copy(), high.copy(), share.copy()
+            if is_left:
+                highs[row, j] = np.minimum(highs[row, j], edge)
+            else:
+                lows[row, j] = np.maximum(lows[row, j], edge)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                shares[row, j] *= tree.cover[child] / total
+            some = tree.cover[child] > 0
+            parts.append((child[some], lows[some], highs[some], shares[some]))
+        at, low, high, share = (np.concatenate(p) for p in zip(*parts))
+    return Paths(*(np.concatenate(p) for p in zip(*done)))
+
+
+def contributions_of_few(trees: Sequence[Tree], x: np.ndarray) -> np.ndarray:
+    """Contributions (rows, features) of all rows and leaves of a tree at once."""
+    rows, width = x.shape
+    phi = np.zeros((rows, width))
+    points, weights = quadrature(width)
+    for tree in trees:
+        paths = tree.paths(width)
+        # The polynomials' factors at the points, once per tree: for a test that fails and what passing adds.
+        failed = paths.share[..., None] * (1.0 - points)
+        for first in range(0, rows, step := max(1, MOST_CELLS // max(1, failed.size))):
+            passed = paths.passed(x[first : first + step])
+            factor = failed + passed[..., None] * points
+            others = (factor.prod(axis=2, keepdims=True) / factor) @ weights
+            phi[first : first + step] += ((passed - paths.share) * others * paths.value[:, None]).sum(axis=1)
+    return phi / len(trees)
+
+
+def quadrature(width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Points and weights on [0, 1] that are exact for the polynomials of ``width`` features."""
+    nodes, weights = np.polynomial.legendre.leggauss(max(1, (width + 1) // 2))
+    return (nodes + 1.0) / 2.0, weights / 2.0
 
 
 def node_table(spark: SparkSession, model: PipelineModel, path: str | None = None) -> DataFrame:
@@ -106,9 +179,10 @@ def _leaf_table(value: float, shares: list[float], points: np.ndarray, weights:
 def contributions(trees: Sequence[Tree], x: np.ndarray) -> np.ndarray:
     """Contributions (rows, features), averaged over the trees. Exact up to rounding."""
     rows, width = x.shape
+    if rows <= FEW_ROWS:
+        return contributions_of_few(trees, x)
     phi = np.zeros((width, rows))
-    nodes, weights = np.polynomial.legendre.leggauss(max(1, (width + 1) // 2))
-    points, weights = (nodes + 1.0) / 2.0, weights / 2.0
+    points, weights = quadrature(width)
 
     def visit(tree: Tree, node: int, path: dict[int, tuple[float, np.ndarray]]) -> None:
         if tree.left[node] < 0:

@@ -173,6 +173,40 @@ def test_contributions_equal_brute_force(spark, forest):
             assert phi[row, i] == pytest.approx(total, abs=1e-10)
 
 
+def test_few_and_many_rows_alike(monkeypatch):
+    """Arrays of all rows and leaves against the walk with tables: deep trees, repeated features, NaN, leaves without weight."""
+    draw = np.random.default_rng(3)
+
+    def grown(depth, weight, out):
+        at = len(out)
+        out.append([-1, -1, 0, 0.0, weight, draw.random()])
+        if depth and weight > 1 and draw.random() < 0.9:
+            part = float(draw.integers(0, int(weight) + 1))
+            out[at][2:4] = [int(draw.integers(6)), float(draw.normal())]
+            out[at][0] = grown(depth - 1, part, out)
+            out[at][1] = grown(depth - 1, weight - part, out)
+        return at
+
+    trees = []
+    for _ in range(6):
+        nodes = []
+        grown(9, 900.0, nodes)
+        trees.append(tree.Tree(*map(np.array, zip(*nodes))))
+    x = draw.normal(size=(50, 6))
+    x[3, 2] = np.nan
+    few = tree.contributions(trees, x)
+    monkeypatch.setattr(tree, "MOST_CELLS", 100)
+    steps = tree.contributions(trees, x)
+    monkeypatch.setattr(tree, "FEW_ROWS", 0)
+    many = tree.contributions(trees, x)
+    assert np.abs(few - many).max() < 1e-12 and np.abs(few - steps).max() < 1e-12
+    for t in trees:
+        paths = t.paths(6)
+        assert paths.share.prod(axis=1).sum() == pytest.approx(1.0)
+        reached = paths.passed(x).all(axis=2)
+        assert (reached.sum(axis=1) <= 1).all()
+
+
 def test_contributions_add_up_to_the_probability(forest):
     model, df = forest
     out = tree.tree_contributions(model, df.repartition(3), cols=COLS, keep=["is_fraud"])

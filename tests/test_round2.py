@@ -90,11 +90,12 @@ def test_statuses_are_pushed_into_the_scan(spark, small):
     assert "In(status, [failed,reversed])" in plan
 
 
-def test_leaf_tables_are_made_once(spark):
+def test_leaf_tables_are_made_once(spark, monkeypatch):
     import numpy as np
 
     from ledgerflow.explain import tree
 
+    monkeypatch.setattr(tree, "FEW_ROWS", 0)
     leaf = tree.Tree(*map(np.array, ([1, -1, -1], [2, -1, -1], [0, 0, 0], [0.5, 0.0, 0.0], [4.0, 1.0, 3.0], [0.25, 1.0, 0.0])))
     first = tree.contributions([leaf], np.array([[0.0], [1.0]]))
     kept = leaf.tables[1]
