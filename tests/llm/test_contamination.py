@@ -101,13 +101,17 @@ def test_planted_items_are_found_and_verified(spark):
 
 
 def held(words, text):
-    """Brute force: 0.8 of the item's shingles stand in the text, or the item with one word replaced, left out or put in."""
+    """Brute force: 0.8 of the item's shingles stand in the text, or the item but for one word, and one for every 15 words."""
     own, width = contamination.shingles(words, 5), min(5, len(words))
     if len(own & {tuple(text[k : k + width]) for k in range(len(text) - width + 1)}) / len(own) >= 0.8:
         return True
-    same = lambda a, b: len(a) == len(b) and all(x is None or x == y for x, y in zip(a, b))
-    edits = [e for k in range(len(words)) for e in (words[:k] + [None] + words[k + 1 :], words[:k] + words[k + 1 :], words[:k] + [None] + words[k:])]
-    return len(words) >= 5 and any(same(e, text[k : k + len(e)]) for e in edits for k in range(len(text) - len(e) + 1))
+    row = [0] * (len(text) + 1)
+    for n, word in enumerate(words, 1):
+        now = [n]
+        for k, other in enumerate(text, 1):
+            now.append(min(row[k - 1] + (word != other), row[k] + 1, now[-1] + 1))
+        row = now
+    return len(words) >= 5 and min(row) <= max(1, len(words) // 15)
 
 
 def test_every_edit_of_one_word_is_found():
