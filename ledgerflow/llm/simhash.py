@@ -1,7 +1,8 @@
 """SimHash near-duplicates: 64-bit fingerprints, compared bit-sliced inside blocks of equal bits.
 
-Fingerprints at a distance of at most ``radius`` agree in full on one of ``radius + 1`` disjoint ranges of their bits.
-Each distinct fingerprint goes once into the bucket of each range. Inside buckets the fingerprints are stored vertically, a
+The bits are cut into ``radius + 3`` ranges, and every three of them are a key: fingerprints at a distance of at most
+``radius`` agree in full on at least one key (for a radius of two, ten keys of about 38 bits). Each distinct fingerprint goes
+once into the bucket of each key, so 10^9 unrelated ones meet some 2 * 10^7 times, 10^10 some 2 * 10^9 times. Inside buckets the fingerprints are stored vertically, a
 packed plane per bit, and lane i is compared with lane i + s for one shift s after the other: a plane XORed with its shift
 adds one bit to the distances of 64 pairs per word, held in carry-save counters. A word whose pairs all exceed the
 radius is given up, so most stop after a few planes. One pass serves thousands of small buckets at once.
@@ -13,6 +14,7 @@ forest of the links it found, never pairs, and components join the forests.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,7 @@ from ledgerflow.llm.common import store
 from ledgerflow.llm.components import components
 
 BITS = 64
+EQUAL, MOST_RADIUS = 3, 4
 TILE = 4096
 LANES = 1 << 16
 SEED = 42
@@ -67,10 +70,17 @@ def with_fingerprint(docs: DataFrame, out: str = "fingerprint", text: str = "tex
     return docs.withColumn(out, of(F.col(text)))
 
 
-def ranges(radius: int) -> list[tuple[int, int]]:
-    """``radius + 1`` ranges of bits as (first, number)."""
-    edges = [round(i * BITS / (radius + 1)) for i in range(radius + 2)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:])]
+def masks(radius: int) -> list[int]:
+    """The bits of each key, as signed numbers: every ``equal`` of ``radius + equal`` ranges of bits.
+
+    ``radius`` bits lie in at most that many ranges, so close values agree in all bits of at least one key. Beyond a radius of
+    ``MOST_RADIUS`` the keys would be too many, and single ranges are taken.
+    """
+    equal = EQUAL if radius <= MOST_RADIUS else 1
+    edges = [round(i * BITS / (radius + equal)) for i in range(radius + equal + 1)]
+    parts = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
+    found = [sum(chosen) for chosen in combinations(parts, equal)]
+    return [m - (1 << BITS) if m >> (BITS - 1) else m for m in found]
 
 
 def planes_of(values: np.ndarray) -> np.ndarray:
@@ -161,7 +171,7 @@ def forest(values: np.ndarray, sizes: np.ndarray, radius: int) -> tuple[np.ndarr
 def links(prints: DataFrame, radius: int = 2, tile: int = TILE) -> DataFrame:
     """(a, b): links that connect exactly those distinct values of ``fingerprint`` that chains of close ones connect."""
     value = F.col("fingerprint")
-    blocks = [F.struct(F.lit(n).alias("block"), F.shiftrightunsigned(value, first).bitwiseAND((1 << size) - 1).alias("bits")) for n, (first, size) in enumerate(ranges(radius))]
+    blocks = [F.struct(F.lit(n).alias("block"), value.bitwiseAND(F.lit(mask).cast("long")).alias("bits")) for n, mask in enumerate(masks(radius))]
     rows = prints.select("fingerprint").distinct().select("fingerprint", F.inline(F.array(*blocks)))
     sizes = rows.groupBy("block", "bits").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     cut = F.ceil(F.col("n") / tile).cast("int")

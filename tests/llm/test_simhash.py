@@ -126,3 +126,17 @@ def test_rows_that_share_an_id_stay_with_their_own_groups(spark, tmp_path):
     assert [(i, t) for i, t, *_ in results.pop()] == [(3, near), (5, b), (7, c), (9, "")]
     pair = spark.createDataFrame([(5, a, "x"), (5, b, "x")], schema)
     assert {r.text for r in corpus_pipeline.one_of_each(spark, pair, str(tmp_path)).collect()} == {a, b}
+
+
+def test_keys_hold_every_close_pair_and_few_others():
+    """Every way to change two bits leaves a key as it was; a million unrelated fingerprints hardly meet."""
+    for radius in (0, 1, 2, 3, 5):
+        keys = [m & (1 << 64) - 1 for m in simhash.masks(radius)]
+        draw = np.random.default_rng(radius)
+        pairs = [(a, b) for a in range(64) for b in range(a)] if radius == 2 else [draw.choice(64, radius, replace=False).tolist() for _ in range(500)]
+        assert all(any(not sum(1 << int(b) for b in bits) & key for key in keys) for bits in pairs)
+    keys = [np.uint64(m & (1 << 64) - 1) for m in simhash.masks(2)]
+    assert len(keys) == 10
+    values = np.random.default_rng(1).integers(0, 2**64, size=10**6, dtype=np.uint64)
+    met = [np.unique(values & key, return_counts=True)[1] for key in keys]
+    assert sum(int((n * (n - 1) // 2).sum()) for n in met) < 1000
