@@ -205,22 +205,27 @@ def edited(text: str, following: str) -> str:
 def in_order(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """(doc_id, text, bucket, ahead) laid out so that each document follows the next smaller id within its bucket.
 
-    Ids are cut into ranges by sampled cut points; the rows of a range are sorted ascending, null ids first, equal ids by
-    the text. The largest id of a range goes to the next range as well (``ahead``), that of the last to the first.
+    Ids and the hashes of their texts are cut into ranges by sampled cut points, so an id with very many texts is divided; the
+    rows of a range are sorted ascending, null ids first. The largest of a range goes to the next range as well (``ahead``),
+    that of the last to the first. Each range is a partition of its own.
     """
-    rows = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    splits = find_splits(rows, [], ["doc_id"], rows_per_task=range_rows)
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id"), text.alias("text"), F.xxhash64(text).alias("hash"))
+    splits = find_splits(rows, [], ["doc_id", "hash"], rows_per_task=range_rows)
     placed = with_bucket(rows, splits) if splits.cuts else rows.withColumn(BUCKET, F.lit(0))
-    tops = placed.groupBy(BUCKET).agg(F.max("doc_id").alias("top")).sort(BUCKET).collect()
+    tops = placed.groupBy(BUCKET).agg(F.max(F.struct("doc_id", "hash")).alias("top")).sort(BUCKET).collect()
     if not tops:
         return placed.select("doc_id", "text", F.col(BUCKET).alias("bucket"), F.lit(False).alias("ahead"))
     # One row per range: as many as there are cut points.
-    following = [(r["top"], tops[(i + 1) % len(tops)][BUCKET]) for i, r in enumerate(tops)]
-    table = docs.sparkSession.createDataFrame(following, "top long, to int")
-    copies = placed.join(F.broadcast(table), placed["doc_id"].eqNullSafe(table["top"])).select("doc_id", "text", F.col("to").alias("bucket"), F.lit(True).alias("ahead"))
-    own = placed.select("doc_id", "text", F.col(BUCKET).cast("int").alias("bucket"), F.lit(False).alias("ahead"))
-    spread = own.unionByName(copies).repartition(max(1, len(tops)), "bucket")
-    return spread.sortWithinPartitions("bucket", F.desc("ahead"), F.asc_nulls_first("doc_id"), F.xxhash64("text"), "text")
+    following = [(r["top"]["doc_id"], r["top"]["hash"], tops[(i + 1) % len(tops)][BUCKET]) for i, r in enumerate(tops)]
+    table = docs.sparkSession.createDataFrame(following, "top long, top_hash long, to int")
+    last = placed["doc_id"].eqNullSafe(table["top"]) & (placed["hash"] == table["top_hash"])
+    copies = placed.join(F.broadcast(table), last).select("doc_id", "text", "hash", F.col("to").alias("bucket"), F.lit(True).alias("ahead"))
+    # Rows that repeat the largest one are one and the same to the next range.
+    copies = copies.dropDuplicates(["bucket"])
+    own = placed.select("doc_id", "text", "hash", F.col(BUCKET).cast("int").alias("bucket"), F.lit(False).alias("ahead"))
+    spread = own.unionByName(copies).repartitionById(max(r[BUCKET] for r in tops) + 1, F.col("bucket"))
+    return spread.sortWithinPartitions("bucket", F.desc("ahead"), F.asc_nulls_first("doc_id"), "hash", "text").drop("hash")
 
 
 RESULT = T.StructType(

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ledgerflow.llm import sketches
 from tests.llm.data import docs, none, rows, texts
@@ -89,3 +90,16 @@ def test_repeated_ids_nulls_and_single_rows(spark):
 
 def test_no_documents(spark):
     assert sketches.against_next(none(spark)).count() == 0
+
+
+def test_a_hot_id_is_divided(spark):
+    """Half of the rows have one id: ranges stay even, and the result is that of one range."""
+    rows = spark.range(8000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(77)).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("line "), F.col("id").cast("string")).alias("text")
+    )
+    laid = sketches.in_order(rows.repartition(6), 200)
+    sizes = [r["count"] for r in laid.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) >= 8000 and max(sizes) <= 600
+    some = rows.filter("doc_id < 400 OR doc_id = 77 AND text LIKE '%1'")
+    cut, whole = (sorted(map(tuple, sketches.against_next(some.repartition(4), range_rows=k).collect()), key=str) for k in (60, 10**6))
+    assert cut == whole and len(cut) > 400
