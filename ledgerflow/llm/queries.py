@@ -221,6 +221,70 @@ def _(spark, folder):
     )
 
 
-@query("op11_repair")
+# The same edits as a walk over the rows: per state the cheapest way so far and, of equal ones, the audit that sorts first.
+@query(
+    "op11_repair",
+    """
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+fated AS (
+  SELECT *, xor(list_reduce([4294967295] || list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT),
+                            lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 20 AS fate FROM given, crc),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM fated WHERE fate <> 0),
+told AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS n,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS said,
+         rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM hurt),
+rows_ AS (
+  SELECT *, CASE WHEN body = '' THEN 'blank' WHEN said > 1 THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         left(role, 1) AS initial FROM told),
+steps(initial, a, b) AS (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)),
+put(a, b, cost, letters) AS (
+  VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 5, 'I'), (0, 3, 10, 'II'), (1, 2, 5, 'I'), (1, 3, 10, 'II'), (2, 3, 5, 'I'), (3, 2, 5, 'I')),
+edits AS (
+  SELECT conv_id, n, s.a, s.b, 2 AS cost, 'D' AS letter FROM rows_, (VALUES (0, 0), (1, 1), (2, 2), (3, 3)) s(a, b)
+  UNION ALL SELECT r.conv_id, n, a, b, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, 'K' FROM rows_ r JOIN steps s ON s.initial = r.initial
+    WHERE fault IN ('', 'truncated')
+  UNION ALL SELECT conv_id, n, a, b, CASE WHEN fault = 'truncated' THEN 6 ELSE 1 END, 'R' FROM rows_, steps s
+    WHERE fault IN ('', 'truncated') AND s.initial <> 's'),
+moves AS (
+  SELECT conv_id, n, e.a, p.b, min(struct_pack(cost := e.cost + p.cost, letters := e.letter || p.letters)) AS way
+  FROM edits e JOIN put p ON p.a = e.b GROUP BY ALL),
+walk AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS n, p.b AS state, struct_pack(cost := p.cost, letters := p.letters) AS way FROM given, put p WHERE p.a = 0
+  UNION ALL
+  SELECT w.conv_id, w.n + 1, m.b, min(struct_pack(cost := w.way.cost + m.way.cost, letters := w.way.letters || m.way.letters))
+  FROM walk w JOIN moves m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.n = w.n + 1 AND m.a = w.state GROUP BY w.conv_id, w.n, m.b),
+sizes AS (
+  SELECT conv_id, count(n) AS size, count_if(fault = 'blank') AS blank, count_if(fault = 'duplicate') AS duplicate,
+         count_if(fault = 'truncated') AS truncated, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count_if(pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial AS pair FROM rows_) GROUP BY conv_id),
+best AS (
+  SELECT w.conv_id, min(w.way) AS way FROM walk w LEFT JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM w.conv_id
+  WHERE w.n = coalesce(s.size, 0) AND w.state IN (0, 3) GROUP BY w.conv_id),
+spelled AS (
+  SELECT conv_id, p, letters[p] AS letter, len(replace(letters[1:p], 'I', '')) AS n, len(replace(letters[1:p], 'D', '')) AS place
+  FROM (SELECT conv_id, way.letters AS letters, unnest(range(1, len(way.letters) + 1)) AS p FROM best)),
+kept AS (
+  SELECT s.conv_id, s.p, s.letter, s.place, r.role, r.text,
+         max(CASE WHEN s.place = 1 AND s.letter = 'K' AND r.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY s.conv_id) AS system
+  FROM spelled s LEFT JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.n = s.n WHERE s.letter <> 'D'),
+joined AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+                             CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS body FROM kept GROUP BY conv_id)
+SELECT b.conv_id, coalesce(s.gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, b.way.cost::BIGINT AS cost, b.way.letters AS audit, sha256(coalesce(j.body, '')) AS repaired_sha256
+FROM best b LEFT JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM b.conv_id LEFT JOIN joined j ON j.conv_id IS NOT DISTINCT FROM b.conv_id
+""",
+)
 def _(spark, folder):
     return repair.audits(repair.damaged(repair.prepared(spark.read.parquet(f"{folder}/conversations.parquet"))))
