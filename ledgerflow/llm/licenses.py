@@ -86,7 +86,61 @@ NOTICES = (
     Template("cc-by-sa", "licensed under cc by sa 4 0", ("cc by sa",)),
     Template("cc-by", "licensed under a creative commons attribution 4 0 international license", ("creative commons attribution 4 0 international",)),
 )
-TEMPLATES = BASE + NOTICES
+
+# What tells versions and further licences apart.
+VERSIONS = (
+    Template(
+        "bsd-3",
+        "may be used to endorse or promote products derived from this software without specific prior written permission",
+        ("to endorse or promote products derived from this software", "without specific prior written permission"),
+    ),
+    Template("gpl-2-or-later", "gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+             ("gnu general public license", "either version 2 of the license or at your option any later version")),
+    Template("gpl-3-or-later", "gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+             ("gnu general public license", "either version 3 of the license or at your option any later version")),
+    Template("gpl-2-only", "gnu general public license version 2 only", ("gnu general public license", "version 2 only")),
+    Template("gpl-3-only", "gnu general public license version 3 only", ("gnu general public license", "version 3 only")),
+    Template("lgpl-2.1", "gnu lesser general public license as published by the free software foundation either version 2 1",
+             ("gnu lesser general public license", "either version 2 1")),
+    Template("lgpl-3", "gnu lesser general public license as published by the free software foundation either version 3",
+             ("gnu lesser general public license", "either version 3")),
+    Template("agpl-3", "gnu affero general public license as published by the free software foundation either version 3",
+             ("gnu affero general public license", "either version 3")),
+    Template("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0",
+             ("this source code form is subject to the terms", "mozilla public license v 2 0")),
+    Template("epl-2", "eclipse public license v 2 0", ("eclipse public license v 2",)),
+    Template("epl-2", "eclipse public license version 2 0", ("eclipse public license version 2",)),
+    Template("zlib", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software",
+             ("altered source versions must be plainly marked as such", "must not be misrepresented as being the original software")),
+    Template("bsl-1", "boost software license version 1 0", ("boost software license version 1",)),
+    Template("wtfpl", "do what the fuck you want to public license"),
+)
+
+# Short names as they stand after "SPDX-License-Identifier:", by label; two names that begin alike need their ends.
+SHORT_NAMES = {
+    "mit": ("mit",),
+    "apache-2": ("apache 2 0",),
+    "bsd-2": ("bsd 2 clause",),
+    "bsd-3": ("bsd 3 clause",),
+    "gpl-2-only": ("gpl 2 0 only",),
+    "gpl-2-or-later": ("gpl 2 0 or later",),
+    "gpl-3-only": ("gpl 3 0 only",),
+    "gpl-3-or-later": ("gpl 3 0 or later",),
+    "lgpl-2.1": ("lgpl 2 1 only", "lgpl 2 1 or later"),
+    "lgpl-3": ("lgpl 3 0 only", "lgpl 3 0 or later"),
+    "agpl-3": ("agpl 3 0 only", "agpl 3 0 or later"),
+    "mpl-2": ("mpl 2 0",),
+    "epl-2": ("epl 2 0",),
+    "isc": ("isc",),
+    "zlib": ("zlib",),
+    "bsl-1": ("bsl 1 0",),
+    "unlicense": ("unlicense",),
+    "cc0": ("cc0 1 0",),
+    "cc-by": ("cc by 4 0",),
+    "cc-by-sa": ("cc by sa 4 0",),
+}
+SPDX = tuple(Template(label, f"spdx license identifier {name}") for label, names in SHORT_NAMES.items() for name in names)
+TEMPLATES = BASE + NOTICES + VERSIONS + SPDX
 
 PLACE = T.StructType(
     [

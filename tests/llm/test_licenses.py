@@ -83,3 +83,31 @@ def test_counts_cover_all_rows_and_cases(spark):
 
 def test_no_documents(spark):
     assert licenses.scan(none(spark), licenses.build(none(spark))).count() == 0
+
+
+NOTES = {
+    "SPDX-License-Identifier: GPL-2.0-or-later": {"gpl-2-or-later"},
+    "SPDX-License-Identifier: GPL-3.0-only": {"gpl-3-only"},
+    "// SPDX-License-Identifier: BSD-2-Clause": {"bsd-2"},
+    "SPDX-License-Identifier: MIT": {"mit"},
+    "SPDX-License-Identifier: LGPL-2.1-only": {"lgpl-2.1"},
+    "the identifier of an spdx license is mit": set(),
+    "Altered source versions must be plainly marked as such, and must not be\nmisrepresented as being the original software.": {"zlib"},
+    "Altered source versions must be plainly marked.": set(),
+    "Eclipse Public License v. 2.0": {"epl-2"},
+    "Eclipse Public License v. 1.0": set(),
+    "Neither the name nor the names of its contributors may be used to endorse or promote products derived from this software "
+    "without specific prior written permission.": {"bsd-3"},
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": {"mpl-2"},
+    "it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the "
+    "License, or (at your option) any later version.": {"gpl-3", "gpl-3-or-later"},
+    "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3": {"agpl", "agpl-3"},
+    "the GNU General Public License version 2 only": {"gpl-2", "gpl-2-only"},
+}
+
+
+def test_versions_and_short_names(spark):
+    """Notices of further licences and near misses between versions."""
+    table = spark.createDataFrame(list(enumerate(NOTES)), "doc_id long, text string")
+    found = {r.doc_id: {p.label for p in r.license.places} for r in licenses.scan(table, licenses.build(table)).collect()}
+    assert [(text, found[n]) for n, text in enumerate(NOTES)] == list(NOTES.items())
