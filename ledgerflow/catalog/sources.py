@@ -14,7 +14,7 @@ from ledgerflow.sources import io
 # Rows per task that force the forms for large data at every size of the tables.
 FEW = 500
 # Passes of few bits, so that every one of them has something to refine at every size of the tables.
-NARROW = (13,) * 5
+NARROW = (8, 10, 46)
 
 TX_OUT = 'transaction_id, account_id, CAST(amount AS DOUBLE) AS amount, tx_type, "timestamp", status, merchant, category'
 

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ledgerflow.settings import ship
 from ledgerflow.sources import published
 from ledgerflow.sources.io import EXACT_TIMES
 from ledgerflow.streaming.live import KEEP, SECONDS
@@ -63,6 +64,7 @@ def merged(kept: Sequence[tuple[str, str]], fresh: Sequence[tuple[str, str]], n:
 
 def first_rows(st: DataFrame, n: int = FIRST, order: Sequence[str] = ORDER, buckets: int = BUCKETS) -> DataFrame:
     """The first rows of each bucket of a stream, (bucket, place, row as JSON), all of a bucket whenever they change."""
+    ship(st.sparkSession)
     row = F.to_json(F.struct("*"), EXACT_TIMES)
     dealt = st.select(place_of(st, order).alias("place"), row.alias("row")).withColumn(
         "bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)).cast("int")
