@@ -18,7 +18,7 @@ from ledgerflow.llm import quality, sketches, warc
 from ledgerflow.llm.common import words_of
 from ledgerflow.llm.queries import ORACLES, QUERIES
 from tests.compare import rows as as_rows
-from tests.llm.test_licenses import base_places, plain_words
+from tests.llm.test_licenses import plain_words
 from tests.llm.test_packing import plain_ids
 from tests.llm.test_pieces import plain as plain_pieces
 from tests.llm.test_repair import plain as plain_repairs
@@ -143,11 +143,28 @@ def test_op2(spark, small, texts):
     assert places_fit(got) <= sum(r["length"] for r in got) / 1024 * 1.02 + 1
 
 
+CONTRACT_PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+
+
+def contract_places(text):
+    words = plain_words(text)
+    return sorted((i, label) for p, label in CONTRACT_PHRASES.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split())
+
+
+def test_op3_counts_the_contracts_phrase(spark, tmp_path):
+    texts = {1: "The MIT license, under the MIT license. Under the MIT License", 2: "the MIT license", 3: None}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in run(spark, str(tmp_path), "op3_licenses")}
+    assert [got[1][c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels")] == [11, 2, 3, 7, "mit", "mit"]
+    assert [got[2][c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels")] == [3, 0, None, None, "", "mit"]
+    assert [got[3][c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels")] == [0, 0, None, None, "", ""]
+
+
 def test_op3(spark, small, texts):
     got = run(spark, small, "op3_licenses")
     assert len(got) == len(texts)
     for r in got:
-        places = base_places(texts[r["doc_id"]])
+        places = contract_places(texts[r["doc_id"]])
         labels = sorted({label for _, label in places})
         assert (r["n_words"], r["n_base"]) == (len(plain_words(texts[r["doc_id"]])), len(places))
         assert (r["first_word"], r["last_word"]) == ((places[0][0], places[-1][0]) if places else (None, None))
