@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ledgerflow.explain import report, tree
@@ -232,6 +233,16 @@ def test_other_models_learn(forest):
     assert {r.model: r.auc > 0.7 for r in out.collect()} == {"boosted": True, "linear": True}
 
 
+def test_models_score_after_an_observation(spark, forest):
+    """An observation leaves the session with what cannot be sent to tasks; models must not hold the session."""
+    _, df = forest
+    spark.range(5).observe(Observation("seen"), F.count(F.lit(1)).alias("n")).count()
+    scaled = mf.standardize(df, cols=COLS)[0]
+    for model, rows in ((train.random_forest(df, COLS, trees=2, depth=2), df), (train.logistic_regression(scaled, COLS, iterations=5), scaled)):
+        assert not model.stages[-1].hasSummary
+        assert train.score(model, rows).agg(F.count("probability")).first()[0] == df.count()
+
+
 def test_reports_on_contributions(spark):
     df = spark.createDataFrame([(1, 2.0, 10.0, 1.0, 1), (2, 4.0, 30.0, 1.0, 0)], "transaction_id int, a double, b double, c double, is_fraud int")
     phi = report.linear_contributions(df, (1.0, -0.1, 5.0), 0.5, cols=COLS, keep=["is_fraud"])
