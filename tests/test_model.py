@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -208,6 +209,29 @@ def test_few_and_many_rows_alike(monkeypatch):
         assert (reached.sum(axis=1) <= 1).all()
 
 
+def test_many_features_and_gathered_batches():
+    """Paths of more features than a kept table has, over batches put together."""
+    rng = np.random.default_rng(3)
+    depth, width = 8, 9
+    inner = 2**depth - 1
+    node = np.arange(2 * inner + 1)
+    one = tree.Tree(
+        left=np.where(node < inner, 2 * node + 1, -1),
+        right=np.where(node < inner, 2 * node + 2, -1),
+        feature=np.where(node < inner, node % width, -1),
+        threshold=rng.random(len(node)),
+        cover=1.0 + rng.random(len(node)),
+        value=rng.random(len(node)),
+    )
+    x = rng.random((200, width))
+    x[0, 0] = np.nan
+    batches = [pd.DataFrame({"x": list(part)}) for part in (x[:70], x[:0], x[70:90], x[90:])]
+    sizes = [len(b) for b in tree.gathered(iter(batches), 80)]
+    assert sizes == [90, 110] and list(tree.gathered(iter([]), 80)) == []
+    whole = np.concatenate([tree.contributions([one], np.stack(b["x"].to_numpy())) for b in tree.gathered(iter(batches), 80)])
+    assert np.allclose(whole, tree.contributions_of_few([one], x), atol=1e-12)
+
+
 def test_contributions_add_up_to_the_probability(forest):
     model, df = forest
     out = tree.tree_contributions(model, df.repartition(3), cols=COLS, keep=["is_fraud"])
