@@ -240,6 +240,17 @@ def test_contributions_add_up_to_the_probability(forest):
     assert both.count() == 400 and set(out.columns) == {"transaction_id", "is_fraud", "x", "base", "probability", "phi"}
 
 
+def test_kept_nodes_give_the_same_trees(forest, monkeypatch):
+    """The forest keeps each row's nodes, and its trees are those that walking from the root gives."""
+    _, df = forest
+    kept, plain = train.random_forest(df, COLS, trees=4, depth=6), train.RandomForestClassifier
+    assert kept.stages[-1].getOrDefault("cacheNodeIds")
+    monkeypatch.setattr(train, "RandomForestClassifier", lambda **k: plain(**{**k, "cacheNodeIds": False}))
+    walked = train.random_forest(df, COLS, trees=4, depth=6)
+    lines = [m.stages[-1].toDebugString.splitlines()[1:] for m in (kept, walked)]
+    assert lines[0] == lines[1] and len(lines[0]) > 4
+
+
 def test_importance_and_scores(spark, forest):
     model, df = forest
     rows = train.feature_importance(model, COLS).collect()
