@@ -294,6 +294,14 @@ def test_reports_on_contributions(spark):
     assert sorted(tuple(r) for r in report.dependence_rows(phi, "b", COLS).collect()) == [(10.0, 1.0, 1), (30.0, -1.0, 0)]
 
 
+def test_contributions_are_ordered_without_lambdas(spark):
+    """Ties keep the order of features, null contributions come first; sorting is Spark's own, not a lambda per comparison."""
+    df = spark.createDataFrame([(1, [2.0, -2.0, None, 0.5], [1.0, 2.0, 3.0, 4.0])], "transaction_id int, phi array<double>, x array<double>")
+    top = report.top_contributors(df, 3, names=("A", "B", "C", "D"))
+    assert [(r.position, r.feature, r.value, r.phi) for r in top.collect()] == [(1, "C", 3.0, None), (2, "A", 1.0, 2.0), (3, "B", 2.0, -2.0)]
+    assert "lambda" not in top._jdf.queryExecution().executedPlan().toString()
+
+
 def test_sample_to_explain(labelled):
     rows = sorted((r.is_fraud, r.transaction_id) for r in mf.explain_sample(labelled).collect())
     assert rows == [(0, 1), (0, 2), (1, 0), (1, 10), (1, 20)]
