@@ -33,8 +33,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLANK = "▁"
-# Entries of the caches of a worker; a full cache starts anew. Longer words are not kept.
-WORDS, PAIRS, LONGEST = 1 << 18, 1 << 19, 64
+# Entries of the caches of a worker, for words in two halves; full pairs start anew. Longer words are not kept.
+WORDS, PAIRS, LONGEST = 1 << 19, 1 << 19, 64
+# Ids are below this; two of them make one number.
+SHIFT = 1 << 31
+NEVER = float("-inf")
 
 ENCODED = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
 
@@ -44,16 +47,24 @@ def packed(ids: Sequence[int]) -> bytes:
 
 
 class Words(dict):
-    """word -> (ids, decoded text), computed when first asked for."""
+    """word, with spaces for blanks -> (ids, decoded text), computed when first asked for.
+
+    A full half becomes the old one, and a word asked for again moves over: frequent words outlast those that come once.
+    """
 
     def __init__(self, model: Model):
         self.model = model
+        self.old: dict[str, tuple[bytes, str]] = {}
 
     def __missing__(self, word: str) -> tuple[bytes, str]:
-        ids = self.model.merged(word)
-        found = (packed(ids), self.model.surface(ids))
+        found = self.old.get(word)
+        if found is None:
+            ids = self.model.merged(word.replace(" ", BLANK))
+            shown = self.model.surface(ids)
+            found = (packed(ids), word if shown == word else shown)  # mostly the word itself, kept once
         if len(word) <= LONGEST:
-            if len(self) >= WORDS:
+            if 2 * len(self) >= WORDS:
+                self.old = dict(self)
                 self.clear()
             self[word] = found
         return found
@@ -83,12 +94,18 @@ class Model:
         for piece, i in self.ids.items():
             self.automaton.add_word(piece, (len(piece), piece, i))
         self.automaton.make_automaton()
+        self.size, self.shorter = [0] * len(every), [None] * len(every)
+        for piece, i in self.ids.items():
+            begins = (self.ids.get(piece[:n]) for n in range(len(piece) - 1, 0, -1))
+            # The longest other piece that this one begins with.
+            self.size[i], self.shorter[i] = len(piece), next((b for b in begins if b is not None), None)
         # Words begin with blanks, and lines stand alone where no piece holds a line end.
         alone = "" if any("\n" in p for p in self.ids) else "\n"
-        self.word = re.compile(f"{BLANK}+[^{BLANK}{alone}]*|[^{BLANK}{alone}]+" + (f"|{alone}+" if alone else ""))
+        self.word = re.compile(f" +[^ {alone}]*|[^ {alone}]+" + (f"|{alone}+" if alone else ""))
         self.words = Words(self)
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.alone: dict[str, bool] = {}
+        self.texts = {i: p for p, i in self.ids.items()}
+        self.pairs: dict[int, bool] = {}  # by left id * SHIFT + right id
+        self.alone: dict[int, bool] = {}
 
     def check(self, read: sentencepiece.SentencePieceProcessor) -> None:
         """Refuses models with rules that this encoder does not have."""
@@ -107,80 +124,97 @@ class Model:
 
     def remerge(self, text: str) -> list[str]:
         """What merging the characters of a short text leads to."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                score = self.scores.get(parts[k] + parts[k + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, k
-            if best is None:
+        parts, score = list(text), self.scores.get
+        # The score of each part with the next one; only those beside a merge change.
+        scores = [score(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+        while scores:
+            best = max(scores)
+            if best == NEVER:
                 break
+            at = scores.index(best)  # the leftmost of equals
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at:
+                scores[at - 1] = score(parts[at - 1] + parts[at], NEVER)
+            if at < len(scores):
+                scores[at] = score(parts[at] + parts[at + 1], NEVER)
         return parts
 
-    def reachable(self, piece: str) -> bool:
+    def reachable(self, piece: int) -> bool:
         """Whether the merges ever lead to a piece."""
         found = self.alone.get(piece)
         if found is None:
-            found = self.alone[piece] = self.remerge(piece) == [piece]
+            text = self.texts[piece]
+            found = self.alone[piece] = self.remerge(text) == [text]
         return found
 
-    def compatible(self, left: str, right: str) -> bool:
-        """Whether two neighbouring pieces stay as they are when their characters are merged anew."""
-        found = self.pairs.get((left, right))
-        if found is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            found = self.pairs[left, right] = self.remerge(left + right) == [left, right]
+    def compatible(self, left: int, right: int) -> bool:
+        """Whether two neighbouring pieces stay as they are when their characters are merged anew; remembered in ``pairs``."""
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        a, b = self.texts[left], self.texts[right]
+        found = self.pairs[left * SHIFT + right] = self.remerge(a + b) == [a, b]
         return found
 
     def merged(self, word: str) -> list[int]:
         """The ids of a word: the longest pieces in a row if all neighbours pass, by backtracking otherwise."""
-        out, before, size = [], None, 0
-        for _, piece in self.automaton.iter_long(word):
-            if not (self.reachable(piece[1]) if before is None else self.compatible(before, piece[1])):
+        out, before, size, known = [], None, 0, self.pairs.get
+        for _, (length, _, piece) in self.automaton.iter_long(word):
+            if before is None:
+                passes = self.reachable(piece)
+            else:
+                passes = known(before * SHIFT + piece)
+                if passes is None:
+                    passes = self.compatible(before, piece)
+            if not passes:
                 break
-            size, before = size + piece[0], piece[1]
-            out.append(piece[2])
+            size, before = size + length, piece
+            out.append(piece)
         return out if size == len(word) else self.backtracked(word)
 
     def backtracked(self, word: str) -> list[int]:
-        """The ids of a word, by backtracking over the pieces that begin at each character."""
-        size = len(word)
-        at: list[list[tuple[int, str, int]]] = [[] for _ in range(size)]
-        for last, piece in self.automaton.iter(word):
-            at[last + 1 - piece[0]].append(piece)  # shorter ones come first
+        """The ids of a word, by backtracking over the pieces that begin at each character, the longest first."""
+        size, known, shorter, sizes = len(word), self.pairs.get, self.shorter, self.size
+        longest: list[int | None] = [None] * (size + 1)
+        for last, (length, _, piece) in self.automaton.iter(word):
+            longest[last + 1 - length] = piece  # shorter ones come first
         failed = bytearray(size // 8 + 1)
-        # One entry per piece taken: where it begins and the number of those at its place that are still to be tried.
-        taken: list[tuple[int, int, tuple[int, str, int] | None]] = []
-        place, left = 0, len(at[0]) if size else 0
+        # One entry per piece taken: where it begins and its id.
+        taken: list[tuple[int, int | None]] = []
+        place, before = 0, None
+        piece = longest[0]
         while place < size:
-            before = taken[-1][2] if taken else None
-            found = None
-            while left and found is None:
-                left -= 1
-                piece = at[place][left]
-                end = place + piece[0]
-                if failed[end >> 3] >> (end & 7) & 1:
-                    continue
-                if self.reachable(piece[1]) if before is None else self.compatible(before[1], piece[1]):
-                    found = piece
-            if found is None and not at[place]:
-                taken.append((place, -1, None))  # a character that is no piece
-                place += 1
-            elif found is None:
-                failed[place >> 3] |= 1 << (place & 7)
-                place, left, _ = taken.pop()
+            if piece is None:
+                taken.append((place, None))  # a character that is no piece
+                place, before = place + 1, None
+                piece = longest[place]
                 continue
+            while piece is not None:
+                end = place + sizes[piece]
+                if not failed[end >> 3] >> (end & 7) & 1:
+                    if before is None:
+                        passes = self.reachable(piece)
+                    else:
+                        passes = known(before * SHIFT + piece)
+                        if passes is None:
+                            passes = self.compatible(before, piece)
+                    if passes:
+                        taken.append((place, piece))
+                        place, before = end, piece
+                        piece = longest[place]
+                        break
+                piece = shorter[piece]
             else:
-                taken.append((place, left, found))
-                place += found[0]
-            left = len(at[place]) if place < size else 0
+                # No piece leads on from here, so the one before gives way to a shorter one, if there is any.
+                while piece is None:
+                    failed[place >> 3] |= 1 << (place & 7)
+                    place, gone = taken.pop()
+                    piece = shorter[gone]
+                before = taken[-1][1] if taken else None
         out: list[int] = []
-        for begin, _, piece in taken:
+        for begin, piece in taken:
             if piece is not None:
-                out.append(piece[2])
+                out.append(piece)
             elif self.byte_ids:
                 out.extend(self.byte_ids[b] for b in word[begin].encode())
             elif not out or out[-1] != self.unknown:
@@ -211,9 +245,8 @@ class Model:
         begin, end = packed([self.begin]), packed([self.end])
         if not text:
             return begin + end, ""
-        words = self.words
-        found = [words[w] for w in self.word.findall(BLANK + text.replace(" ", BLANK))]
-        return begin + b"".join([f[0] for f in found]) + end, "".join([f[1] for f in found])[1:]
+        ids, shown = zip(*map(self.words.__getitem__, self.word.findall(" " + text.replace(BLANK, " "))))
+        return begin + b"".join(ids) + end, "".join(shown)[1:]
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of any ids; special ids show nothing, and the blank put in front is taken off again."""

@@ -75,6 +75,18 @@ def test_full_caches(monkeypatch):
     assert len(model.words) <= 3 and len(model.pairs) <= 5
 
 
+def test_frequent_words_outlast_those_that_come_once(monkeypatch):
+    monkeypatch.setattr(pieces, "WORDS", 8)
+    model, computed = pieces.Model(PATH), []
+    merged = model.merged
+    monkeypatch.setattr(model, "merged", lambda word: computed.append(word) or merged(word))
+    for n in range(40):
+        text = f"often w{n}"
+        assert model.encoded(text) == plain(text)
+        assert len(model.words) + len(model.words.old) <= 8
+    assert computed.count("▁often") == 1 and len(computed) == 41
+
+
 def test_table(spark):
     table = docs(spark)
     found = pieces.with_pieces(table.repartition(3), PATH, "fingerprint")
