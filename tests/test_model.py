@@ -5,12 +5,13 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ledgerflow.explain import report, tree
 from ledgerflow.ml import features as mf
-from ledgerflow.ml import metrics, train
+from ledgerflow.ml import boosting, metrics, train
 
 SCHEMA = "is_fraud int, prediction int, probability double"
 
@@ -268,6 +269,54 @@ def test_other_models_learn(forest):
     assert {r.model: r.auc > 0.7 for r in out.collect()} == {"boosted": True, "linear": True}
 
 
+def test_boosted_trees_are_those_of_the_classifier(spark, forest):
+    """Up to the sample's size all rows give the thresholds, and then every probability is that of ``GBTClassifier``."""
+    _, df = forest
+    boosted = train.gradient_boosting(df.repartition(3), COLS, rounds=25)
+    plain = GBTClassifier(labelCol=train.LABEL, featuresCol=train.VECTOR, maxIter=25, maxDepth=3, stepSize=0.1, seed=42)
+    expected = train.score(train._fitted(plain, df, COLS), df)
+    found = train.score(boosted, df)
+    assert set(found.columns) == set(expected.columns)
+    both = found.join(expected.select("transaction_id", F.col("probability").alias("p"), F.col("prediction").alias("q")), "transaction_id")
+    assert both.filter((F.abs(F.col("p") - F.col("probability")) > 1e-9) | (F.col("q") != F.col("prediction"))).count() == 0
+    assert both.count() == 400 and len(boosted.trees) == 25
+
+
+def test_boosting_moves_sums_not_rows(spark, forest, monkeypatch):
+    """Rows are kept as blocks of bytes; a pass gives the driver one result a task, whatever the number of rows."""
+    _, df = forest
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 64)
+    passes, grown = [], boosting.grown
+    monkeypatch.setattr(boosting, "grown", lambda blocks, *rest: passes.append(blocks) or grown(blocks, *rest))
+    whole = train.gradient_boosting(df, COLS, rounds=3)
+    assert len(passes) == 3 and passes[0].columns == ["bins", "label", "margin"]
+    packed = passes[0].select(F.octet_length("bins"), F.octet_length("label"), F.octet_length("margin")).collect()
+    assert sum(n for _, n, _ in packed) == 400 and all(b == len(COLS) * n and m == 8 * n and n <= 64 for b, n, m in packed)
+    monkeypatch.setattr(boosting, "KEEP_ROUNDS", 1)
+    again = train.gradient_boosting(df.repartition(5), COLS, rounds=3)
+    assert [(t.features, t.cuts) for t in again.trees] == [(t.features, t.cuts) for t in whole.trees]
+    assert np.allclose([t.leaves for t in again.trees], [t.leaves for t in whole.trees], atol=1e-12)
+
+
+def test_boosting_refuses_nulls_and_other_labels(spark, forest):
+    _, df = forest
+    bad = {"null": df.withColumn(COLS[0], F.lit(None).cast("double")), "NaN": df.withColumn(COLS[0], F.lit(float("nan")))}
+    for name, rows in {**bad, "labels": df.withColumn(train.LABEL, F.lit(2)), "no rows": df.limit(0)}.items():
+        with pytest.raises(Exception, match=name):
+            train.gradient_boosting(rows, COLS, rounds=1)
+    model = train.gradient_boosting(df, COLS, rounds=1)
+    with pytest.raises(Exception, match="null"):
+        train.score(model, bad["null"]).agg(F.sum("probability")).collect()
+
+
+def test_boosting_without_a_useful_threshold(spark):
+    """A constant input has no threshold, and a node that no division improves keeps its mean."""
+    df = spark.createDataFrame([(i, 1.0, float(i % 2), i % 2) for i in range(20)], "transaction_id int, a double, b double, is_fraud int")
+    model = train.gradient_boosting(df, ("a", "b"), rounds=2)
+    assert [len(t) for t in model.thresholds] == [0, 1] and model.trees[0].leaves == (-1.0,) * 4 + (1.0,) * 4
+    assert train.score(model, df).filter(F.col("prediction") != F.col("is_fraud")).count() == 0
+
+
 def test_models_score_after_an_observation(spark, forest):
     """An observation leaves the session with what cannot be sent to tasks; models must not hold the session."""
     _, df = forest
