@@ -269,17 +269,21 @@ def test_other_models_learn(forest):
     assert {r.model: r.auc > 0.7 for r in out.collect()} == {"boosted": True, "linear": True}
 
 
-def test_boosted_trees_are_those_of_the_classifier(spark, forest):
-    """Up to the sample's size all rows give the thresholds, and then every probability is that of ``GBTClassifier``."""
-    _, df = forest
-    boosted = train.gradient_boosting(df.repartition(3), COLS, rounds=25)
-    plain = GBTClassifier(labelCol=train.LABEL, featuresCol=train.VECTOR, maxIter=25, maxDepth=3, stepSize=0.1, seed=42)
+@pytest.mark.parametrize("copies", [1, 40])
+def test_boosted_trees_are_those_of_the_classifier(spark, forest, copies):
+    """Thresholds come from all 400 rows, or from a sample of 16,000; every probability is that of ``GBTClassifier``."""
+    _, rows = forest
+    noise = [(F.col(c) + F.rand(i) * (F.rand(9 + i) > 0.3).cast("int")).alias(c) for i, c in enumerate(COLS)]
+    df = spark.createDataFrame(rows.crossJoin(spark.range(copies)).select("transaction_id", *noise, "is_fraud").toPandas())
+    boosted = train.gradient_boosting(df, COLS, rounds=10)
+    plain = GBTClassifier(labelCol=train.LABEL, featuresCol=train.VECTOR, maxIter=10, maxDepth=3, stepSize=0.1, seed=42)
     expected = train.score(train._fitted(plain, df, COLS), df)
     found = train.score(boosted, df)
     assert set(found.columns) == set(expected.columns)
-    both = found.join(expected.select("transaction_id", F.col("probability").alias("p"), F.col("prediction").alias("q")), "transaction_id")
-    assert both.filter((F.abs(F.col("p") - F.col("probability")) > 1e-9) | (F.col("q") != F.col("prediction"))).count() == 0
-    assert both.count() == 400 and len(boosted.trees) == 25
+    order = ["transaction_id", *COLS]
+    pairs = list(zip(*[x.select(*order, "prediction", "probability").sort(*order).collect() for x in (found, expected)]))
+    assert all(a.prediction == b.prediction and abs(a.probability - b.probability) < 1e-9 for a, b in pairs)
+    assert len(pairs) == 400 * copies and len(boosted.trees) == 10
 
 
 def test_boosting_moves_sums_not_rows(spark, forest, monkeypatch):
