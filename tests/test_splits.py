@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerflow.ml import features as mf
 from ledgerflow.operators import windows as w
 from ledgerflow.plans.quantiles import LEVELS, order_key, quantiles, value_of
 from ledgerflow.plans.splits import FEW_CUTS, MAX_BUCKETS, cumulate, find_splits, ranked_values
@@ -199,3 +200,22 @@ def test_empty_input(skewed):
     assert w.percent_rank_global(none).count() == 0
     assert w.running_total(none).count() == 0
     assert quantiles(none, {"amount": 0.5}).first().amount is None
+
+
+def test_quantile_passes_count_rows_without_lambdas(spark):
+    """Each of the four passes reads the rows once, and nothing that is done for each row is left to a lambda."""
+    df = spark.range(1000).selectExpr("CAST(id AS DOUBLE) / 7 AS a", "CASE WHEN id % 3 > 0 THEN id END AS b", "CAST(NULL AS DOUBLE) AS c")
+    found = quantiles(df, {"a": 0.98, "b": 0.5, "c": 0.5})
+    exact = df.agg(F.percentile("a", F.lit(0.98)), F.percentile("b", F.lit(0.5))).first()
+    assert [found.first()[i] for i in (0, 1)] == pytest.approx(list(exact)) and found.first()[2] is None
+    assert "lambda" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_border_gives_the_same_split(spark):
+    """With the border found once, neither side looks for it again."""
+    df = spark.range(500).selectExpr("id AS transaction_id", "CAST(id % 7 = 0 AS INT) AS is_fraud")
+    last = mf.last_train_rows(df).cache()
+    last.count()
+    for known, own in zip(mf.stratified_split(df, exact=True, last=last), mf.stratified_split(df, exact=True)):
+        assert sorted(known.collect()) == sorted(own.collect())
+        assert "Window" not in known.select("transaction_id")._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]
