@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerflow.explain import report, tree
 from ledgerflow.ml import features as mf
 from ledgerflow.ml import boosting, metrics, train
+from ledgerflow.ml import forest as counted_forest
 
 SCHEMA = "is_fraud int, prediction int, probability double"
 
@@ -233,6 +234,41 @@ def test_many_features_and_gathered_batches():
     assert np.allclose(whole, tree.contributions_of_few([one], x), atol=1e-12)
 
 
+@pytest.mark.parametrize(("states", "joint"), [(2, 10), (40, 200), (3000, 10**6)])
+def test_rows_that_a_subtree_cannot_tell_apart(monkeypatch, states, joint):
+    """One walk per state of a subtree gives what one walk per row gives: NaN, repeated features, nodes without weight."""
+    draw = np.random.default_rng(5)
+
+    def grown(depth, weight, out):
+        at = len(out)
+        out.append([-1, -1, 0, 0.0, weight, draw.random()])
+        if depth and weight > 1 and draw.random() < 0.9:
+            part = float(draw.integers(0, int(weight) + 1))
+            out[at][2:4] = [int(draw.integers(6)), float(draw.integers(-3, 3))]
+            out[at][0] = grown(depth - 1, part, out)
+            out[at][1] = grown(depth - 1, weight - part, out)
+        return at
+
+    trees = []
+    for _ in range(4):
+        nodes = []
+        grown(8, 900.0, nodes)
+        trees.append(tree.Tree(*map(np.array, zip(*nodes))))
+    x = draw.integers(-4, 4, (600, 6)) + 0.5 * draw.integers(0, 2, (600, 6))
+    x[3, 2] = x[4, 0] = np.nan
+    plain = tree.contributions(trees, x)
+    walks, walk = [], tree.walk
+    monkeypatch.setattr(tree, "MANY_ROWS", 0)
+    monkeypatch.setattr(tree, "ROWS_PER_STATE", len(x) / states)
+    monkeypatch.setattr(tree, "JOINT_POSITIONS", joint)
+    monkeypatch.setattr(tree, "ROWS_IN_CACHE", 256)
+    monkeypatch.setattr(tree, "walk", lambda *a: walks.append(len(a[3])) or walk(*a))
+    found = tree.contributions(trees, x)
+    assert found.shape == plain.shape and np.abs(found - plain).max() < 1e-12
+    # The rows themselves are never walked: a walk has a row per state, and no more states than allowed or a leaf's own.
+    assert walks and max(walks) <= max(states, 2**6)
+
+
 def test_contributions_add_up_to_the_probability(forest):
     model, df = forest
     out = tree.tree_contributions(model, df.repartition(3), cols=COLS, keep=["is_fraud"])
@@ -252,6 +288,70 @@ def test_kept_nodes_give_the_same_trees(forest, monkeypatch):
     assert lines[0] == lines[1] and len(lines[0]) > 4
 
 
+def noisy(spark, forest, copies=20):
+    _, rows = forest
+    noise = [(F.col(c) + F.round(F.rand(i), 2) * (F.rand(9 + i) > 0.3).cast("int")).alias(c) for i, c in enumerate(COLS)]
+    return spark.createDataFrame(rows.crossJoin(spark.range(copies)).select("transaction_id", *noise, "is_fraud").toPandas())
+
+
+@pytest.mark.parametrize(("copies", "pieces"), [(1, False), (40, False), (40, True)])
+def test_counted_trees_are_those_of_the_classifier(spark, forest, monkeypatch, copies, pieces):
+    """Without draws, the tree grown from counts is Spark's: thresholds of all 400 rows or of a sample, weights, pruning."""
+    df = noisy(spark, forest, copies)
+    if pieces:
+        for name, value in {"BLOCK_ROWS": 500, "MOST_CELLS": 1, "PIECE_NODES": 3}.items():
+            monkeypatch.setattr(counted_forest, name, value)
+    estimator = train.RandomForestClassifier(
+        labelCol=train.LABEL, featuresCol=train.VECTOR, weightCol="weight", numTrees=1, maxDepth=7, seed=42, featureSubsetStrategy="all", bootstrap=False
+    )
+    assembled = train.assemble(mf.class_weights(df), COLS)
+    plain = estimator.fit(assembled)
+    found = counted_forest.fit(estimator, df, COLS, counted_forest.classes(df, train.LABEL), len(COLS), bootstrap=False)
+    order = ["transaction_id", *COLS]
+    a, b = (train.score(m, assembled).select(*order, "prediction", "probability").sort(*order).toPandas() for m in (plain, found))
+    assert (a.prediction == b.prediction).all() and np.allclose(a.probability, b.probability, atol=1e-12) and len(a) == 400 * copies
+    assert found.totalNumNodes == plain.totalNumNodes > 10 and found.getMaxDepth() == 7 and found.getNumTrees == 1
+
+
+def test_large_forests_keep_and_move_counts_not_rows(spark, forest, monkeypatch):
+    """Beyond the limit a row is kept as one byte per feature, once for all trees, and only counts are shuffled."""
+    df = noisy(spark, forest)
+    plain = train.random_forest(df, COLS, trees=20, depth=6)
+    monkeypatch.setattr(train, "CLASSIFIER_ROWS", 1000)
+    monkeypatch.setattr(counted_forest, "BLOCK_ROWS", 1000)
+    seen, counted = [], counted_forest.counted
+    monkeypatch.setattr(counted_forest, "counted", lambda blocks, *rest: seen.append(blocks) or counted(blocks, *rest))
+    model = train.random_forest(df, COLS, trees=20, depth=6)
+    assert len(seen) == 6 and seen[0].columns == ["block", "bins"]
+    sizes = seen[0].select("block", F.octet_length("bins")).collect()
+    assert sum(n for _, n in sizes) == len(COLS) * 8000 and len({b for b, _ in sizes}) == len(sizes) >= 8
+    both = {"plain": train.score(plain, df), "counted": train.score(model, df)}
+    auc = {r.model: r.auc for r in metrics.model_comparison(both).collect()}
+    assert auc["counted"] == pytest.approx(auc["plain"], abs=0.02) and auc["counted"] > 0.9
+    weights = [m.stages[-1].featureImportances.toArray() for m in (plain, model)]
+    assert np.abs(weights[0] - weights[1]).max() < 0.1
+    out = tree.tree_contributions(model, df, cols=COLS)
+    assert out.agg(F.max(F.abs(F.col("base") + F.aggregate("phi", F.lit(0.0), lambda a, v: a + v) - F.col("probability")))).first()[0] < 1e-9
+    again = train.random_forest(df, COLS, trees=20, depth=6)
+    assert again.stages[-1].toDebugString.splitlines()[1:] == model.stages[-1].toDebugString.splitlines()[1:]
+
+
+def test_draws_are_poisson_and_repeatable():
+    found = np.concatenate([counted_forest.draws(50_000, 42, block, 7) for block in range(20)])
+    share = np.bincount(found, minlength=5)[:5] / len(found)
+    assert np.abs(share - np.exp(-1) / np.array([1, 1, 2, 6, 24])).max() < 0.003 and found.max() > 6
+    assert (counted_forest.draws(50_000, 42, 3, 7) == found[150_000:200_000]).all()
+    assert (counted_forest.draws(50_000, 42, 3, 8) != found[150_000:200_000]).any()
+
+
+def test_counted_forests_refuse_nulls(spark, forest, monkeypatch):
+    _, df = forest
+    monkeypatch.setattr(train, "CLASSIFIER_ROWS", 0)
+    for name, bad in {"null": F.lit(None).cast("double"), "NaN": F.lit(float("nan"))}.items():
+        with pytest.raises(Exception, match=name):
+            train.random_forest(df.withColumn(COLS[0], bad), COLS, trees=2, depth=2)
+
+
 def test_importance_and_scores(spark, forest):
     model, df = forest
     rows = train.feature_importance(model, COLS).collect()
